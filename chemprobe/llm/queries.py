@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from chemprobe.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from chemprobe.llm.quality_rules import op3_quality_rules
 from chemprobe.llm.sharding import op4_sharding
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
+    "op8_exact_dedup": op8_exact_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
