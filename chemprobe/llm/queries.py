@@ -6,11 +6,13 @@ from chemprobe.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from chemprobe.llm.ngram_join import op2_ngram_join
 from chemprobe.llm.quality_rules import op3_quality_rules
 from chemprobe.llm.sharding import op4_sharding
+from chemprobe.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
