@@ -61,6 +61,14 @@ class _Words(dict):
 _words = _Words()
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x.sort()
+    new = np.empty(len(x), bool)
+    new[0] = True
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the shingles: five words each, or all words when there are fewer.
 
@@ -75,7 +83,7 @@ def shingle_set(text: str | None) -> np.ndarray:
         h = a[: len(a) - k + 1] + np.uint64(k)
         for i in range(1, k):
             h = h * _M1 + a[i : len(a) - k + 1 + i]
-        return np.unique(_mix(h))
+        return _distinct(_mix(h))
 
 
 def _level_tops() -> np.ndarray:
@@ -106,42 +114,60 @@ def need_of(n: int, level: int) -> int:
     return (n + max(n, partner)) // 9 + 1
 
 
-def signatures(s: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-    """All signatures of a set, and per band (level, need, segments in use, deletion segments in use).
+def _segments(s: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each element's hash and segment in a band, and the segments' sizes."""
+    m = segments_of(level)
+    with np.errstate(over="ignore"):
+        e = _mix(s + _M1 * np.uint64(level + 1))
+        seg = ((e >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
+    return e, seg, np.bincount(seg, minlength=m)
+
+
+#: Of a set's segments, the deletion segments: every DELETE_EVERY-th of the first so many.
+_SLOTTED = slice(0, 255 * DELETE_EVERY, DELETE_EVERY)
+
+
+def bands(s: np.ndarray) -> tuple[int, list[dict]]:
+    """The number of a set's signatures, and what it needs and has in each of its bands."""
+    total, out = 0, []
+    for level in levels_of(len(s)) if len(s) else []:
+        sizes = _segments(s, level)[2]
+        slotted = sizes[_SLOTTED]
+        total += len(sizes) + int(slotted.sum())
+        out.append({"level": level, "need": need_of(len(s), level), "used": int(np.count_nonzero(sizes)), "dels": int(np.count_nonzero(slotted))})
+    return total, out
+
+
+def signatures(s: np.ndarray) -> np.ndarray:
+    """All signatures of a set that is not empty.
 
     The low bits of a signature tell what it is: 2 bits of kind, 6 of level, 8 of deletion slot.
     """
-    out, about = [], []
-    n = len(s)
-    if not n:
-        return np.empty(0, np.uint64), about
+    out = []
     with np.errstate(over="ignore"):
-        for level in levels_of(n):
-            m = segments_of(level)
-            e = _mix(s + _M1 * np.uint64(level + 1))
-            seg = ((e >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
+        for level in levels_of(len(s)):
+            e, seg, sizes = _segments(s, level)
             order = np.argsort(seg, kind="stable")
-            seg, e = seg[order], _mix(e[order] * _M1)
-            first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
-            total, used = np.add.reduceat(e, first), seg[first]
-            base = np.uint64(level << 2)
-            deletes = used % DELETE_EVERY == 0
-            slot = np.where(deletes & (used // DELETE_EVERY < 255), used // DELETE_EVERY + 1, 0)
-            head = lambda x, g: _mix(x + _M2 * (g.astype(np.uint64) + np.uint64(1)) + _M3 * np.uint64(level + 1)) & ~np.uint64(0xFFFF)
-            out.append(head(total, used) | base | (slot.astype(np.uint64) << np.uint64(8)))
-            each = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(seg)]))
-            pick = slot[each] > 0
-            gone = total[each[pick]] - e[pick]
-            dslot = slot[each[pick]].astype(np.uint64) << np.uint64(8)
-            out.append(head(gone, seg[pick]) | base | dslot | np.uint64(_DELETED))
-            n_del = int((slot > 0).sum())
-            need = need_of(n, level)
-            about.append((level, need, len(used), n_del))
-            empty = np.setdiff1d(np.arange(m), used)
-            kind = np.uint64(_NEEDED if len(used) + n_del < need else _EMPTY)
-            eslot = np.where((empty % DELETE_EVERY == 0) & (empty // DELETE_EVERY < 255), empty // DELETE_EVERY + 1, 0).astype(np.uint64)
-            out.append(head(np.zeros(len(empty), np.uint64), empty) | base | (eslot << np.uint64(8)) | kind)
-    return np.concatenate(out), about
+            e = _mix(e[order] * _M1)
+            used = np.flatnonzero(sizes)
+            ends = np.cumsum(sizes[used])
+            total = np.zeros(len(sizes), np.uint64)
+            total[used] = np.add.reduceat(e, ends - sizes[used])
+            slots = np.zeros(len(sizes), np.uint64)
+            some = slots[_SLOTTED]
+            some[:] = np.arange(1, len(some) + 1)
+            tag = np.uint64(level << 2) | slots << np.uint64(8)
+            salt = _M2 * np.arange(1, len(sizes) + 1, dtype=np.uint64) + _M3 * np.uint64(level + 1)
+            low = ~np.uint64(0xFFFF)
+            own = (_mix(total + salt) & low) | tag
+            too_few = len(used) + np.count_nonzero(sizes[_SLOTTED]) < need_of(len(s), level)
+            own[sizes == 0] |= np.uint64(_NEEDED if too_few else _EMPTY)
+            out.append(own)
+            seg = seg[order]
+            pick = np.flatnonzero(slots[seg])
+            at = seg[pick]
+            out.append((_mix(total[at] - e[pick] + salt[at]) & low) | tag[at] | np.uint64(_DELETED))
+    return np.concatenate(out)
 
 
 _CLASS_SCHEMA = "doc_id long, n long, h1 long, h2 long, n_sigs long, bands array<struct<level:int,need:int,used:int,dels:int>>"
@@ -159,8 +185,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             s = shingle_set(text)
             h1, h2 = _set_hashes(s)
-            sigs, about = signatures(s)
-            rows.append((doc_id, len(s), h1, h2, len(sigs), [dict(zip(("level", "need", "used", "dels"), x)) for x in about]))
+            rows.append((doc_id, len(s), h1, h2, *bands(s)))
         yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "n_sigs", "bands"]).astype({"doc_id": "Int64"})
 
 
@@ -194,7 +219,7 @@ def _blob_maker(parts: int):
                 if not len(s) or (h1, h2) in seen:
                     continue
                 seen.add((h1, h2))
-                sigs.append(signatures(s)[0])
+                sigs.append(signatures(s))
                 classes.append(h1)
                 size += len(sigs[-1])
                 if size >= 2_000_000:
@@ -264,18 +289,21 @@ def _probes(lists: DataFrame, classes: DataFrame) -> DataFrame:
     return lists.select("node", "sig", "kind").join(chosen, ["node", "sig"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose whole sets reach the threshold."""
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"node": batch["node"], "items": [shingle_set(t).view(np.int64) for t in batch["text"]]})
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose whole sets reach the threshold; sets are made only for texts in a pair."""
+    nodes = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
+    texts = docs.join(nodes, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text")
+    sets = saved(texts.mapInPandas(_sets, "node long, items array<long>"), "items")
     a = sets.select(F.col("node").alias("u"), F.col("items").alias("su"))
     b = sets.select(F.col("node").alias("v"), F.col("items").alias("sv"))
     both = pairs.join(a, "u").join(b, "v")
     both = both.withColumn("x", F.size(F.array_intersect("su", "sv")))
-    return both.where(100 * F.col("x") >= 80 * (F.size("su") + F.size("sv") - F.col("x"))).select("u", "v")
-
-
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"node": batch["node"], "items": [shingle_set(t).view(np.int64) for t in batch["text"]]})
+    return both.where(100 * F.col("x") >= 80 * (F.size("su") + F.size("sv") - F.col("x"))).select("u", "v").distinct()
 
 
 def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -311,10 +339,8 @@ def link_classes(docs: DataFrame) -> DataFrame:
     star = probes.join(ends, "sig").select("node", "n", F.explode(F.array("a", "b")).alias("other"))
     star = star.where("node <> other").select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
     star = saved(star, "star")
-    nodes = saved(lists.select("node").unionByName(probes.select("node")).distinct(), "nodes")
-    texts = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text")
-    sets = saved(texts.mapInPandas(_sets, "node long, items array<long>").dropDuplicates(["node"]), "items")
-    edges = saved(_verified(star, sets), "links")
+    edges = saved(_verified(star, docs), "links")
+    nodes = lists.select("node").distinct()
     labels = _labelled(nodes, edges)
 
     # what is left: pairs in a list that are in different components, asked from the smaller component
@@ -326,7 +352,7 @@ def link_classes(docs: DataFrame) -> DataFrame:
     smaller = F.struct(F.col("zu"), F.col("ru")) < F.struct(F.col("zv"), F.col("rv"))
     rest = p.join(q, "sig").where(near & smaller & (F.col("ru") != F.col("rv"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     rest = saved(rest.join(star, ["u", "v"], "left_anti"), "rest")
-    edges = saved(edges.unionByName(_verified(rest, sets)), "all-links")
+    edges = saved(edges.unionByName(_verified(rest, docs)), "all-links")
 
     roots = components(edges)
     of = classes.select("h1", "h2", "n", "node").join(roots, "node", "left").select("h1", "h2", "n", F.coalesce("root", "node").alias("root"))
