@@ -9,6 +9,7 @@ from chemprobe.llm.ngram_join import op2_ngram_join
 from chemprobe.llm.packing import op5_packing
 from chemprobe.llm.quality_classifier import op6_quality_classifier
 from chemprobe.llm.quality_rules import op3_quality_rules
+from chemprobe.llm.range_coder import op10_token_output
 from chemprobe.llm.sharding import op4_sharding
 from chemprobe.llm.suffix_dedup import op7_suffix_dedup
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
+    "op10_token_output": op10_token_output,
 }
 
 SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
