@@ -174,8 +174,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     marked = docs.withColumn("_crc", crc)
-    good = judge(marked.select("doc_id", "text", "lang", "source", "_crc")).where("kept").select("doc_id", "_crc").distinct()
-    return marked.join(good, ["doc_id", "_crc"], "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    good = judge(marked.select("doc_id", "text", "lang", "source", "_crc")).where("kept").select(F.col("doc_id").alias("_id"), F.col("_crc").alias("_c")).distinct()
+    on = marked["doc_id"].eqNullSafe(good["_id"]) & (marked["_crc"] == good["_c"])
+    return marked.join(good, on, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
