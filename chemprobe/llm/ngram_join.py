@@ -12,10 +12,10 @@ then price the credits: a subset found nowhere else costs nothing, a frequent on
 set takes its cheapest credits, so common passages are probed only when nothing rarer is left.
 Candidates are verified on the whole sets. A set whose free credits suffice has no partner at all.
 
-Sets that are equal are one class from the start. Classes are first compared with one representative
-of each list; only pairs in a list that are still in different components are compared one by one, so
-that a large group of near copies does not cost all its pairs, and no link that joins two components
-is lost.
+Sets that are equal are one class from the start. In each list, the classes that ask are first compared
+with two of its members; only pairs in a list that are still in different components are compared
+further, and of those only pairs that differ in few enough segments, by four bits of each signature. So a large
+group of near copies does not cost all its pairs, and no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from chemprobe.llm.components import components
 
 WORDS = 5
 #: Signatures per partition of the exchange.
-PART_ROWS = 3_000_000
+PART_ROWS = 1_500_000
 #: Every so many-th segment also publishes its one-deletion neighbourhood.
 DELETE_EVERY = 16
 _LEVELS = 64
@@ -109,9 +109,11 @@ def segments_of(level: int) -> int:
 
 
 def need_of(n: int, level: int) -> int:
-    """Credits that a set of n elements needs against any partner in the band."""
-    partner = min(int(_TOPS[level]), (5 * n) // 4)
-    return (n + max(n, partner)) // 9 + 1
+    """Credits that a set of n elements needs against partners that are not larger.
+
+    The larger set of a pair asks, in its own band; in the next one it only answers.
+    """
+    return 2 * n // 9 + 1 if level == levels_of(n)[0] else 0
 
 
 def _segments(s: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,52 +127,72 @@ def _segments(s: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 #: Of a set's segments, the deletion segments: every DELETE_EVERY-th of the first so many.
 _SLOTTED = slice(0, 255 * DELETE_EVERY, DELETE_EVERY)
+#: Segments are told apart in signatures and bit maps up to this number; beyond it they share places.
+_SEGMENTS = 1 << 14
+
+
+def _planes(own: np.ndarray) -> list[int]:
+    """Four bits of each segment's signature: bit k of word 4 w + p is bit p for segment 64 w + k.
+
+    Where two sets' bits differ, their segments differ. Segments that share a place are summed.
+    """
+    if len(own) > _SEGMENTS:
+        own = np.pad(own, (0, -len(own) % _SEGMENTS)).reshape(-1, _SEGMENTS).sum(axis=0, dtype=np.uint64)
+    four = np.pad((own >> np.uint64(60)).astype(np.uint8), (0, -len(own) % 64)).reshape(-1, 64)
+    planes = np.stack([np.packbits(four >> p & 1, axis=1, bitorder="little").view("<i8").ravel() for p in range(4)], axis=1)
+    return planes.ravel().tolist()
+
+
+def _own(s: np.ndarray, level: int) -> tuple[np.ndarray, ...]:
+    """A band's segment signatures before tags, with what they are made of."""
+    e, seg, sizes = _segments(s, level)
+    with np.errstate(over="ignore"):
+        order = np.argsort(seg, kind="stable")
+        e = _mix(e[order] * _M1)
+        used = np.flatnonzero(sizes)
+        ends = np.cumsum(sizes[used])
+        total = np.zeros(len(sizes), np.uint64)
+        total[used] = np.add.reduceat(e, ends - sizes[used])
+        salt = _M2 * np.arange(1, len(sizes) + 1, dtype=np.uint64) + _M3 * np.uint64(level + 1)
+        return _mix(total + salt), sizes, total, salt, e, seg[order]
 
 
 def bands(s: np.ndarray) -> tuple[int, list[dict]]:
     """The number of a set's signatures, and what it needs and has in each of its bands."""
     total, out = 0, []
     for level in levels_of(len(s)) if len(s) else []:
-        sizes = _segments(s, level)[2]
+        own, sizes, *_ = _own(s, level)
         slotted = sizes[_SLOTTED]
         total += len(sizes) + int(slotted.sum())
-        out.append({"level": level, "need": need_of(len(s), level), "used": int(np.count_nonzero(sizes)), "dels": int(np.count_nonzero(slotted))})
+        about = (level, need_of(len(s), level), int(np.count_nonzero(sizes)), int(np.count_nonzero(slotted)), _planes(own))
+        out.append(dict(zip(("level", "need", "used", "dels", "planes"), about)))
     return total, out
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
     """All signatures of a set that is not empty.
 
-    The low bits of a signature tell what it is: 2 bits of kind, 6 of level, 8 of deletion slot.
+    The low bits of a signature tell what it is: 2 bits of kind, 6 of level, 14 of segment.
     """
     out = []
     with np.errstate(over="ignore"):
         for level in levels_of(len(s)):
-            e, seg, sizes = _segments(s, level)
-            order = np.argsort(seg, kind="stable")
-            e = _mix(e[order] * _M1)
-            used = np.flatnonzero(sizes)
-            ends = np.cumsum(sizes[used])
-            total = np.zeros(len(sizes), np.uint64)
-            total[used] = np.add.reduceat(e, ends - sizes[used])
-            slots = np.zeros(len(sizes), np.uint64)
-            some = slots[_SLOTTED]
-            some[:] = np.arange(1, len(some) + 1)
-            tag = np.uint64(level << 2) | slots << np.uint64(8)
-            salt = _M2 * np.arange(1, len(sizes) + 1, dtype=np.uint64) + _M3 * np.uint64(level + 1)
-            low = ~np.uint64(0xFFFF)
-            own = (_mix(total + salt) & low) | tag
-            too_few = len(used) + np.count_nonzero(sizes[_SLOTTED]) < need_of(len(s), level)
+            mixed, sizes, total, salt, e, seg = _own(s, level)
+            slotted = np.zeros(len(sizes), bool)
+            slotted[_SLOTTED] = True
+            tag = np.uint64(level << 2) | (np.arange(len(sizes), dtype=np.uint64) % np.uint64(_SEGMENTS)) << np.uint64(8)
+            low = ~np.uint64(0x3FFFFF)
+            own = (mixed & low) | tag
+            too_few = np.count_nonzero(sizes) + np.count_nonzero(sizes[_SLOTTED]) < need_of(len(s), level)
             own[sizes == 0] |= np.uint64(_NEEDED if too_few else _EMPTY)
             out.append(own)
-            seg = seg[order]
-            pick = np.flatnonzero(slots[seg])
+            pick = np.flatnonzero(slotted[seg])
             at = seg[pick]
             out.append((_mix(total[at] - e[pick] + salt[at]) & low) | tag[at] | np.uint64(_DELETED))
     return np.concatenate(out)
 
 
-_CLASS_SCHEMA = "doc_id long, n long, h1 long, h2 long, n_sigs long, bands array<struct<level:int,need:int,used:int,dels:int>>"
+_CLASS_SCHEMA = "doc_id long, n long, h1 long, h2 long, n_sigs long, bands array<struct<level:int,need:int,used:int,dels:int,planes:array<long>>>"
 
 
 def _set_hashes(s: np.ndarray) -> tuple[int, int]:
@@ -231,7 +253,7 @@ def _blob_maker(parts: int):
     return run
 
 
-_LIST_SCHEMA = "sig long, kind int, level int, slot int, h1 long, n_own long, n_all long"
+_LIST_SCHEMA = "sig long, kind int, level int, seg int, h1 long, n_own long, n_all long"
 
 
 def _lists(group: pd.DataFrame) -> pd.DataFrame:
@@ -260,33 +282,31 @@ def _lists(group: pd.DataFrame) -> pd.DataFrame:
     real = (frame["least"] != frame["most"]) & (frame["n_own"] > 0) & (~frame["kind"].isin([_EMPTY, _NEEDED]) | by["need"].transform("any"))
     frame = frame[real]
     low = frame["sig"].to_numpy()
-    frame = frame.assign(level=(low & 63).astype(np.int32), slot=((low >> 6) & 255).astype(np.int32))
-    return frame[["sig", "kind", "level", "slot", "h1", "n_own", "n_all"]]
+    frame = frame.assign(level=(low & 63).astype(np.int32), seg=((low >> 6) & (_SEGMENTS - 1)).astype(np.int32))
+    return frame[["sig", "kind", "level", "seg", "h1", "n_own", "n_all"]]
 
 
-def _probes(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each class's cheapest credits, as far as its free ones do not suffice: (sig, kind, node)."""
-    bands = classes.select("node", F.explode("bands").alias("b")).select("node", "b.level", "b.need", "b.used", "b.dels")
+def _probes(lists: DataFrame, bands: DataFrame) -> DataFrame:
+    """Each class's cheapest credits, as far as its free ones do not suffice: (node, sig)."""
+    slotted = (F.col("seg") % DELETE_EVERY == 0) & (F.col("seg") < 255 * DELETE_EVERY) & F.col("kind").isin(_OWN, _DELETED)
     per = lists.groupBy("node", "level").agg(
-        F.count(F.when(F.col("kind") == _OWN, 1)).alias("own"),
-        F.countDistinct(F.when((F.col("slot") > 0) & F.col("kind").isin(_OWN, _DELETED), F.col("slot"))).alias("slots"),
+        F.count(F.when(F.col("kind") == _OWN, 1)).alias("own"), F.countDistinct(F.when(slotted, F.col("seg"))).alias("slots")
     )
-    left = per.join(bands, ["node", "level"]).select(
-        "node", "level", (F.col("need") - (F.col("used") - F.col("own")) - (F.col("dels") - F.col("slots"))).alias("left")
-    ).where("left > 0")
+    free = (F.col("used") - F.col("own")) + (F.col("dels") - F.col("slots"))
+    left = per.join(bands.where("need > 0"), ["node", "level"]).select("node", "level", (F.col("need") - free).alias("left")).where("left > 0")
     rows = lists.join(left, ["node", "level"])
-    single = rows.where(F.col("kind") != _DELETED).where(F.col("kind") != _EMPTY).select(
-        "node", "level", "left", F.lit(0).alias("slot"), "sig", F.when(F.col("kind") == _OWN, F.col("n_own") - 1).otherwise(F.col("n_all")).alias("cost")
-    )
-    second = rows.where((F.col("slot") > 0) & F.col("kind").isin(_OWN, _DELETED)).groupBy("node", "level", "left", "slot").agg(
-        F.lit(None).cast("long").alias("sig"), F.sum("n_all").alias("cost")
-    )
-    w = Window.partitionBy("node", "level").orderBy("cost", F.col("slot"), "sig")
-    taken = single.unionByName(second).withColumn("r", F.row_number().over(w)).where("r <= left")
-    ones = taken.where("slot = 0").select("node", "sig")
-    twos = taken.where("slot > 0").select("node", "level", "slot").join(rows.where("slot > 0").select("node", "level", "slot", "sig"), ["node", "level", "slot"]).select("node", "sig")
-    chosen = ones.unionByName(twos).distinct()
-    return lists.select("node", "sig", "kind").join(chosen, ["node", "sig"])
+    first = rows.where(F.col("kind").isin(_OWN, _NEEDED)).select("node", "left", F.lit(-1).alias("seg"), "sig", (F.col("n_own") - 1).alias("cost"))
+    second = rows.where(slotted).groupBy("node", "left", "seg").agg(F.lit(None).cast("long").alias("sig"), F.sum("n_all").alias("cost"))
+    w = Window.partitionBy("node").orderBy("cost", "seg", "sig")
+    taken = first.unionByName(second).withColumn("r", F.row_number().over(w)).where("r <= left")
+    near = taken.where("seg >= 0").select("node", "seg").join(rows.where(slotted).select("node", "seg", "sig"), ["node", "seg"])
+    return taken.where("seg < 0").select("node", "sig").unionByName(near.select("node", "sig")).distinct()
+
+
+#: Of two sets' planes x and y and their sizes nx and ny: whether they can reach the threshold. They
+#: differ in at least as many elements as segments.
+_CAN_LINK = """5 * least(nx, ny) >= 4 * greatest(nx, ny) AND 9 * aggregate(sequence(0, size(x) div 4 - 1), 0, (s, w) -> s + bit_count(
+    (x[4 * w] ^ y[4 * w]) | (x[4 * w + 1] ^ y[4 * w + 1]) | (x[4 * w + 2] ^ y[4 * w + 2]) | (x[4 * w + 3] ^ y[4 * w + 3]))) <= nx + ny"""
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -307,11 +327,9 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, root, size) of all `nodes`: those without an edge are components of their own."""
-    roots = components(edges)
-    found = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    return saved(found.join(sizes, "root"), "labels")
+    """(node, root) of all `nodes`: those without an edge are components of their own."""
+    found = nodes.join(components(edges), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    return saved(found, "labels")
 
 
 def link_classes(docs: DataFrame) -> DataFrame:
@@ -321,42 +339,52 @@ def link_classes(docs: DataFrame) -> DataFrame:
     are linked with nothing. Rows that repeat a text are one class. A row without doc_id gets a null
     component and links nothing. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = Saved(docs.mapInPandas(_describe, _CLASS_SCHEMA), "sets").df
-    parts = max(4, -(-int(rows.agg(F.sum("n_sigs")).first()[0] or 0) // PART_ROWS))
-    some = rows.where("n > 0 AND doc_id IS NOT NULL")
+    described = Saved(docs.mapInPandas(_describe, _CLASS_SCHEMA), "sets").df
+    parts = max(4, -(-int(described.agg(F.sum("n_sigs")).first()[0] or 0) // PART_ROWS))
+    some = described.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
     classes = saved(classes, "classes")
 
+    bands = classes.select("node", F.explode("bands").alias("b")).select("node", "b.*")
+
     blobs = docs.where("doc_id IS NOT NULL").select("text").mapInPandas(_blob_maker(parts), "part int, blob binary")
     found = Saved(blobs.groupBy("part").applyInPandas(_lists, _LIST_SCHEMA), "shared-signatures")
     lists = saved(found.df.join(classes.select("h1", "node", "n"), "h1").drop("h1"), "lists")
-    probes = saved(_probes(lists, classes).join(classes.select("node", "n"), "node"), "probes")
-
-    # every probe against two members of its list
-    ends = lists.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    star = probes.join(ends, "sig").select("node", "n", F.explode(F.array("a", "b")).alias("other"))
-    star = star.where("node <> other").select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
-    star = saved(star, "star")
+    found.drop()
+    planes = bands.select("node", "level", "planes")
+    probes = _probes(lists, bands).withColumn("asks", F.lit(True))
+    asked = probes.select("sig").distinct()
+    # of the lists that someone asks, all members; and of each one's two ends, what they may link with
+    lists = lists.select("node", "n", "sig", "kind", "level").join(asked, "sig", "left_semi").join(probes, ["node", "sig"], "left")
+    lists = saved(lists.withColumn("asks", F.coalesce("asks", F.lit(False))), "asked-lists")
+    ends = lists.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("a"), F.max(F.struct("node", "n")).alias("b"))
+    star = lists.where("asks").join(ends, "sig").select("node", "n", "level", F.explode(F.array("a", "b")).alias("e"))
+    star = star.select("node", "n", "level", F.col("e.node").alias("other"), F.col("e.n").alias("m")).where("node <> other").distinct()
+    star = star.join(planes, ["node", "level"]).withColumnsRenamed({"planes": "x", "n": "nx", "m": "ny"})
+    star = star.join(planes.select(F.col("node").alias("other"), "level", F.col("planes").alias("y")), ["other", "level"]).where(_CAN_LINK)
+    star = saved(star.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct(), "star")
     edges = saved(_verified(star, docs), "links")
-    nodes = lists.select("node").distinct()
-    labels = _labelled(nodes, edges)
-
-    # what is left: pairs in a list that are in different components, asked from the smaller component
-    p = probes.join(labels, "node").select("sig", "kind", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"), F.col("size").alias("zu"))
-    q = lists.join(labels, "node").select("sig", F.col("kind").alias("kv"), F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"), F.col("size").alias("zv"))
-    mixed = q.groupBy("sig").agg(F.min("rv").alias("lo"), F.max("rv").alias("hi")).where("lo <> hi").select("sig")
-    p, q = saved(p.join(mixed, "sig", "left_semi"), "probes-left"), saved(q.join(mixed, "sig", "left_semi"), "lists-left")
-    near = (5 * F.least("nu", "nv") >= 4 * F.greatest("nu", "nv")) & ((F.col("kind") != _DELETED) | (F.col("kv") != _DELETED))
-    smaller = F.struct(F.col("zu"), F.col("ru")) < F.struct(F.col("zv"), F.col("rv"))
-    rest = p.join(q, "sig").where(near & smaller & (F.col("ru") != F.col("rv"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    rest = saved(rest.join(star, ["u", "v"], "left_anti"), "rest")
-    edges = saved(edges.unionByName(_verified(rest, docs)), "all-links")
+    labels = _labelled(lists.select("node").distinct(), edges)
+
+    # what is left: pairs in a list that are in different components; one of them is outside the
+    # component that most of the list is in, so these few meet the list and not the list itself
+    rows = lists.join(labels.select("node", "root"), "node")
+    roots = rows.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("k"))
+    most = roots.groupBy("sig").agg(F.max(F.struct("k", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    rows = rows.join(most.select("sig", F.col("most.root").alias("most")), "sig").join(planes, ["node", "level"])
+    rows = saved(rows.select("sig", "kind", "node", "n", "root", "asks", "planes", (F.col("root") != F.col("most")).alias("few")), "mixed-lists")
+    few = rows.where("few").select("sig", F.col("kind").alias("kx"), F.col("node").alias("u"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("asks").alias("ax"), F.col("planes").alias("x"))
+    rest = rows.select("sig", F.col("kind").alias("ky"), F.col("node").alias("v"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("asks").alias("ay"), F.col("planes").alias("y"))
+    larger_asks = "((ax AND nx >= ny) OR (ay AND ny >= nx))"
+    pairs = few.join(rest, (few["sig"] == rest["sig"]) & F.expr(f"rx <> ry AND {larger_asks} AND NOT (kx = {_DELETED} AND ky = {_DELETED}) AND {_CAN_LINK}"))
+    pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    pairs = saved(pairs.join(star, ["u", "v"], "left_anti"), "rest")
+    edges = saved(edges.unionByName(_verified(pairs, docs)), "all-links")
 
     roots = components(edges)
     of = classes.select("h1", "h2", "n", "node").join(roots, "node", "left").select("h1", "h2", "n", F.coalesce("root", "node").alias("root"))
-    joined = rows.select("doc_id", "n", "h1", "h2").join(of, ["h1", "h2", "n"], "left")
+    joined = described.select("doc_id", "n", "h1", "h2").join(of, ["h1", "h2", "n"], "left")
     own = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(own, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))
 
