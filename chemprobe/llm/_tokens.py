@@ -15,9 +15,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: pieces are encoded independently of each other. `\s` is wider here than in the vocabularies' own
 #: patterns, which only makes fewer cuts.
 _CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
-#: A text without a match has no white space but single blanks and line ends inside.
-_ODD = re.compile(r"[^\S \n]|\s\s|^\s|\s\Z")
-_KEEP_PIECES, _KEEP_LENGTH = 400_000, 64
+#: A cache holds two generations of at most about so many pieces, none longer than the second number.
+_KEEP_PIECES, _KEEP_LENGTH = 500_000, 64
 
 
 def pieces(text: str) -> list[str]:
@@ -25,42 +24,60 @@ def pieces(text: str) -> list[str]:
 
     A piece after the first that does not begin with a line end stands for itself after a blank.
     """
-    if not _ODD.search(text):
+    if text.replace("\n", " ") == " ".join(text.split()):  # no white space but single blanks and line ends
         return text.replace("\n", " \n").split(" ")
     parts = _CUT.split(text)
     return [parts[0], *(b if a == " " else a + b for a, b in zip(parts[1::2], parts[2::2]))]
 
 
 class PieceCache:
-    """Little-endian 32-bit ids of texts, from a function that encodes pieces."""
+    """Little-endian 32-bit ids of texts, from a function that encodes pieces.
+
+    Pieces that were not used since the last but one time that the cache filled up are forgotten. Letters
+    with a comma or full stop after them are two pre-tokens in either vocabulary, so they are put together
+    from the two.
+    """
 
     def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]]):
-        self.encode, self.known = encode, {}
+        self.encode, self.young, self.old = encode, {}, {}
+        self.stops = dict(zip(",.", self._encoded([",", "."])))
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in self.encode(texts)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > _KEEP_PIECES:
-            self.known = {}
-        known, cut, firsts = self.known, [], []
+        if len(self.young) > _KEEP_PIECES:
+            self.young, self.old = {}, self.young
+        young, old, cut, firsts = self.young, self.old, [], []
         for t in texts:
             ps = pieces(t)
             firsts.append(ps[0])
             del ps[0]
             cut.append(ps)
-        new = list(set(chain.from_iterable(cut)).difference(known))
-        extra = {}
-        ids_of = self.encode([p if p[0] == "\n" else " " + p for p in new] + firsts)
-        heads = []
-        for k, ids in enumerate(ids_of):
-            raw = array("I", ids).tobytes()
-            if k >= len(new):
-                heads.append(raw)
-            elif len(new[k]) <= _KEEP_LENGTH:
-                known[new[k]] = raw
+        new, ended = set(), []
+        for p in set(chain.from_iterable(cut)).difference(young):
+            if p in old:
+                young[p] = old[p]
+            elif p[-1] in ",." and p[:-1].isalpha():
+                ended.append(p)
+                stem = p[:-1]
+                if stem in old:
+                    young[stem] = old[stem]
+                elif stem not in young:
+                    new.add(stem)
             else:
-                extra[new[k]] = raw
-        if extra:
-            known = known | extra
-        return [h + b"".join(map(known.__getitem__, ps)) for h, ps in zip(heads, cut)]
+                new.add(p)
+        new = list(new)
+        raws = self._encoded([p if p[0] == "\n" else " " + p for p in new] + firsts)
+        young.update(zip(new, raws))
+        for p in ended:
+            young[p] = young[p[:-1]] + self.stops[p[-1]]
+        heads = raws[len(new) :]
+        out = [h + b"".join(map(young.__getitem__, ps)) for h, ps in zip(heads, cut)]
+        for p in new:
+            if len(p) > _KEEP_LENGTH:
+                del young[p]
+        return out
 
 
 _encoders: dict[str, PieceCache] = {}
