@@ -82,7 +82,7 @@ def packed(profile: DataFrame, keys: list[str]) -> DataFrame:
     fields = [c for c in profile.columns if c not in (*keys, "pos")]
     rows = F.array_sort(F.collect_list(F.struct("pos", *fields)))
     one = profile.groupBy(*keys).agg(rows.alias("_r"))
-    return one.select(*keys, *[F.transform("_r", lambda x, f=f: x[f]).alias(f) for f in ("pos", *fields)])
+    return one.select(*keys, *[F.col(f"_r.{f}").alias(f) for f in ("pos", *fields)])
 
 
 def unpacked(rows: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:

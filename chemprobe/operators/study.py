@@ -141,8 +141,8 @@ def select_positions(df: DataFrame, base_index=None, base_type=None, base_pairin
     if base_pairing is not None:
         idx = F.filter(idx, lambda i: F.substring(F.col("structure"), i, F.lit(1)).isin(["(", ")"] if base_pairing else ["."]))
     df = df.withColumn("index_selected", idx).where(F.size("index_selected") > 0)
-    cuts = {c: F.transform("index_selected", lambda i, c=c: F.col(c)[i - 1]) for c in ARRAYS if c in df.columns}
-    texts = {c: F.array_join(F.transform("index_selected", lambda i, c=c: F.substring(F.col(c), i, F.lit(1))), "") for c in TEXTS if c in df.columns}
+    cuts = {c: F.expr(f"transform(index_selected, i -> `{c}`[i - 1])") for c in ARRAYS if c in df.columns}
+    texts = {c: F.expr(f"array_join(transform(index_selected, i -> substring(`{c}`, i, 1)), '')") for c in TEXTS if c in df.columns}
     return df.withColumns(cuts | texts)
 
 
