@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from chemprobe.plans import procedures, sequencing, studies, vectors
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+for _module in (vectors, sequencing, studies, procedures):
+    QUERIES.update(_module.QUERIES)
+    SQL.update(_module.SQL)
