@@ -21,6 +21,18 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+#: Whole texts go to Python in batches of at most so many rows and about so many bytes.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limits of an Arrow batch to BATCH, so that long texts do not add up in a worker."""
+    for key, most in BATCH.items():
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 class Saved:
     """A table written to the shared folder: lineage is cut and any lost executor can reread it."""
 

@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chemprobe.llm._shared import bound_batches
 from chemprobe.llm._tokens import PieceCache, in_lots
 
 #: Fixed value: the pattern that byte-level vocabularies of this kind split texts by.
@@ -208,6 +209,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out
 
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chemprobe.llm._shared import bound_batches, saved
+
 #: Winning paths are broadcast up to so many hosts; beyond that they are joined by host.
 BROADCAST_HOSTS = 50_000
 #: A page keeps to its host's path if that holds at least this share of its own best container's text.
@@ -233,8 +235,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Null and empty pages, and pages without text, give the empty text. Repeated rows give repeated
     results. An empty table gives an empty result.
     """
-    from chemprobe.llm._shared import saved
-
+    bound_batches(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     winners = saved(host_paths(pages), "host-paths")
     hosts = winners.count()

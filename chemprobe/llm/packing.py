@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import gapless, saved
+from chemprobe.llm._shared import bound_batches, gapless, saved
 from chemprobe.llm._tokens import in_lots, library_encoder
 
 LENGTH = 1024
@@ -134,6 +134,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end: int =
     Null and empty texts are the end id alone. Rows that repeat an id are packed each on their own. An
     empty table gives an empty result. Texts are encoded in a map and never shuffled.
     """
+    bound_batches(docs.sparkSession)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = saved(source.mapInPandas(_pieces(tokenizer_path, length, end), schema), "pieces")

@@ -23,12 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import Saved, saved, text_or_empty
+from chemprobe.llm._shared import Saved, bound_batches, saved, text_or_empty
 
 LENGTH = 200
 GRAM = 32
 #: Anchors per partition of the exchange, and bytes of context per suffix array.
-PART_ANCHORS, PART_BYTES = 1_000_000, 2_500_000
+PART_ANCHORS, PART_BYTES = 200_000, 2_000_000
 #: A long text's anchors are found so many starts at a time.
 _RUN = 1 << 22
 _POS = np.uint64((1 << 24) - 1)
@@ -78,7 +78,8 @@ def _anchor_blobs(parts: int, length: int):
 
     def pack(found: list[np.ndarray]) -> pd.DataFrame:
         all_ = np.concatenate(found)
-        part = ((all_["a"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        # the high bits of a window's smallest hash are nearly all zero; the low ones are even
+        part = ((all_["a"] & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         all_, ends = all_[order], np.searchsorted(part[order], np.arange(parts + 1))
         rows = [(p, all_[ends[p] : ends[p + 1]].tobytes()) for p in range(parts) if ends[p] < ends[p + 1]]
@@ -98,7 +99,7 @@ def _anchor_blobs(parts: int, length: int):
                 one["c"] = np.fromiter((xxhash.xxh3_64_intdigest(view[i : j + length]) for i, j in zip(s.tolist(), e.tolist())), np.uint64, len(a))
                 found.append(one)
                 n += len(a)
-                if n >= 500_000:
+                if n >= 200_000:
                     yield pack(found)
                     found, n = [], 0
         if found:
@@ -139,7 +140,7 @@ def _contexts(parts: int, length: int):
                     k = np.searchsorted(up, e)
                     ended = k == len(up)
                     last = len(raw) - 1 if ended else int(up[k])
-                    part = (x["a"] & 0x7FFFFFFF) % parts
+                    part = (x["a"] >> 8 & 0xFFFFFF) % parts
                     rows.append((part, x["a"], x["c"], x["mult"], e - s + 1, last - s + 1, ended, raw[s : min(len(raw), last + length)]))
                     if len(rows) >= 20000:
                         yield pd.DataFrame(rows, columns=["part", "a", "c", "mult", "starts", "n", "ended", "bytes"])
@@ -279,6 +280,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     `left` is what remains, without bytes of cut-up characters. A text shorter than `length`, or null,
     has no repeat. Repeats within one text count, overlapping ones included.
     """
+    bound_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(4, -(-2 * total // ((length - GRAM + 2) * PART_ANCHORS)))
     make, shared = _anchor_blobs(parts, length)
