@@ -66,7 +66,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, _SPACE), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.ltrim(F.lit(" \t\n\x0b\x0c\r"), x)) > 0)
+    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.ltrim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0)
     both = let(
         words,
         lambda w: F.struct(
