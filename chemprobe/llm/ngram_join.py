@@ -14,7 +14,7 @@ Candidates are verified on the whole sets. A set whose free credits suffice has
 
 Sets that are equal are one class from the start. In each list, the classes that ask are first compared
 with two of its members; only pairs in a list that are still in different components are compared
-further, and of those only pairs that differ in few enough segments, by four bits of each signature. So a large
+further, and of those only pairs whose parity maps, a lower bound of their difference, are close enough. So a large
 group of near copies does not cost all its pairs, and no link that joins two components is lost.
 """
 
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import Saved, saved
+from chemprobe.llm._shared import Saved, bound_batches, saved
 from chemprobe.llm.components import components
 
 WORDS = 5
@@ -127,20 +127,15 @@ def _segments(s: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 #: Of a set's segments, the deletion segments: every DELETE_EVERY-th of the first so many.
 _SLOTTED = slice(0, 255 * DELETE_EVERY, DELETE_EVERY)
-#: Segments are told apart in signatures and bit maps up to this number; beyond it they share places.
+#: Segments are told apart in signatures' low bits up to this number; beyond it they share places.
 _SEGMENTS = 1 << 14
 
 
-def _planes(own: np.ndarray) -> list[int]:
-    """Four bits of each segment's signature: bit k of word 4 w + p is bit p for segment 64 w + k.
-
-    Where two sets' bits differ, their segments differ. Segments that share a place are summed.
-    """
-    if len(own) > _SEGMENTS:
-        own = np.pad(own, (0, -len(own) % _SEGMENTS)).reshape(-1, _SEGMENTS).sum(axis=0, dtype=np.uint64)
-    four = np.pad((own >> np.uint64(60)).astype(np.uint8), (0, -len(own) % 64)).reshape(-1, 64)
-    planes = np.stack([np.packbits(four >> p & 1, axis=1, bitorder="little").view("<i8").ravel() for p in range(4)], axis=1)
-    return planes.ravel().tolist()
+def _parity(e: np.ndarray, level: int) -> list[int]:
+    """A bit map in which each element has flipped one bit: two sets differ in as many elements at least as bits."""
+    width = -(-2 * int(_TOPS[level]) // 64) * 64
+    odd = np.bincount(((e & np.uint64(0xFFFFFFFF)) * np.uint64(width) >> np.uint64(32)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
 def _own(s: np.ndarray, level: int) -> tuple[np.ndarray, ...]:
@@ -161,11 +156,11 @@ def bands(s: np.ndarray) -> tuple[int, list[dict]]:
     """The number of a set's signatures, and what it needs and has in each of its bands."""
     total, out = 0, []
     for level in levels_of(len(s)) if len(s) else []:
-        own, sizes, *_ = _own(s, level)
+        e, _, sizes = _segments(s, level)
         slotted = sizes[_SLOTTED]
         total += len(sizes) + int(slotted.sum())
-        about = (level, need_of(len(s), level), int(np.count_nonzero(sizes)), int(np.count_nonzero(slotted)), _planes(own))
-        out.append(dict(zip(("level", "need", "used", "dels", "planes"), about)))
+        about = (level, need_of(len(s), level), int(np.count_nonzero(sizes)), int(np.count_nonzero(slotted)), _parity(e, level))
+        out.append(dict(zip(("level", "need", "used", "dels", "parity"), about)))
     return total, out
 
 
@@ -192,7 +187,7 @@ def signatures(s: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-_CLASS_SCHEMA = "doc_id long, n long, h1 long, h2 long, n_sigs long, bands array<struct<level:int,need:int,used:int,dels:int,planes:array<long>>>"
+_CLASS_SCHEMA = "doc_id long, n long, h1 long, h2 long, n_sigs long, bands array<struct<level:int,need:int,used:int,dels:int,parity:array<long>>>"
 
 
 def _set_hashes(s: np.ndarray) -> tuple[int, int]:
@@ -303,10 +298,9 @@ def _probes(lists: DataFrame, bands: DataFrame) -> DataFrame:
     return taken.where("seg < 0").select("node", "sig").unionByName(near.select("node", "sig")).distinct()
 
 
-#: Of two sets' planes x and y and their sizes nx and ny: whether they can reach the threshold. They
-#: differ in at least as many elements as segments.
-_CAN_LINK = """5 * least(nx, ny) >= 4 * greatest(nx, ny) AND 9 * aggregate(sequence(0, size(x) div 4 - 1), 0, (s, w) -> s + bit_count(
-    (x[4 * w] ^ y[4 * w]) | (x[4 * w + 1] ^ y[4 * w + 1]) | (x[4 * w + 2] ^ y[4 * w + 2]) | (x[4 * w + 3] ^ y[4 * w + 3]))) <= nx + ny"""
+#: Of two sets' parity maps x and y and their sizes nx and ny: whether they can reach the threshold.
+_CAN_LINK = """5 * least(nx, ny) >= 4 * greatest(nx, ny)
+    AND 9 * aggregate(zip_with(x, y, (a, b) -> bit_count(a ^ b)), 0, (s, c) -> s + c) <= nx + ny"""
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -339,6 +333,7 @@ def link_classes(docs: DataFrame) -> DataFrame:
     are linked with nothing. Rows that repeat a text are one class. A row without doc_id gets a null
     component and links nothing. An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = Saved(docs.mapInPandas(_describe, _CLASS_SCHEMA), "sets").df
     parts = max(4, -(-int(described.agg(F.sum("n_sigs")).first()[0] or 0) // PART_ROWS))
@@ -352,7 +347,7 @@ def link_classes(docs: DataFrame) -> DataFrame:
     found = Saved(blobs.groupBy("part").applyInPandas(_lists, _LIST_SCHEMA), "shared-signatures")
     lists = saved(found.df.join(classes.select("h1", "node", "n"), "h1").drop("h1"), "lists")
     found.drop()
-    planes = bands.select("node", "level", "planes")
+    maps = bands.select("node", "level", "parity")
     probes = _probes(lists, bands).withColumn("asks", F.lit(True))
     asked = probes.select("sig").distinct()
     # of the lists that someone asks, all members; and of each one's two ends, what they may link with
@@ -361,8 +356,8 @@ def link_classes(docs: DataFrame) -> DataFrame:
     ends = lists.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("a"), F.max(F.struct("node", "n")).alias("b"))
     star = lists.where("asks").join(ends, "sig").select("node", "n", "level", F.explode(F.array("a", "b")).alias("e"))
     star = star.select("node", "n", "level", F.col("e.node").alias("other"), F.col("e.n").alias("m")).where("node <> other").distinct()
-    star = star.join(planes, ["node", "level"]).withColumnsRenamed({"planes": "x", "n": "nx", "m": "ny"})
-    star = star.join(planes.select(F.col("node").alias("other"), "level", F.col("planes").alias("y")), ["other", "level"]).where(_CAN_LINK)
+    star = star.join(maps, ["node", "level"]).withColumnsRenamed({"parity": "x", "n": "nx", "m": "ny"})
+    star = star.join(maps.select(F.col("node").alias("other"), "level", F.col("parity").alias("y")), ["other", "level"]).where(_CAN_LINK)
     star = saved(star.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct(), "star")
     edges = saved(_verified(star, docs), "links")
     labels = _labelled(lists.select("node").distinct(), edges)
@@ -372,10 +367,10 @@ def link_classes(docs: DataFrame) -> DataFrame:
     rows = lists.join(labels.select("node", "root"), "node")
     roots = rows.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("k"))
     most = roots.groupBy("sig").agg(F.max(F.struct("k", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    rows = rows.join(most.select("sig", F.col("most.root").alias("most")), "sig").join(planes, ["node", "level"])
-    rows = saved(rows.select("sig", "kind", "node", "n", "root", "asks", "planes", (F.col("root") != F.col("most")).alias("few")), "mixed-lists")
-    few = rows.where("few").select("sig", F.col("kind").alias("kx"), F.col("node").alias("u"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("asks").alias("ax"), F.col("planes").alias("x"))
-    rest = rows.select("sig", F.col("kind").alias("ky"), F.col("node").alias("v"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("asks").alias("ay"), F.col("planes").alias("y"))
+    rows = rows.join(most.select("sig", F.col("most.root").alias("most")), "sig").join(maps, ["node", "level"])
+    rows = saved(rows.select("sig", "kind", "node", "n", "root", "asks", "parity", (F.col("root") != F.col("most")).alias("few")), "mixed-lists")
+    few = rows.where("few").select("sig", F.col("kind").alias("kx"), F.col("node").alias("u"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("asks").alias("ax"), F.col("parity").alias("x"))
+    rest = rows.select("sig", F.col("kind").alias("ky"), F.col("node").alias("v"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("asks").alias("ay"), F.col("parity").alias("y"))
     larger_asks = "((ax AND nx >= ny) OR (ay AND ny >= nx))"
     pairs = few.join(rest, (few["sig"] == rest["sig"]) & F.expr(f"rx <> ry AND {larger_asks} AND NOT (kx = {_DELETED} AND ky = {_DELETED}) AND {_CAN_LINK}"))
     pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
