@@ -397,3 +397,18 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and the component that its links reach."""
     return link_classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+OP2_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda y: y <> '') AS ws
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+x AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT u, v FROM x JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 80 * (a.n + b.n - k)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.v FROM r JOIN e ON e.u = r.reached)
+SELECT w.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.reached) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = w.doc_id GROUP BY w.doc_id
+"""

@@ -183,3 +183,47 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base measures and verdict."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
     return judge(docs).select("doc_id", *RESULTS)
+
+
+def _sql() -> str:
+    """DuckDB SQL for `op3_quality_rules`, by the same sketches."""
+    white = "[\\x20\\x09-\\x0D]"
+    cut = "CASE WHEN {v} >= 128 THEN ({v} >> (length(bin({v})) - 7)) << (length(bin({v})) - 7) ELSE {v} END"
+    rates = {
+        "symbols": "n_symbols * 1000 // greatest(word_chars, 1)", "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)",
+        "repeats": "n_repeat_words * 1000 // greatest(n_words, 1)", "capitals": "n_capitals * 1000 // greatest(word_chars, 1)",
+    }
+    long = " UNION ALL ".join(f"SELECT l, s, '{m}' AS measure, CAST({r} AS BIGINT) AS v, {MEASURES[m]} AS least FROM base WHERE NOT base_failed" for m, r in rates.items())
+
+    def fences(name: str, keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        return (
+            f"{name}h AS (SELECT {by}measure, least, bucket, sum(n) AS n FROM sk GROUP BY ALL), "
+            f"{name}c AS (SELECT *, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS c, sum(n) OVER (PARTITION BY {by}measure) AS t FROM {name}h), "
+            f"{name}q AS (SELECT {by}measure, least, max(t) AS t, min(CASE WHEN c * 4 >= t THEN bucket END) AS q1, min(CASE WHEN c * 4 >= t * 3 THEN bucket END) AS q3 FROM {name}c GROUP BY ALL), "
+            f"{name} AS (SELECT *, q3 + {SPREADS} * greatest(q3 - q1, least) AS top FROM {name}q)"
+        )
+
+    within = " AND ".join(f"({r}) <= coalesce(max(CASE WHEN measure = '{m}' THEN most END), 4611686018427387904)" for m, r in rates.items())
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, coalesce('=' || lang, '') AS l, coalesce('=' || source, '') AS s FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(x, '{white}+'), lambda y: y <> '') AS ws,
+  list_filter(string_split(x, chr(10)), lambda y: regexp_matches(y, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+tri AS (SELECT doc_id, i, ws[i:i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM tri) WHERE k > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, (VALUES (0), (1), (2)) o(j) GROUP BY 1),
+base0 AS (SELECT w.doc_id, l, s, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+  (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (length(x) - length(regexp_replace(x, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+  len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cov USING (doc_id)),
+base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base0),
+long AS ({long}),
+sk AS (SELECT l, s, measure, least, {cut.format(v="v")} AS bucket, count(*)::BIGINT AS n FROM long GROUP BY ALL),
+{fences("o", "l, s")}, {fences("la", "l")}, {fences("a", "")},
+lim AS (SELECT o.l, o.s, o.measure, CASE WHEN o.t >= {MIN_GROUP} THEN least(o.top, {MOST_OF_LANG} * wide) ELSE wide END AS most
+  FROM o JOIN (SELECT la.l, la.measure, CASE WHEN la.t >= {MIN_GROUP} THEN la.top ELSE a.top END AS wide FROM la JOIN a USING (measure)) x USING (l, measure))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {within} AS kept
+FROM base LEFT JOIN lim USING (l, s) GROUP BY doc_id, n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_lines, n_repeat_words, base_failed
+"""
+
+
+OP3_SQL = _sql()
