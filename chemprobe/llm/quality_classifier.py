@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chemprobe.llm._shared import bound_batches
 from chemprobe.llm._tokens import in_lots
 
 #: The bounded sample: at most so many labelled rows, chosen by a hash of doc_id.
@@ -143,10 +144,11 @@ class Scorer:
             self._reset()
         split = [t.encode().split() for t in texts]
         new = list(set().union(*split).difference(self.known)) if split else []
-        if new:
-            flat, counts, hashes = word_features([w.decode() for w in new])
+        for at in range(0, len(new), 10_000):  # the features of so many words at a time
+            some = new[at : at + 10_000]
+            flat, counts, hashes = word_features([w.decode() for w in some])
             sums = np.add.reduceat(self.model.weights[flat].astype(np.float64), np.cumsum(counts) - counts)
-            self.known.update(zip(new, range(len(self.sums), len(self.sums) + len(new))))
+            self.known.update(zip(some, range(len(self.sums), len(self.sums) + len(some))))
             self.sums, self.counts, self.hashes = np.append(self.sums, sums), np.append(self.counts, counts), np.append(self.hashes, hashes)
         out = []
         for words in split:
@@ -188,6 +190,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             found = np.array([x for lot in in_lots(batch["text"]) for x in scorer(lot)], np.float64)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": found})
 
+    bound_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = source.mapInPandas(run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
