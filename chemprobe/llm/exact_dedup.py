@@ -97,12 +97,11 @@ def mark_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that `mark_duplicates` keeps, with their columns as they were."""
-    kept = mark_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id", F.col("text_sha256").alias("_sha"))
-    sha = F.sha2(F.translate(text_or_empty("text"), WHITE, "").cast("binary"), 256)
-    marked = docs.withColumn("_sha", sha)
-    found = marked.join(kept, marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked["_sha"] == kept["_sha"]), "left_semi")
+    kept = mark_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"))
+    marked = docs.withColumn("__sha", F.sha2(F.translate(text_or_empty("text"), WHITE, "").cast("binary"), 256))
+    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__of")), "left_semi")
     # rows that repeat an id and its text are told apart by nothing: one of them stays
-    return found.dropDuplicates(["doc_id", "_sha"]).select(*[f"`{c}`" for c in docs.columns])
+    return found.dropDuplicates(["doc_id", "__sha"]).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

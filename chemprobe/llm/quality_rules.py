@@ -76,16 +76,16 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     of_lines = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("d")))
-    df = docs.withColumn("_w", both).withColumn("_l", of_lines)
+    df = docs.withColumn("__w", both).withColumn("__l", of_lines)
     return df.select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS],
-        F.col("_w.n").alias("n_words"),
-        F.col("_w.chars").alias("word_chars"),
+        F.col("__w.n").alias("n_words"),
+        F.col("__w.chars").alias("word_chars"),
         F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.col("_l.n") - F.col("_l.d")).alias("n_dup_lines"),
-        F.col("_w.rep").alias("n_repeat_words"),
-        F.col("_l.n").alias("_lines"),
-        F.regexp_count(t, F.lit("[A-Z]")).cast("long").alias("_capitals"),
+        (F.col("__l.n") - F.col("__l.d")).alias("n_dup_lines"),
+        F.col("__w.rep").alias("n_repeat_words"),
+        F.col("__l.n").alias("__lines"),
+        F.regexp_count(t, F.lit("[A-Z]")).cast("long").alias("__capitals"),
     )
 
 
@@ -93,9 +93,9 @@ def _rates() -> dict[str, Column]:
     per = lambda a, b: F.expr(f"({a} * 1000) div greatest({b}, 1)")
     return {
         "symbols": per("n_symbols", "word_chars"),
-        "dup_lines": per("n_dup_lines", "_lines"),
+        "dup_lines": per("n_dup_lines", "__lines"),
         "repeats": per("n_repeat_words", "n_words"),
-        "capitals": per("_capitals", "word_chars"),
+        "capitals": per("__capitals", "word_chars"),
     }
 
 
@@ -111,7 +111,7 @@ def sketches(measured: DataFrame, groups: list[str]) -> DataFrame:
     Buckets have a fixed relative width, so a sketch has a few hundred rows at most whatever the
     input, and partial sums on each task keep a hot group from meeting in one.
     """
-    pairs = [F.struct(F.lit(m).alias("measure"), F.col(f"_r_{m}").alias("v")) for m in MEASURES]
+    pairs = [F.struct(F.lit(m).alias("measure"), F.col(f"__r_{m}").alias("v")) for m in MEASURES]
     long = measured.select(*groups, F.explode(F.array(*pairs)).alias("p")).select(*groups, "p.measure", "p.v")
     return long.select(*groups, "measure", sketch_value("v").alias("bucket")).groupBy(*groups, "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
@@ -131,14 +131,14 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     q75 + SPREADS * max(q75 - q25, the least spread), from the group's own sketch when it has at least
     MIN_GROUP rows, else from its language's, else from all; at most MOST_OF_LANG times the wider one's.
     """
-    own, lang, all_ = _quartiles(sketch, ["_lang", "_source"], "o"), _quartiles(sketch, ["_lang"], "l"), _quartiles(sketch, [], "a")
+    own, lang, all_ = _quartiles(sketch, ["__glang", "__gsource"], "o"), _quartiles(sketch, ["__glang"], "l"), _quartiles(sketch, [], "a")
     least = F.create_map(*[x for m, s in MEASURES.items() for x in (F.lit(m), F.lit(s).cast("long"))])[F.col("measure")]
     limit = lambda s: F.col(f"q3_{s}") + SPREADS * F.greatest(F.col(f"q3_{s}") - F.col(f"q1_{s}"), least)
-    joined = own.join(lang, ["_lang", "measure"]).join(all_, ["measure"])
+    joined = own.join(lang, ["__glang", "measure"]).join(all_, ["measure"])
     wider = F.when(F.col("t_l") >= MIN_GROUP, limit("l")).otherwise(limit("a"))
     most = F.when(F.col("t_o") >= MIN_GROUP, F.least(limit("o"), MOST_OF_LANG * wider)).otherwise(wider)
-    rows = joined.select("_lang", "_source", "measure", most.alias("most"))
-    return rows.groupBy("_lang", "_source").agg(*[F.max(F.when(F.col("measure") == m, F.col("most"))).alias(f"most_{m}") for m in MEASURES])
+    rows = joined.select("__glang", "__gsource", "measure", most.alias("most"))
+    return rows.groupBy("__glang", "__gsource").agg(*[F.max(F.when(F.col("measure") == m, F.col("most"))).alias(f"most_{m}") for m in MEASURES])
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -153,15 +153,15 @@ def judge(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     m = m.withColumn("base_failed", failed)
     for name, rate in _rates().items():
-        m = m.withColumn(f"_r_{name}", rate)
+        m = m.withColumn(f"__r_{name}", rate)
     # a prefix keeps null apart from every value
     for key in ("lang", "source"):
-        m = m.withColumn(f"_{key}", F.coalesce(F.concat(F.lit("="), key), F.lit("")))
-    limits = thresholds(sketches(m.where(~F.col("base_failed")), ["_lang", "_source"]))
-    joined = m.join(limits, ["_lang", "_source"], "left")
+        m = m.withColumn(f"__g{key}", F.coalesce(F.concat(F.lit("="), key), F.lit("")))
+    limits = thresholds(sketches(m.where(~F.col("base_failed")), ["__glang", "__gsource"]))
+    joined = m.join(limits, ["__glang", "__gsource"], "left")
     within = F.lit(True)
     for name in MEASURES:
-        within = within & (F.col(f"_r_{name}") <= F.coalesce(F.col(f"most_{name}"), F.lit(2**62)))
+        within = within & (F.col(f"__r_{name}") <= F.coalesce(F.col(f"most_{name}"), F.lit(2**62)))
     out = joined.withColumn("kept", ~F.col("base_failed") & within)
     return out.select(*[f"`{c}`" for c in docs.columns if c not in (*RESULTS, "text")], *RESULTS)
 
@@ -169,13 +169,14 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that the rules keep, with their columns as they were.
 
-    Rows are told apart by doc_id and the checksum of the text, so that repeats of an id with other
-    texts get their own verdicts.
+    Rows are told apart by doc_id, lang, source and the checksum of the text, so that repeats of an id
+    with other texts get their own verdicts.
     """
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    marked = docs.withColumn("_crc", crc)
-    good = judge(marked.select("doc_id", "text", "lang", "source", "_crc")).where("kept").select(F.col("doc_id").alias("_id"), F.col("_crc").alias("_c")).distinct()
-    on = marked["doc_id"].eqNullSafe(good["_id"]) & (marked["_crc"] == good["_c"])
+    marked = docs.withColumn("__crc", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    judged = judge(marked.select("doc_id", "text", "lang", "source", "__crc"))
+    good = judged.where("kept").select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.col("__crc").alias("__of")).distinct()
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    on = same("doc_id", "__id") & same("lang", "__lang") & same("source", "__source") & (F.col("__crc") == F.col("__of"))
     return marked.join(good, on, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 

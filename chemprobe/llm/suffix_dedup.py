@@ -275,7 +275,7 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The rows of `docs` (_rid, text) with a repeat: spans in bytes, n_removed, kept_sha256, left.
+    """The rows of `docs` (_rid, text) with a repeat: _rid, spans in bytes, n_removed, kept_sha256, left.
 
     `left` is what remains, without bytes of cut-up characters. A text shorter than `length`, or null,
     has no repeat. Repeats within one text count, overlapping ones included.
@@ -311,12 +311,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Every row stays, emptied ones too; rows without a repeat stay as they are. `docs` is read more than
     once and has to give its rows in the same places each time, as stored tables do.
     """
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
-    cut = repeated_spans(rows.select("_rid", "text"), length).select("_rid", "left")
-    out = rows.join(cut, "_rid", "left").withColumn("text", F.coalesce("left", "text"))
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    cut = repeated_spans(rows.select(F.col("__row").alias("_rid"), "text"), length).select(F.col("_rid").alias("__row"), F.col("left").alias("__left"))
+    out = rows.join(cut, "__row", "left").withColumn("text", F.coalesce("__left", "text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("left").isNull(), F.col("n_chars")).otherwise(F.length("left").cast(kind)))
+        out = out.withColumn("n_chars", F.when(F.col("__left").isNull(), F.col("n_chars")).otherwise(F.length("__left").cast(kind)))
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 
