@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -134,9 +135,10 @@ def _slides(scene: _Scene, gap: Gap, others: list[Gap], fences: list[Gap], delet
     """Marks every place that `gap` can slide to.
 
     One step takes the base next to the run into it and gives the base at its far end back, which the
-    freed base of the other sequence then faces. Whole runs slide first; then the members of a run
-    part one by one from the side they move to. Runs of the same kind are slid across together once
-    they touch, so they are merged for the slide.
+    freed base of the other sequence then faces. Whole runs slide first; then, at each place that a run
+    can take, its members part one by one from the side they move to. A run that is met is slid across
+    as one with it. For one or two bases these are all equivalent placements; for longer runs those
+    that split a run twice may be missing.
     """
     limit, facing = (len(scene.ref), len(scene.seq)) if deletion else (len(scene.seq), len(scene.ref))
 
@@ -166,15 +168,23 @@ def _slides(scene: _Scene, gap: Gap, others: list[Gap], fences: list[Gap], delet
             scene.stamp(b + way)
         return at + way, size, beside + way
 
+    places = [(gap.at, gap.size, gap.beside)]
     for way in (1, -1):
-        state = (gap.at, gap.size, gap.beside)
+        state = step(*places[0], way)
         while state:
+            places.append(state)
             state = step(*state, way)
-        ends = range(gap.size - 1, -1, -1) if way > 0 else range(gap.size)
-        for k in ends if gap.size > 1 else ():
-            one = (gap.at + k, 1, gap.beside)
-            while one:
-                one = step(*one, way)
+    if gap.size > 1:
+        for (at, size, beside), way in product(places, (1, -1)):
+            # members of the run on their own: each as far as the one before it, until one cannot move
+            stop = None
+            for k in range(size - 1, 0, -1) if way > 0 else range(size - 1):
+                here, faces = at + k, beside
+                while here + way != stop and (moved := step(here, 1, faces, way)):
+                    here, _, faces = moved
+                if here == at + k:
+                    break
+                stop = here
 
 
 def vectorize_read(ref: str, seq: str, qual: str, cigar: str, pos: int, end5: int, least: int, ambiguous: bool = True) -> np.ndarray:
