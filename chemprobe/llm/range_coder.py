@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chemprobe.llm._shared import saved
+from chemprobe.llm._shared import bound_batches
 from chemprobe.llm._tokens import in_lots, library_encoder
 
 MAGIC = b"CPRC1"
@@ -323,7 +324,8 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, vocab: int, end
     Texts are dealt by range of doc_id, so that each task writes one stretch of the order. Null and
     empty texts are the end id alone.
     """
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    bound_batches(docs.sparkSession)
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]  # bounds of ranges hold no texts
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranged = source.repartitionByRange(*order).sortWithinPartitions(*order)
     blocks = ranged.mapInPandas(_writer(tokenizer_path, vocab, end), "part int, block int, n_ids int, blob binary")
@@ -335,12 +337,12 @@ def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a in range(0, len(batch), LANES):
             some = batch.iloc[a : a + LANES]
             rows = []
-            for (ids, table), part, block, start in zip(unpack_blocks(list(some["blob"])), some["part"], some["block"], some["start"]):
+            for (ids, table), part, block in zip(unpack_blocks(list(some["blob"])), some["part"], some["block"]):
                 raw, at = ids.astype("<u4").tobytes(), 0
                 for number, doc, n in table:
-                    rows.append((part, number, block, doc, start + at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
+                    rows.append((part, number, block, doc, at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
                     at += n
-            yield pd.DataFrame(rows, columns=["part", "number", "block", "doc_id", "start", "n", "crc"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["part", "number", "block", "doc_id", "at", "n", "crc"]).astype({"doc_id": "Int64"})
 
 
 def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -366,9 +368,9 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     parts = counts.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn("p", before(Window.orderBy("part"))).drop("n")
     places = counts.withColumn("n", F.col("n_ids").cast("long")).withColumn("b", before(Window.partitionBy("part").orderBy("block")))
     places = places.join(F.broadcast(parts), "part").select("part", "block", (F.col("p") + F.col("b")).alias("start"))
-    placed = blocks.join(places, ["part", "block"]).select("part", "block", "start", "blob")
-    found = placed.mapInPandas(_reader, "part int, number long, block int, doc_id long, start long, n int, crc long")
-    rows = saved(found, "segments")
+    found = blocks.select("part", "block", "blob").mapInPandas(_reader, "part int, number long, block int, doc_id long, at int, n int, crc long")
+    # blocks are decoded where they are read; only their small rows meet the places
+    rows = saved(found, "segments").join(places, ["part", "block"]).withColumn("start", F.col("start") + F.col("at"))
     whole = rows.groupBy("part", "number").agg(
         F.max("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("n").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("block", "n", "crc"))).alias("segments"),
