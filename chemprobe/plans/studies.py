@@ -85,7 +85,7 @@ def study_delta(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "study_compare_pairs",
     f"WITH {PROFILES}, p AS (SELECT concat(sample, '_', reference) AS id, pos, sub_rate FROM prof) "
-    "SELECT a.id AS id1, b.id AS id2, count(*) AS n, round(regr_slope(b.sub_rate, a.sub_rate), 6) AS slope, round(regr_intercept(b.sub_rate, a.sub_rate), 6) AS intercept, round(regr_r2(b.sub_rate, a.sub_rate), 6) AS r2 FROM p a JOIN p b ON a.pos = b.pos AND a.id < b.id GROUP BY 1, 2",
+    "SELECT a.id AS id1, b.id AS id2, count(*) AS n, round(regr_slope(b.sub_rate, a.sub_rate), 6) AS slope, round(regr_intercept(b.sub_rate, a.sub_rate), 6) AS intercept, round(regr_r2(b.sub_rate, a.sub_rate), 6) AS r2 FROM p a JOIN p b ON a.pos = b.pos AND a.id < b.id AND a.sub_rate IS NOT NULL AND b.sub_rate IS NOT NULL GROUP BY 1, 2",
 )
 def study_compare_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_study(spark, sf).compare_profiles().drop("rmse"), "slope", "intercept", "r2")

@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None):
 
 def _bits(match, condition: str) -> tuple:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        one = vec(spark, sf).agg(*[F.sum(match(q).cast("long")).alias(f"q{q}") for q in ASKED])
+        one = vec(spark, sf).agg(*[F.sum(match(F.col("b"), q).cast("long")).alias(f"q{q}") for q in ASKED])
         return one.select(F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"q{q}").alias("n_match")) for q in ASKED])).alias("x")).select("x.*")
 
     asked = ", ".join(f"({q})" for q in ASKED)
@@ -39,13 +39,12 @@ def _bits(match, condition: str) -> tuple:
     return run, sql
 
 
-_B = F.col("b")
 for _name, _match, _sql in (
-    ("bit_exact", lambda q: mut_match(_B, q), "b <> 0 AND b = q"),
-    ("bit_subset", lambda q: mut_match(_B, q, subsets=True), "b <> 0 AND (b | q) = q"),
-    ("bit_superset", lambda q: mut_match(_B, q, supersets=True), "b <> 0 AND (b & q) = q"),
-    ("bit_either", lambda q: mut_match(_B, q, subsets=True, supersets=True), "b <> 0 AND ((b | q) = q OR (b & q) = q)"),
-    ("bit_overlap", lambda q: mut_overlap(_B, q), "(b & q) <> 0"),
+    ("bit_exact", lambda b, q: mut_match(b, q), "b <> 0 AND b = q"),
+    ("bit_subset", lambda b, q: mut_match(b, q, subsets=True), "b <> 0 AND (b | q) = q"),
+    ("bit_superset", lambda b, q: mut_match(b, q, supersets=True), "b <> 0 AND (b & q) = q"),
+    ("bit_either", lambda b, q: mut_match(b, q, subsets=True, supersets=True), "b <> 0 AND ((b | q) = q OR (b & q) = q)"),
+    ("bit_overlap", lambda b, q: mut_overlap(b, q), "(b & q) <> 0"),
 ):
     QUERIES[_name], SQL[_name] = _bits(_match, _sql)
 
