@@ -37,16 +37,14 @@ def signatures(library: DataFrame) -> DataFrame:
     return base.select("ref", F.explode(rows).alias("x")).select("ref", "x.*").where(F.col("pattern").isNotNull() & (F.length("pattern") > 0))
 
 
-def search(reads: DataFrame, patterns: DataFrame, mismatches: int | Column = 0, tolerance: int = 0, most: int = 4) -> DataFrame:
+def search(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
     """(read_id, ref, kind) where a pattern lies within `tolerance` of its place in a read.
 
-    reads: read_id, seq; patterns: ref, kind, pattern, start. `mismatches` may be a column of patterns, at
-    most `most`. A window's two ends are start - tolerance and start + length + tolerance, from 1.
+    reads: read_id, seq; patterns: ref, kind, pattern, start. A window's two ends are start - tolerance and
+    start + length + tolerance, from 1.
     """
-    m = mismatches if isinstance(mismatches, Column) else F.lit(mismatches)
-    limit = most if isinstance(mismatches, Column) else mismatches
     n = F.length("pattern")
-    p = patterns.withColumn("_m", m.cast("int")).withColumn("_lo", F.greatest(F.col("start") - tolerance, F.lit(1))).withColumn("_hi", F.col("start") + n + tolerance)
+    p = patterns.withColumn("_m", F.lit(mismatches)).withColumn("_lo", F.greatest(F.col("start") - tolerance, F.lit(1))).withColumn("_hi", F.col("start") + n + tolerance)
     p = p.withColumn("_k", F.least(F.col("_m") + 1, n))
     # pieces k of the pattern at each place the window lets it begin
     starts = F.sequence("_lo", F.greatest(F.col("_hi") - n + 1, F.col("_lo")))
@@ -55,8 +53,8 @@ def search(reads: DataFrame, patterns: DataFrame, mismatches: int | Column = 0,
     b = F.expr("(_piece + 1) * length(pattern) div _k")
     seeds = p.withColumn("_from", (F.col("_at") + a).cast("int")).withColumn("_len", (b - a).cast("int"))
     seeds = seeds.withColumn("_seed", F.expr("substring(pattern, cast(_from - _at + 1 as int), _len)"))
-    places = seeds.select("_from", "_len").distinct()
-    r = reads.join(F.broadcast(places) if limit >= 0 else places).where(F.col("_from") + F.col("_len") - 1 <= F.length("seq"))
+    places = seeds.select("_from", "_len").distinct()  # places in a read: a bounded number, whatever the references
+    r = reads.join(F.broadcast(places)).where(F.col("_from") + F.col("_len") - 1 <= F.length("seq"))
     r = r.withColumn("_seed", F.expr("substring(seq, _from, _len)")).select("read_id", "seq", "_from", "_seed")
     hits = r.join(seeds, ["_from", "_seed"]).where(F.col("_at") + n - 1 <= F.length("seq"))
     ok = hamming(F.expr("substring(seq, _at, length(pattern))"), F.col("pattern")) <= F.col("_m")
@@ -69,14 +67,28 @@ def clipped(patterns: DataFrame, clip: int) -> DataFrame:
     return patterns.where((F.col("kind") == "bar") & (n > 0)).select("ref", F.lit(f"clip_{clip}").alias("kind"), F.expr(f"substring(pattern, 1, length(pattern) - {clip})").alias("pattern"), (F.col("start") + clip).alias("start"))
 
 
+def confirm(reads: DataFrame, pairs: DataFrame, patterns: DataFrame, mismatches: Column, tolerance: int) -> DataFrame:
+    """(read_id, ref, kind) of `pairs` (read_id, ref) whose read has the reference's pattern in its window.
+
+    Only found pairs are tested, at each of the few places of the window.
+    """
+    n = F.length("pattern")
+    p = patterns.withColumn("_m", mismatches).withColumn("_lo", F.greatest(F.col("start") - tolerance, F.lit(1)))
+    p = p.withColumn("_at", F.explode(F.sequence("_lo", F.greatest(F.col("start") + tolerance + 1, F.col("_lo")))))
+    near = pairs.join(p, "ref").join(reads, "read_id").where(F.col("_at") + n - 1 <= F.length("seq"))
+    ok = hamming(F.expr("substring(seq, _at, length(pattern))"), F.col("pattern")) <= F.col("_m")
+    return near.where(ok).select("read_id", "ref", "kind").distinct()
+
+
 def all_hits(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0, clip: int = 0) -> DataFrame:
-    """Every search of one mate: (read_id, ref, kind)."""
+    """Every search of one mate: (read_id, ref, kind). Second signatures are sought where a barcode is."""
     bars = patterns.where(F.col("kind").isin("bar", "rev_bar"))
     out = search(reads, bars, mismatches, tolerance)
     for c in range(1, clip + 1):
         out = out.unionByName(search(reads, clipped(patterns, c), 0, 0))
     second = patterns.where(F.col("kind").isin("sec", "rev_sec"))
-    return out.unionByName(search(reads, second, secondary_mismatches(F.length("pattern")), SECONDARY_TOLERANCE))
+    pairs = out.select("read_id", "ref").distinct()
+    return out.unionByName(confirm(reads, pairs, second, secondary_mismatches(F.length("pattern")), SECONDARY_TOLERANCE))
 
 
 def assigned(hits: DataFrame, patterns: DataFrame) -> DataFrame:

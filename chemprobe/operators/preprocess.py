@@ -85,3 +85,8 @@ def enough_reads(used: DataFrame, least: int = 1000) -> int:
     if n < least:
         raise ValueError(f"{n} reads are left, {least} are needed")
     return n
+
+
+def report_text(counters: DataFrame) -> str:
+    """The report as lines of `step: n`; its rows are the steps, a fixed few."""
+    return "".join(f"{r['step'].replace('_', ' ')}: {r['n']}\n" for r in counters.collect())

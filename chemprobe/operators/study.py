@@ -92,6 +92,13 @@ class Study:
         b = p.select(F.col("unique_id").alias("id2"), "pos", F.col("sub_rate").alias("y"))
         return linear_fit(a.join(b, "pos").where("id1 < id2"), ["id1", "id2"], "x", "y")
 
+    def figure_tables(self, **k) -> dict[str, DataFrame]:
+        """The data of all figures that need no further choice, by name."""
+        names = ["mutation_fraction", "mutation_fraction_identity", "base_coverage", "compare_profiles", "reads_distribution"]
+        names += ["delta_g_vs_sub_rate"] if "deltaG" in self.df.columns else []
+        names += ["hist", "hist_by_sample"] if "sub_hist" in self.df.columns else []
+        return {name: getattr(self, name)(**k) for name in names if name != "reads_distribution" or "num_aligned" in self.df.columns}
+
     def add_sections(self, library: DataFrame) -> DataFrame:
         """`full` rows cut into the library's sections (reference, section, section_start, section_end)."""
         full = self.df.where(F.col("section") == "full").drop("section", "section_start", "section_end")

@@ -206,7 +206,7 @@ def demux_multihit_removed(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "demux_report",
     f"WITH {_HITS}, fin AS (SELECT ref, count(*) AS k FROM got WHERE read_id IN (SELECT read_id FROM one) GROUP BY 1) "
-    "SELECT h.ref, count(CASE WHEN bar THEN 1 END) AS init_barcode, count(CASE WHEN rbar THEN 1 END) AS init_rev_barcode, count(CASE WHEN sec THEN 1 END) AS sec_hits, count(CASE WHEN rsec THEN 1 END) AS rev_sec_hits, "
+    "SELECT h.ref, count(CASE WHEN bar THEN 1 END) AS init_barcode, count(CASE WHEN rbar THEN 1 END) AS init_rev_barcode, count(CASE WHEN (bar OR rbar) AND sec THEN 1 END) AS sec_hits, count(CASE WHEN (bar OR rbar) AND rsec THEN 1 END) AS rev_sec_hits, "
     "count(CASE WHEN bar OR rbar THEN 1 END) AS unfiltered, count(CASE WHEN (bar OR rbar) AND (sec OR rsec) THEN 1 END) AS pre_union, coalesce(max(k), 0) AS final_count, "
     "count(CASE WHEN bar OR rbar THEN 1 END) - count(CASE WHEN (bar OR rbar) AND (sec OR rsec) THEN 1 END) AS reads_lost_to_filter FROM h LEFT JOIN fin ON fin.ref = h.ref GROUP BY h.ref",
 )

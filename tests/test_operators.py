@@ -109,6 +109,8 @@ def test_study(spark):
     assert {r["unique_id"] for r in s.get_df().collect()} == {"s", "t"}
     with pytest.raises(ValueError):
         s.get_df(nothing=1)
+    df2 = df.withColumns({f"sub_{b}": F.col("cov") for b in "ACGTN"} | {"info": F.col("cov")})
+    assert {k: t.count() for k, t in st.Study(df2).figure_tables().items()}["base_coverage"] == 8
     both = st.Study.of(df, df.withColumn("extra", F.lit(1)))
     assert both.df.count() == 4 and both.df.where("extra IS NULL").count() == 2
 
