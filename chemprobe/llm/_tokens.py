@@ -16,7 +16,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: patterns, which only makes fewer cuts.
 _CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
 #: A cache holds two generations of at most about so many pieces, none longer than the second number.
-_KEEP_PIECES, _KEEP_LENGTH = 500_000, 64
+_KEEP_PIECES, _KEEP_LENGTH = 350_000, 64
 
 
 def pieces(text: str) -> list[str]:

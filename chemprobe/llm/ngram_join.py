@@ -37,7 +37,7 @@ PART_ROWS = 1_500_000
 #: Every so many-th segment also publishes its one-deletion neighbourhood.
 DELETE_EVERY = 16
 _LEVELS = 64
-_KEEP_WORDS = 400_000
+_KEEP_WORDS = 200_000
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _OWN, _DELETED, _EMPTY, _NEEDED = 0, 1, 2, 3
@@ -204,6 +204,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             h1, h2 = _set_hashes(s)
             rows.append((doc_id, len(s), h1, h2, *bands(s)))
         yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "n_sigs", "bands"]).astype({"doc_id": "Int64"})
+    _words.clear()  # the worker goes on to other tasks
 
 
 def _blob_maker(parts: int):
@@ -244,6 +245,7 @@ def _blob_maker(parts: int):
                     sigs, classes, seen, size = [], [], set(), 0
         if sigs:
             yield pack(sigs, classes)
+        _words.clear()
 
     return run
 
@@ -306,6 +308,7 @@ _CAN_LINK = """5 * least(nx, ny) >= 4 * greatest(nx, ny)
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({"node": batch["node"], "items": [shingle_set(t).view(np.int64) for t in batch["text"]]})
+    _words.clear()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
