@@ -13,7 +13,7 @@ MIN_GROUP = 50
 #: Values keep this many significant bits in a sketch: an error under 1/64 of the value.
 SKETCH_BITS = 7
 #: Each measure in thousandths, and the least spread (q75 - q25) that its threshold assumes.
-MEASURES = {"symbols": 20, "dup_lines": 150, "repeats": 60, "capitals": 50}
+MEASURES = {"symbols": 20, "dup_lines": 150, "repeats": 140, "capitals": 50}
 #: A threshold lies this many spreads above the third quartile.
 SPREADS = 3
 #: A group's threshold is at most so many times its language's.
@@ -21,6 +21,9 @@ MOST_OF_LANG = 2
 
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
+#: Thresholds are broadcast up to so many groups; beyond that they are joined by group.
+BROADCAST_GROUPS = 50_000
+
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -157,7 +160,9 @@ def judge(docs: DataFrame) -> DataFrame:
     # a prefix keeps null apart from every value
     for key in ("lang", "source"):
         m = m.withColumn(f"__g{key}", F.coalesce(F.concat(F.lit("="), key), F.lit("")))
-    limits = thresholds(sketches(m.where(~F.col("base_failed")), ["__glang", "__gsource"]))
+    limits = saved(thresholds(sketches(m.where(~F.col("base_failed")), ["__glang", "__gsource"])), "quality-thresholds")
+    # a few numbers a group: sent to every task while that is small, so that a hot group is not dealt to one
+    limits = F.broadcast(limits) if limits.count() <= BROADCAST_GROUPS else limits
     joined = m.join(limits, ["__glang", "__gsource"], "left")
     within = F.lit(True)
     for name in MEASURES:
