@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chemprobe.llm._shared import bound_batches
-from chemprobe.llm._tokens import PieceCache, in_lots
+from chemprobe.llm._tokens import PieceCache, as_bytes, in_lots
 
 #: Fixed value: the pattern that byte-level vocabularies of this kind split texts by.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -68,7 +68,7 @@ class Transducer:
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.split = regex.compile(SPLIT)
-        self.cache = PieceCache(lambda ps: map(self.encode_piece, ps))
+        self.cache = PieceCache(lambda ps: [as_bytes(self.encode_piece(p)) for p in ps])
 
     def _sufficient_lookahead(self, pairs: list[tuple[int, int, int]]) -> int:
         """Bytes after a token that can still change it: one pass over the merges by rising priority number."""
