@@ -50,7 +50,9 @@ def identities(docs: DataFrame) -> DataFrame:
     block = F.substring("b", F.col("_idx") * BLOCK_BYTES + 1, F.lit(BLOCK_BYTES))
     blocks = blocks.select("_rid", "doc_id", "n_chars", "text_sha256", "_nb", "_idx", block.alias("_block"))
 
-    named = blocks.join(_named(blocks.select("_block"), ["_block"]), "_block", "left")
+    # the names are written first: a join of two plain exchanges can split a hot block's partition
+    names = saved(_named(blocks.select("_block"), ["_block"]), "block-names")
+    named = blocks.join(names, "_block", "left")
     first = Saved(named.select("_rid", "doc_id", "n_chars", "text_sha256", "_nb", "_idx", F.coalesce("_name", F.lit(UNIQUE)).alias("_name")), "blocks")
     rows = first.df.select("_rid", "_nb", "_idx", "_name")
 
@@ -65,7 +67,8 @@ def identities(docs: DataFrame) -> DataFrame:
         )
         known = (F.col("_l") != UNIQUE) & (F.col("_r") != UNIQUE)
         pairs = saved(pairs, f"pairs-{levels}")
-        joined = pairs.join(_named(pairs.where(known).select("_l", "_r"), ["_l", "_r"]), ["_l", "_r"], "left")
+        names = saved(_named(pairs.where(known).select("_l", "_r"), ["_l", "_r"]), f"pair-names-{levels}")
+        joined = pairs.join(names, ["_l", "_r"], "left")
         named = saved(joined.select("_rid", "_nb", "_idx", F.coalesce("_name", F.lit(UNIQUE)).alias("_name")), f"names-{levels}")
         done.append(named.where("_nb = 1").select("_rid", F.lit(levels).alias("levels"), "_name"))
         left = named.where("_nb > 1")
