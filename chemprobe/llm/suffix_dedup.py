@@ -28,7 +28,7 @@ from chemprobe.llm._shared import Saved, bound_batches, saved, text_or_empty
 LENGTH = 200
 GRAM = 32
 #: Anchors per partition of the exchange, and bytes of context per suffix array.
-PART_ANCHORS, PART_BYTES = 200_000, 2_000_000
+PART_ANCHORS, PART_BYTES = 150_000, 800_000
 #: A long text's anchors are found so many starts at a time.
 _RUN = 1 << 22
 _POS = np.uint64((1 << 24) - 1)
