@@ -172,5 +172,5 @@ def align(reads: DataFrame, refs: DataFrame, options: AlignOptions = AlignOption
 def quality_report(reads: DataFrame, encoding: int = 33) -> DataFrame:
     """Per mate and position: reads, mean quality and base counts."""
     zipped = F.arrays_zip(F.split("seq", "").alias("b"), F.split("qual", "").alias("q"))
-    rows = reads.select("mate", F.posexplode(zipped).alias("i", "x")).select("mate", (F.col("i") + 1).alias("pos"), "x.b", (F.ascii("x.q") - encoding).alias("q"))
+    rows = reads.where(F.length("seq") > 0).select("mate", F.posexplode(zipped).alias("i", "x")).select("mate", (F.col("i") + 1).alias("pos"), "x.b", (F.ascii("x.q") - encoding).alias("q"))
     return rows.groupBy("mate", "pos").agg(F.count(F.lit(1)).alias("n"), F.avg("q").alias("mean_quality"), *[F.count(F.when(F.col("b") == b, 1)).alias(f"n_{b}") for b in "ACGTN"])

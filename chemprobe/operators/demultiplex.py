@@ -53,11 +53,13 @@ def search(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance
     b = F.expr("(_piece + 1) * length(pattern) div _k")
     seeds = p.withColumn("_from", (F.col("_at") + a).cast("int")).withColumn("_len", (b - a).cast("int"))
     seeds = seeds.withColumn("_seed", F.expr("substring(pattern, cast(_from - _at + 1 as int), _len)"))
-    places = seeds.select("_from", "_len").distinct()  # places in a read: a bounded number, whatever the references
-    r = reads.join(F.broadcast(places)).where(F.col("_from") + F.col("_len") - 1 <= F.length("seq"))
-    r = r.withColumn("_seed", F.expr("substring(seq, _from, _len)")).select("read_id", "seq", "_from", "_seed")
-    hits = r.join(seeds, ["_from", "_seed"]).where(F.col("_at") + n - 1 <= F.length("seq"))
-    ok = hamming(F.expr("substring(seq, _at, length(pattern))"), F.col("pattern")) <= F.col("_m")
+    seeds = seeds.withColumn("_n", n)
+    places = seeds.select("_at", "_n", "_from", "_len").distinct()
+    # only the window goes on, not the read
+    r = reads.join(F.broadcast(places)).where(F.col("_at") + F.col("_n") - 1 <= F.length("seq"))
+    r = r.select("read_id", "_at", "_n", "_from", F.expr("substring(seq, _at, _n)").alias("_window"), F.expr("substring(seq, _from, _len)").alias("_seed"))
+    hits = r.join(seeds, ["_at", "_n", "_from", "_seed"])
+    ok = hamming(F.col("_window"), F.col("pattern")) <= F.col("_m")
     return hits.where(ok).select("read_id", "ref", "kind").distinct()
 
 

@@ -31,8 +31,9 @@ def vec_sql(extra: str = "", name: str = "vec") -> str:
     )
 
 
-def as_bases(text: Column, length: int = 150) -> Column:
-    return F.translate(F.substring(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), 1, length), LETTERS, BASES)
+def as_bases(text: Column) -> Column:
+    """Every letter of a text as a base."""
+    return F.translate(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), LETTERS, BASES)
 
 
 def as_bases_sql(text: str, length: int = 150) -> str:
@@ -40,17 +41,16 @@ def as_bases_sql(text: str, length: int = 150) -> str:
 
 
 def reads(spark: SparkSession, sf: str) -> DataFrame:
-    """Reads (read_id, seq) from document texts; those under 60 bases are left out."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("read_id"), as_bases(F.col("text")).alias("seq"))
-    return docs.where(F.length("seq") >= 60)
+    """Reads (read_id, seq): every document's whole text."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("read_id"), as_bases(F.col("text")).alias("seq"))
 
 
 READS = f"reads AS (SELECT * FROM (SELECT doc_id AS read_id, {as_bases_sql('text')} AS seq FROM documents) q WHERE length(seq) >= 60)"
 
 
 def refs(spark: SparkSession, sf: str) -> DataFrame:
-    """References (ref, seq) from benchmark passages."""
-    return table(spark, sf, "benchmark").select(F.col("item_id").alias("ref"), as_bases(F.col("text"), 200).alias("seq")).where(F.length("seq") >= 60)
+    """References (ref, seq): every benchmark passage, whole."""
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("ref"), as_bases(F.col("text")).alias("seq"))
 
 
 REFS = f"refs AS (SELECT * FROM (SELECT item_id AS ref, {as_bases_sql('text', 200)} AS seq FROM benchmark) q WHERE length(seq) >= 60)"

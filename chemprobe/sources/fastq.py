@@ -20,7 +20,7 @@ def read_fastq(spark: SparkSession, path: str, interleaved: bool = False) -> Dat
     record is left out, and records whose bases and qualities differ in number are too.
     """
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = whole.select("file", F.split(F.rtrim("value", F.lit("\n")), "\n").alias("l"))
+    lines = whole.select("file", F.split("value", "\n").alias("l"))
     n = F.expr("size(l) div 4")
     rec = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("rec"), *[F.get("l", i * 4 + k).alias(c) for k, c in enumerate(("head", "seq", "plus", "qual"))]))
     rows = lines.where(n > 0).select("file", F.explode(rec).alias("r")).select("file", "r.*")
