@@ -53,7 +53,13 @@ def quality_cut(qual: np.ndarray, least: int) -> tuple[int, int]:
 def adapter_at(seq: str, adapter: str, overlap: int, error: float) -> int:
     """The first place from which the read agrees with the adapter's start, mismatches within `error`; or its length."""
     a, s = np.frombuffer(adapter.encode(), np.uint8), np.frombuffer(seq.encode(), np.uint8)
-    for i in range(len(s) - overlap + 1):
+    whole = max(len(s) - len(a) + 1, 0)
+    if whole:
+        differ = sum((s[k : k + whole] != a[k]).astype(np.int32) for k in range(len(a)))
+        hits = np.flatnonzero(differ <= int(error * len(a)))
+        if len(hits):
+            return int(hits[0])
+    for i in range(whole, len(s) - overlap + 1):
         n = min(len(a), len(s) - i)
         if (s[i : i + n] != a[:n]).sum() <= int(error * n):
             return i

@@ -113,10 +113,14 @@ def array_profile(vectors: DataFrame, keys: list[str], end5: str = "end5") -> Da
     def partial(batches):
         for batch in batches:
             for key, rows in batch.groupby([*keys, end5], dropna=False):
-                matrix = np.stack([np.asarray(v, np.int16) & 255 for v in rows["vec"]])
+                sums = np.zeros((len(names), rows["vec"].map(len).max()), np.int64)
+                for v in rows["vec"]:
+                    codes_ = np.asarray(v, np.int16) & 255
+                    for k, n in enumerate(names):
+                        sums[k, : len(codes_)] += tables[n][codes_]
                 out = {k: v for k, v in zip([*keys], key)}
-                frame = pd.DataFrame({n: tables[n][matrix].sum(axis=0).astype("int64") for n in names})
-                frame.insert(0, "pos", key[-1] + np.arange(matrix.shape[1]))
+                frame = pd.DataFrame(dict(zip(names, sums)))
+                frame.insert(0, "pos", key[-1] + np.arange(sums.shape[1]))
                 for k in reversed(keys):
                     frame.insert(0, k, out[k])
                 yield frame

@@ -57,12 +57,16 @@ def fastq_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
-    """Records of reads against themselves as references, with a substitution, a deletion or an insertion."""
-    r = reads(spark, sf).where("read_id % 10 = 0 AND length(seq) >= 80")
+    """Records of reads against themselves as references, with a substitution, or a deletion or insertion of 2 to 6 bases.
+
+    Reads too short for that match throughout; those without bases have no record.
+    """
+    r = reads(spark, sf).where("length(seq) > 0")
     n = F.length("seq")
     turn = "translate(substr(seq, 21, 1), 'ACGT', 'CGTA')"
-    r = r.withColumn("kind", (F.col("read_id") / 10 % 3).cast("int")).withColumn("s", F.expr(f"case kind when 0 then concat(substr(seq, 1, 20), {turn}, substr(seq, 22)) when 1 then concat(substr(seq, 1, 20), substr(seq, 23)) else concat(substr(seq, 1, 20), 'GG', substr(seq, 21)) end"))
-    cigar = F.expr("case kind when 0 then concat(length(seq), 'M') when 1 then concat('20M2D', length(seq) - 22, 'M') else concat('20M2I', length(seq) - 20, 'M') end")
+    r = r.withColumn("kind", F.expr("if(length(seq) < 40, 3, cast(read_id % 3 as int))")).withColumn("size", F.expr("cast(read_id div 3 % 5 + 2 as int)"))
+    r = r.withColumn("s", F.expr(f"case kind when 0 then concat(substr(seq, 1, 20), {turn}, substr(seq, 22)) when 1 then concat(substr(seq, 1, 20), substr(seq, 21 + size)) when 2 then concat(substr(seq, 1, 20), repeat('G', size), substr(seq, 21)) else seq end"))
+    cigar = F.expr("case kind when 1 then concat('20M', size, 'D', length(seq) - 20 - size, 'M') when 2 then concat('20M', size, 'I', length(seq) - 20, 'M') else concat(length(seq), 'M') end")
     return r.select(
         F.concat(F.lit("d"), "read_id").alias("qname"), F.lit(0).alias("flag"), F.concat(F.lit("r"), "read_id").alias("rname"), F.lit(1).alias("pos"), F.lit(42).alias("mapq"),
         cigar.alias("cigar"), F.lit("*").alias("rnext"), F.lit(0).alias("pnext"), F.lit(0).alias("tlen"), F.col("s").alias("seq"), F.expr("repeat('F', length(s))").alias("qual"),
@@ -71,7 +75,7 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sections_of(records: DataFrame) -> DataFrame:
-    return records.select(F.col("rname").alias("ref"), F.lit("head").alias("section"), F.lit(1).alias("end5"), F.lit(60).alias("end3"), F.substring("ref_seq", 1, 60).alias("section_seq"))
+    return records.select(F.col("rname").alias("ref"), F.lit("full").alias("section"), F.lit(1).alias("end5"), F.length("ref_seq").alias("end3"), F.col("ref_seq").alias("section_seq"))
 
 
 @query("sam_round_trip", f"WITH {READS} SELECT concat('d', read_id) AS qname, concat('r', read_id) AS rname FROM reads WHERE read_id % 10 = 0 AND length(seq) >= 80")
@@ -128,9 +132,9 @@ def em_membership(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fastq(spark: SparkSession, sf: str) -> DataFrame:
-    tail = "concat(substr(seq, 1, 80), 'AGATCGGAAGAGC')"
-    r = reads(spark, sf).where("read_id % 20 = 0").withColumn("seq", F.expr(f"if(read_id % 40 = 0, {tail}, seq)"))
-    qual = F.expr("concat(repeat('F', length(seq) - 5), '#####')")
+    """Reads with a poor end, every second one with an adapter after it."""
+    r = reads(spark, sf).withColumn("seq", F.expr("if(read_id % 2 = 0, concat(seq, 'AGATCGGAAGAGC'), seq)"))
+    qual = F.expr("concat(repeat('F', length(seq) - 5), repeat('#', least(length(seq), 5)))")
     return r.select(F.col("read_id").cast("string").alias("read_id"), F.lit(0).alias("mate"), "seq", qual.alias("qual"))
 
 

@@ -2,7 +2,8 @@
 
 import pytest
 
-from chemprobe.plans import catalogue
+from chemprobe.operators.align import TrimOptions
+from chemprobe.plans import catalogue, procedures
 from chemprobe.plans.views import BASES, LETTERS
 
 TEXTS = {0: "Short text.", 1: "Word and more words, " * 40, 2: "Word and other words! " * 45, 3: "Tail. " * 30, 4: ""}
@@ -39,3 +40,37 @@ def test_references_are_whole(spark, sf):
 
 def test_fastq_keeps_every_read(spark, sf):
     assert rows(spark, sf, "fastq_round_trip", "read_id", "seq") == [(f"d{k}", bases(t)) for k, t in TEXTS.items()]
+
+
+def test_every_read_is_vectorised(spark, sf):
+    whole = {f"d{k}": len(bases(t)) for k, t in TEXTS.items() if t}
+    assert rows(spark, sf, "sam_round_trip", "qname") == [(q,) for q in sorted(whole)]
+    got = catalogue.QUERIES["vectorize_reads"](spark, sf).collect()
+    assert {r["read"]: (len(r["vec"]), r["error"]) for r in got} == {q: (n, None) for q, n in whole.items()}
+    cov = {r["pos"]: r["cov"] for r in catalogue.QUERIES["vector_profile"](spark, sf).collect()}
+    assert cov == {i: sum(i <= n for n in whole.values()) for i in range(1, max(whole.values()) + 1)}
+
+
+def test_indels_of_many_sizes(spark, tmp_path):
+    text = "Enough letters for an indel of any size in these records."
+    spark.createDataFrame([(k, text) for k in range(15)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    cigars = {r["cigar"] for r in procedures._records(spark, str(tmp_path)).select("cigar").collect()}
+    n = len(bases(text))
+    assert cigars == {f"{n}M"} | {f"20M{k}D{n - 20 - k}M" for k in range(2, 7)} | {f"20M{k}I{n - 20}M" for k in range(2, 7)}
+
+
+def test_every_read_is_trimmed(spark, sf):
+    got = {r["read_id"]: r["seq"] for r in catalogue.QUERIES["trim_reads"](spark, sf).collect()}
+    # a poor end of five is cut from each read, and what is left of the adapter from the even ones
+    for k, t in TEXTS.items():
+        seq = (bases(t) + "AGATCGGAAGAGC" * (k % 2 == 0))[:-5]
+        if len(seq) >= 20:
+            assert got[str(k)] == seq[: adapter_by_hand(seq)]
+
+
+def adapter_by_hand(seq, adapter="AGATCGGAAGAGC", o=TrimOptions()):
+    for i in range(len(seq) - o.overlap + 1):
+        pairs = list(zip(seq[i:], adapter))
+        if sum(a != b for a, b in pairs) <= int(o.error * len(pairs)):
+            return i
+    return len(seq)
