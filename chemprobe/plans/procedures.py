@@ -105,7 +105,7 @@ def vector_report(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.report(ve.vectorize(r.drop("ref_seq"), _sections_of(r)), "2020-01-01 00:00:00.000000", "2020-01-01 00:00:10.500000", ["a", "b"])
 
 
-_OPTIONS = cl.Options(max_clusters=2, num_runs=2, min_iter=5, max_iter=20)
+_OPTIONS = cl.Options()
 
 
 def _patterns(spark: SparkSession, sf: str) -> DataFrame:

@@ -74,3 +74,17 @@ def adapter_by_hand(seq, adapter="AGATCGGAAGAGC", o=TrimOptions()):
         if sum(a != b for a, b in pairs) <= int(o.error * len(pairs)):
             return i
     return len(seq)
+
+
+@pytest.mark.parametrize("name", ["em_cluster", "em_membership"])
+def test_clustering_takes_the_operator_defaults(spark, monkeypatch, name):
+    class Seen(Exception):
+        pass
+
+    def runs(patterns, positions, length, options):
+        assert options == procedures.cl.Options() and (options.max_clusters, options.num_runs, options.min_iter, options.max_iter) == (3, 10, 100, 500)
+        raise Seen
+
+    monkeypatch.setattr(procedures.cl, "runs", runs)
+    with pytest.raises(Seen):
+        catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
