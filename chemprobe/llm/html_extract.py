@@ -43,14 +43,19 @@ _BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements that are never article text.
-_NEVER = frozenset("nav footer aside form button select option input label svg math object audio video canvas map head menu dialog".split())
-#: Words of a class, id or role that mark what is not article text.
+_NEVER = frozenset("nav footer aside button select option input label svg math object audio video canvas map head menu dialog".split())
+#: A marked element or form with at least this share of the page's running text is a wrapper, and stays.
+WRAPPER_SHARE = 0.9
+#: Words that mark what is not article text, in a class, id or role that has no others but _NEUTRAL ones.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu sidebar aside "
     "footer header masthead topbar breadcrumb breadcrumbs comment comments respond reply replies disqus cookie cookies consent gdpr notice "
     "notices alert popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended recommendations "
     "widget toolbar pagination pager skip copyright legal disclaimer search contentinfo complementary form paywall".split()
 )
+_NEUTRAL = frozenset("site top bottom left right list item items box block bar area section links link button buttons posts stories inner outer primary secondary global slot unit main".split())
+#: Their ids name places in the text, not what they are.
+_ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 section p li dt dd a span tr td blockquote pre".split())
 #: An open element of the first kind ends when one of the second begins.
 _ENDS = {
     "li": frozenset(["li"]),
@@ -62,14 +67,26 @@ _ENDS = {
     "option": frozenset(["option", "optgroup"]),
     "p": _BLOCK - frozenset(["html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"]),
 }
+_EXEMPT = ("html", "body", "main", "article")
 _STOPS = {"li": ("ul", "ol", "menu", "dir"), "td": ("table",), "th": ("table",), "tr": ("table",), "dt": ("dl",), "dd": ("dl",)}
 
 
+def _marked(value: str) -> bool:
+    """Whether a class, id or role has a name made of marks alone, besides neutral words."""
+    for name in value.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", name).lower())
+        if not _MARKS.isdisjoint(words) and all(w in _MARKS or w in _NEUTRAL for w in words):
+            return True
+    return False
+
+
 class Page:
     """A page as flat lists: elements with parent, tag, path and kind; texts with their element and block."""
 
     def __init__(self, html: str):
-        self.tags, self.parents, self.paths, self.dropped, self.links = [""], [-1], [""], [False], [False]
+        self.tags, self.parents, self.paths, self.links = [""], [-1], [""], [False]
+        #: per element, of itself: whether its tag is dropped, and whether it is only marked or a form
+        self.never, self.marked = [False], [False]
         self.texts: list[tuple[int, int, str]] = []
         self.ends = [0]  # per element: the number of texts when it closed
         self.begins = [0]
@@ -115,13 +132,42 @@ class Page:
             self._text(stack[-1], block, html[at:])
         for e in stack:
             self.ends[e] = len(self.texts)
+        self.dropped = self._drops()
+
+    def _drops(self, marks: bool = True) -> list[bool]:
+        """The elements that are dropped, with all that they hold; without `marks` only those of certain tags.
+
+        A marked element or form stays if it holds nearly all the running text, a main, or the only articles.
+        """
+        n = len(self.tags)
+        never, inside = self.never[:], [False] * n
+        for e in range(1, n):
+            never[e] = never[e] or never[self.parents[e]]
+            inside[e] = inside[self.parents[e]] or self.marked[e]
+        if not marks or not any(self.marked):
+            return never
+        size, holds, mains = [0] * n, [False] * n, [False] * n
+        for element, _, raw in self.texts:
+            if not never[element] and not self.links[element]:
+                size[element] += len("".join(raw.split()))
+        apart = any(t in ("article", "main") and not i for t, i in zip(self.tags, inside))
+        for e in range(n - 1, 0, -1):
+            up, tag = self.parents[e], self.tags[e]
+            size[up] += size[e]
+            mains[up] = mains[up] or mains[e] or tag == "main" and not never[e]
+            holds[up] = holds[up] or holds[e] or tag == "article" and not never[e]
+        out = [False] * n
+        for e in range(1, n):
+            wraps = mains[e] or holds[e] and not apart or size[e] > 0 and size[e] >= WRAPPER_SHARE * size[0]
+            out[e] = out[self.parents[e]] or self.never[e] or self.marked[e] and not wraps
+        return out
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
         marks, name = False, tag
         if "=" in attributes:
             for kind, a, b, c in _CLASS.findall(attributes):
                 value = a or b or c
-                marks = marks or (tag not in ("html", "body", "main", "article") and not _MARKS.isdisjoint(_WORDS.findall(_CAMEL.sub(" ", value).lower())))
+                marks = marks or (tag not in _EXEMPT and not (kind.lower() == "id" and tag in _ANCHORED) and _marked(value))
                 if kind.lower() == "class":
                     name += "".join(sorted("." + _NUMBER.sub("#", x) for x in value.lower().split()))
         inside = self.paths[parent].endswith("/article") or "/article" in self.paths[parent] or "/main" in self.paths[parent]
@@ -129,7 +175,8 @@ class Page:
         self.tags.append(tag)
         self.parents.append(parent)
         self.paths.append(f"{self.paths[parent]}/{name}")
-        self.dropped.append(self.dropped[parent] or marks or never)
+        self.never.append(never)
+        self.marked.append(marks or tag == "form")
         self.links.append(self.links[parent] or tag == "a")
         self.begins.append(len(self.texts))
         self.ends.append(len(self.texts))
@@ -191,8 +238,19 @@ def vote(html: str | None) -> tuple[str, float]:
 
 
 def extract(html: str | None, path: str | None) -> str:
-    """A page's main text, from the containers on `path` or, failing that, from its own best one."""
+    """A page's main text, from the containers on `path` or, failing that, from its own best one.
+
+    A page whose text is all in marked elements or forms has that text.
+    """
     page = Page(html or "")
+    text = _extract(page, path)
+    if not text and any(page.marked):
+        page.dropped = page._drops(marks=False)
+        text = _extract(page, path)
+    return text
+
+
+def _extract(page: Page, path: str | None) -> str:
     own = page.best()
     text = page.text([own])
     if path is None or page.paths[own] == path and page.paths.count(path) == 1:

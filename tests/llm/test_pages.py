@@ -57,3 +57,22 @@ def test_host_consensus(spark):
 
 def test_empty_table(spark):
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+STORY = "The story itself goes here, and on and on. " * 5
+WRAPPED = [
+    (f"<body><div class='content-sidebar-wrap'><article><p>{STORY}</p></article><div class='sidebar'>Side</div></div>", STORY),
+    (f"<body><div class='has-sidebar'><p>{STORY}</p></div>", STORY),
+    (f"<body><div id='page-with-header'><main><p>{STORY}</p></main></div>", STORY),
+    (f"<body><div class='sidebar'><main><p>{STORY}</p></main></div>", STORY),
+    (f"<body><form id=aspnet><div><p>{STORY}</p></div></form>", STORY),
+    (f"<body><form><article><p>{STORY}</p></article><label>Mail</label></form>", STORY),
+    (f"<article><h2 id='share-prices'>Prices</h2><p>{STORY}</p><section id='legal'><p>The law.</p></section></article>", "Prices" + STORY + "The law."),
+    ("<body><div class='legal'><p>All that is here.</p></div><div class='comments'><p>And said.</p></div>", "All that is here."),
+    (f"<article><p>{STORY}</p></article><div class='comments'><article class=c><p>I say</p></article></div><div class='related-posts'>More</div>", STORY),
+]
+
+
+@pytest.mark.parametrize("html,text", WRAPPED)
+def test_wrappers_do_not_empty_a_page(html, text):
+    assert "".join(extract(html, None).split()) == "".join(text.split())
