@@ -2,15 +2,16 @@
 
 Each page's containers are scored by the running text that they hold. A container's path is its chain of
 tags and classes, generalised (numbers and long hashes in a class become one sign). Pages of one host
-vote for the path of their best container, with its score; in Spark this is one partial aggregation, so
+vote for the path of their best container, with its size; in Spark this is one partial aggregation, so
 a hot host never meets in a task. Each page is then extracted again from the containers on its host's
-winning path. A page without that path, or with next to nothing on it, goes by its own best container.
+winning path. A page without that path goes by its own best container; where the path misses some of
+that, both are extracted, unless the own one is apart and no other page of the host has it as its best.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from html import unescape
 
 import pandas as pd
@@ -21,8 +22,12 @@ from chemprobe.llm._shared import bound_batches, saved
 
 #: Winning paths are broadcast up to so many hosts; beyond that they are joined by host.
 BROADCAST_HOSTS = 50_000
-#: A page keeps to its host's path if that holds at least this share of its own best container's text.
+#: A page keeps to its host's path if that covers at least this share of its own best container's text.
+NEARLY_ALL = 0.95
+#: Or has at least this share of it elsewhere, and the page's own container is no other page's best.
 LEAST_SHARE = 0.2
+#: A page's path is backed by its host from so many votes on.
+BACKED = 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
@@ -67,6 +72,8 @@ _ENDS = {
     "option": frozenset(["option", "optgroup"]),
     "p": _BLOCK - frozenset(["html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"]),
 }
+#: Parts and wholes of lists and tables, which are parts of what is around them.
+_PARTS = frozenset("li ul ol dl dt dd tr tbody thead tfoot table".split())
 _EXEMPT = ("html", "body", "main", "article")
 _STOPS = {"li": ("ul", "ol", "menu", "dir"), "td": ("table",), "th": ("table",), "tr": ("table",), "dt": ("dl",), "dd": ("dl",)}
 
@@ -132,7 +139,13 @@ class Page:
             self._text(stack[-1], block, html[at:])
         for e in stack:
             self.ends[e] = len(self.texts)
-        self.dropped = self._drops()
+        self.drop()
+
+    def drop(self, marks: bool = True) -> None:
+        """Settles what is dropped, and the letters of running text (not dropped, no links) before each text."""
+        self.dropped, self.letters = self._drops(marks), [0]
+        for element, _, raw in self.texts:
+            self.letters.append(self.letters[-1] + (0 if self.dropped[element] or self.links[element] else len("".join(raw.split()))))
 
     def _drops(self, marks: bool = True) -> list[bool]:
         """The elements that are dropped, with all that they hold; without `marks` only those of certain tags.
@@ -205,10 +218,47 @@ class Page:
                 out[next_] = out.get(next_, 0) + n / 2
         return out
 
+    def size(self, e: int) -> int:
+        """Letters of running text in an element."""
+        return self.letters[self.ends[e]] - self.letters[self.begins[e]]
+
     def best(self) -> int:
-        """The container with the highest score (the later and so inner one of equals); 0 if none has text."""
+        """The container of the highest score (the later and so inner one of equals), or what is around it; 0 if none has text.
+
+        It is widened to the nearest article or main that has more; outside of those, to the nearest element
+        that has more. Body, root and table cells must hold a block of their own for that.
+        """
         scored = self.scores()
-        return max(scored, key=lambda e: (scored[e], e)) if scored else 0
+        if not scored:
+            return 0
+        e = max(scored, key=lambda e: (scored[e], e))
+        while self.tags[e] in _PARTS and self.parents[e] > 0:
+            e = self.parents[e]
+        around, up = [], e
+        while up > 0:
+            up = self.parents[up]
+            around.append(up)
+        n = self.size(e)
+        named = [a for a in around if self.tags[a] in ("article", "main")]
+        for a in named:
+            if self.size(a) > n:
+                return a
+        if named or self.tags[e] in ("article", "main"):
+            return e
+        for a in around:
+            if self.size(a) > n:
+                return e if self.tags[a] in ("", "html", "body", "td", "th") and not self._own_block(a) else a
+        return e
+
+    def _own_block(self, e: int) -> bool:
+        """Whether running text is in the element itself, or in a paragraph or heading that is its child."""
+        for element, _, raw in self.texts[self.begins[e] : self.ends[e]]:
+            if not self.dropped[element] and not self.links[element] and not raw.isspace():
+                while element > e and self.tags[element] not in _BLOCK:
+                    element = self.parents[element]
+                if element == e or self.parents[element] == e and self.tags[element] in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"):
+                    return True
+        return False
 
     def text(self, elements: list[int]) -> str:
         """The blocks within `elements`, in page order, without the dropped parts."""
@@ -231,26 +281,26 @@ class Page:
 
 
 def vote(html: str | None) -> tuple[str, float]:
-    """The path of a page's best container, and its score."""
+    """The path of a page's best container, and its size."""
     page = Page(html or "")
     e = page.best()
-    return page.paths[e], float(page.scores().get(e, 0.0))
+    return page.paths[e], float(page.size(e))
 
 
-def extract(html: str | None, path: str | None) -> str:
+def extract(html: str | None, path: str | None, backed: Collection[str] = ()) -> str:
     """A page's main text, from the containers on `path` or, failing that, from its own best one.
 
     A page whose text is all in marked elements or forms has that text.
     """
     page = Page(html or "")
-    text = _extract(page, path)
+    text = _extract(page, path, backed)
     if not text and any(page.marked):
-        page.dropped = page._drops(marks=False)
-        text = _extract(page, path)
+        page.drop(marks=False)
+        text = _extract(page, path, backed)
     return text
 
 
-def _extract(page: Page, path: str | None) -> str:
+def _extract(page: Page, path: str | None, backed: Collection[str]) -> str:
     own = page.best()
     text = page.text([own])
     if path is None or page.paths[own] == path and page.paths.count(path) == 1:
@@ -259,7 +309,16 @@ def _extract(page: Page, path: str | None) -> str:
     if not on_path:
         return text
     agreed = page.text(on_path)
-    return agreed if len(agreed) >= LEAST_SHARE * len(text) else text
+    covered, done = 0, page.begins[own]
+    for e in on_path:
+        lo, hi = max(done, page.begins[e]), min(page.ends[own], page.ends[e])
+        covered += page.letters[hi] - page.letters[lo] if lo < hi else 0
+        done = max(done, hi)
+    if covered >= NEARLY_ALL * page.size(own):
+        return agreed
+    if not covered and page.paths[own] not in backed and len(agreed) >= LEAST_SHARE * len(text):
+        return agreed
+    return page.text(sorted({own, *on_path}))
 
 
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,7 +329,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _extracts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        texts = [extract(h, p) for h, p in zip(batch["html"], batch["path"])]
+        texts = [extract(h, p, () if b is None else frozenset(b)) for h, p, b in zip(batch["html"], batch["path"], batch["backed"])]
         yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "path": batch["path"]})
 
 
@@ -281,10 +340,11 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): each host's winning path, by votes' summed logarithmic scores, then by name."""
+    """(host, path, backed): each host's winning path, by votes' summed logarithmic sizes, then by name; all its paths of more than one vote."""
     ballots = with_host(pages).select("host", "html").mapInPandas(_votes, "host string, path string, score double")
-    counted = ballots.where("score > 0").groupBy("host", "path").agg(F.sum(F.log1p("score").cast("decimal(18,6)")).alias("v"))
-    return counted.groupBy("host").agg(F.max(F.struct("v", "path")).alias("w")).select("host", F.col("w.path").alias("path"))
+    counted = ballots.where("score > 0").groupBy("host", "path").agg(F.sum(F.log1p("score").cast("decimal(18,6)")).alias("v"), F.count(F.lit(1)).alias("k"))
+    won = counted.groupBy("host").agg(F.max(F.struct("v", "path")).alias("w"), F.collect_list(F.when(F.col("k") >= BACKED, F.col("path"))).alias("backed"))
+    return won.select("host", F.col("w.path").alias("path"), "backed")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -298,7 +358,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     winners = saved(host_paths(pages), "host-paths")
     hosts = winners.count()
     winners = F.broadcast(winners) if hosts <= BROADCAST_HOSTS else winners
-    joined = with_host(pages).join(winners, "host", "left").select("page_id", "url", "html", "path")
+    joined = with_host(pages).join(winners, "host", "left").select("page_id", "url", "html", "path", "backed")
     out = joined.mapInPandas(_extracts, "page_id long, url string, text string, path string")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "path")
 

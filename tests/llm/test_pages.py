@@ -76,3 +76,33 @@ WRAPPED = [
 @pytest.mark.parametrize("html,text", WRAPPED)
 def test_wrappers_do_not_empty_a_page(html, text):
     assert "".join(extract(html, None).split()) == "".join(text.split())
+
+
+LIST = "".join(f"<li>item number {i} of the list</li>" for i in range(20))
+PARTS = [
+    (f"<body><article><h1>Title</h1><p>Lead.</p><div class='body'><p>{STORY}</p></div></article></body>", "Title" + "Lead." + STORY),
+    (f"<body><article><p>Before.</p><ul>{LIST}</ul><p>After.</p></article></body>", "Before." + LIST.replace("<li>", "").replace("</li>", "") + "After."),
+    (f"<body><div class='post'><h1>Title</h1><p>Lead.</p><div class='body'><p>{STORY}</p></div></div><div class='box'>Box</div></body>", "Title" + "Lead." + STORY),
+    (f"<body><h1>Title</h1><div class='body'><p>{STORY}</p></div></body>", "Title" + STORY),
+    (f"<body><div class='story'><p>{STORY}</p></div><div class='box'><p>Box</p></div></body>", STORY),
+]
+
+
+@pytest.mark.parametrize("html,text", PARTS)
+def test_title_and_lead_stay_with_the_body(html, text):
+    assert "".join(extract(html, None).split()) == "".join(text.split())
+    assert "".join(extract(html, vote(html)[0]).split()) == "".join(text.split())
+
+
+def test_host_with_two_templates(spark):
+    first = "<body><div class='story'><p>{}</p></div></body>"
+    second = "<body><div class='story'><p>A teaser of some length goes before.</p></div><div class='long'><p>{}</p></div></body>"
+    rows = [(i, f"http://h.example.com/{i}", first.format(STORY)) for i in range(5)] + [(i, f"http://h.example.com/{i}", second.format("Another story. " * 8)) for i in (7, 8)]
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == STORY.strip()
+    assert got[7] == got[8] == "A teaser of some length goes before.\n" + ("Another story. " * 8).strip()
+
+
+def test_a_path_that_covers_half_takes_both():
+    html = f"<body><article><div class='a'><p>{STORY}</p></div><div class='b'><p>{STORY}</p></div></article></body>"
+    assert extract(html, "/body/article/div.a").count("The story") == 10
