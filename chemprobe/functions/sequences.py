@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 
 def is_dna(s: Column) -> Column:
-    return s.rlike("^[ACGT]+$")
+    return s.rlike(r"\A[ACGT]+\z")
 
 
 def is_rna(s: Column) -> Column:
-    return s.rlike("^[ACGU]+$")
+    return s.rlike(r"\A[ACGU]+\z")
 
 
 def reverse_complement(s: Column) -> Column:
@@ -35,7 +35,8 @@ def hamming(a: Column, b: Column) -> Column:
 
 def diff_positions(a: Column, b: Column) -> Column:
     """1-based positions at which two strings of equal length differ; null otherwise."""
-    at = F.filter(F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
+    placed = F.transform(F.split(a, ""), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i")))
+    at = F.filter(F.zip_with(placed, F.split(b, ""), lambda p, y: F.when(p["x"] != y, p["i"])), lambda i: i.isNotNull())
     return F.when(F.length(a) == 0, F.array().cast("array<int>")).when(F.length(a) == F.length(b), at)
 
 

@@ -158,7 +158,7 @@ def align_reads(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("fold_sequences")
 def fold_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    return fo.structures(refs(spark, sf).select(F.substring("seq", 1, 60).alias("sequence")))
+    return fo.structures(refs(spark, sf).select(F.col("seq").alias("sequence")))
 
 
 @query("membership_round_trip")

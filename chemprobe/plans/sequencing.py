@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chemprobe.functions import sequences as seq
@@ -37,15 +37,20 @@ def transcribe(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("seq_validate", "SELECT doc_id, regexp_full_match(upper(substr(text, 1, 3)), '[ACGT]+') AS dna, regexp_full_match(upper(substr(text, 1, 3)), '[ACGU]+') AS rna FROM documents")
 def seq_validate(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.upper(F.substring("text", 1, 3))
-    return table(spark, sf, "documents").select("doc_id", seq.is_dna(head).alias("dna"), seq.is_rna(head).alias("rna"))
+    text = F.upper("text")
+    return table(spark, sf, "documents").select("doc_id", seq.is_dna(text).alias("dna"), seq.is_rna(text).alias("rna"))
+
+
+def _padded(x: str, y: str) -> Column:
+    """Column `x`, as long as the longer of the two, so that what one has more differs."""
+    return F.expr(f"rpad({x}, greatest(length({x}), length({y})), '-')")
 
 
 @query("hamming_pairs", f"WITH {READS} SELECT a.read_id AS a, c.read_id AS b, CAST(hamming(substr(a.seq, 1, 60), substr(c.seq, 1, 60)) AS INTEGER) AS d FROM reads a JOIN reads c ON c.read_id = a.read_id + 1")
 def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
     r = reads(spark, sf)
-    a, b = r.select(F.col("read_id").alias("a"), F.substring("seq", 1, 60).alias("x")), r.select(F.col("read_id").alias("b"), F.substring("seq", 1, 60).alias("y"))
-    return a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", seq.hamming(F.col("x"), F.col("y")).alias("d"))
+    a, b = r.select(F.col("read_id").alias("a"), F.col("seq").alias("x")), r.select(F.col("read_id").alias("b"), F.col("seq").alias("y"))
+    return a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", seq.hamming(_padded("x", "y"), _padded("y", "x")).alias("d"))
 
 
 @query(
@@ -55,8 +60,8 @@ def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
 )
 def diff_positions(spark: SparkSession, sf: str) -> DataFrame:
     r = reads(spark, sf)
-    a, b = r.select("read_id", F.substring("seq", 1, 20).alias("x")), r.select((F.col("read_id") - 1).alias("read_id"), F.substring("seq", 1, 20).alias("y"))
-    return a.join(b, "read_id").select("read_id", F.explode(seq.diff_positions(F.col("x"), F.col("y"))).alias("pos"))
+    a, b = r.select("read_id", F.col("seq").alias("x")), r.select((F.col("read_id") - 1).alias("read_id"), F.col("seq").alias("y"))
+    return a.join(b, "read_id").select("read_id", F.explode(seq.diff_positions(_padded("x", "y"), _padded("y", "x"))).alias("pos"))
 
 
 @query("read_keys", "SELECT event_id, concat(event_id % 7, ':', user_id, ':', event_id) AS key FROM events")
@@ -100,10 +105,13 @@ def cigar_consumed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("base_bytes", f"WITH {READS} SELECT read_id, CAST(CASE substr(seq, 2, 1) WHEN 'A' THEN 225 WHEN 'C' THEN 209 WHEN 'G' THEN 177 ELSE 113 END AS INTEGER) AS low, CAST(CASE WHEN substr(seq, 2, 1) = substr(seq, 3, 1) THEN 1 ELSE CASE substr(seq, 3, 1) WHEN 'A' THEN 16 WHEN 'C' THEN 32 WHEN 'G' THEN 64 ELSE 128 END END AS INTEGER) AS good FROM reads")
 def base_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each read, the codes of every base with the next one."""
     from chemprobe.operators.reads import compare_base
 
-    a, b = F.substring("seq", 2, 1), F.substring("seq", 3, 1)
-    return reads(spark, sf).select("read_id", compare_base(a, b, F.lit(False)).alias("low"), compare_base(a, b, F.lit(True)).alias("good"))
+    n = F.greatest(F.length("seq") - 1, F.lit(0))
+    a, b = F.slice(F.split("seq", ""), F.lit(1), n), F.slice(F.split("seq", ""), F.lit(2), n)
+    code = lambda good: F.zip_with(a, b, lambda x, y: compare_base(x, y, F.lit(good)))
+    return reads(spark, sf).select("read_id", code(False).alias("low"), code(True).alias("good"))
 
 
 @query("primer_locate", f"WITH {REFS} SELECT ref, CASE WHEN len(string_split(seq, substr(seq, 5, 8))) = 2 THEN CAST(instr(seq, substr(seq, 5, 8)) AS INTEGER) END AS pos5, CASE WHEN len(string_split(seq, substr(seq, 5, 8))) = 2 THEN CAST(instr(seq, substr(seq, 5, 8)) + 7 AS INTEGER) END AS pos3 FROM refs")

@@ -1,5 +1,7 @@
 """Queries over the tables read every row and the whole of each text: brute force on a small fixture."""
 
+from itertools import zip_longest
+
 import pytest
 
 from chemprobe.operators.align import TrimOptions
@@ -88,3 +90,22 @@ def test_clustering_takes_the_operator_defaults(spark, monkeypatch, name):
     monkeypatch.setattr(procedures.cl, "runs", runs)
     with pytest.raises(Seen):
         catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
+def test_sequences_are_compared_to_their_ends(spark, sf):
+    b = {k: bases(t) for k, t in TEXTS.items()}
+    apart = {k: [i + 1 for i, (x, y) in enumerate(zip_longest(b[k], b[k + 1])) if x != y] for k in range(4)}
+    assert rows(spark, sf, "hamming_pairs", "a", "b", "d") == [(k, k + 1, len(apart[k])) for k in range(4)]
+    assert rows(spark, sf, "diff_positions", "read_id", "pos") == [(k, i) for k in range(4) for i in apart[k]]
+    low = dict(zip("ACGT", (225, 209, 177, 113)))
+    good = dict(zip("ACGT", (16, 32, 64, 128)))
+    want = [(k, [low[x] for x in s[:-1]], [1 if x == y else good[y] for x, y in zip(s, s[1:])]) for k, s in b.items()]
+    assert rows(spark, sf, "base_bytes", "read_id", "low", "good") == want
+    assert rows(spark, sf, "fold_sequences", "sequence") == sorted((bases(t),) for t in PASSAGES.values())
+
+
+def test_whole_texts_are_validated(spark, tmp_path):
+    texts = ["ACTs of parliament", "acgt" * 50, "ACGU" * 50, "ACGT\n", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(spark, str(tmp_path), "seq_validate", "doc_id", "dna", "rna")
+    assert got == [(0, False, False), (1, True, False), (2, False, True), (3, False, False), (4, False, False)]
