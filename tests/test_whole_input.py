@@ -109,3 +109,18 @@ def test_whole_texts_are_validated(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = rows(spark, str(tmp_path), "seq_validate", "doc_id", "dna", "rna")
     assert got == [(0, False, False), (1, True, False), (2, False, True), (3, False, False), (4, False, False)]
+
+
+def test_the_library_is_every_read(spark, sf):
+    long = [k for k, t in TEXTS.items() if len(bases(t)) >= 48]
+    assert len(long) == 3
+    bars = {k: bases(TEXTS[k])[20:32] for k in long}
+    want = {k: sum(bases(TEXTS[r])[20:32] == bars[k] or bases(TEXTS[r])[21:33] == bars[k] for r in TEXTS) for k in long}
+    assert dict(rows(spark, sf, "demux_exact", "ref", "n_reads")) == want
+
+
+def test_all_parts_are_checked(spark, tmp_path):
+    parts = [(k, k % 50 + 1, "b") for k in range(1, 1001)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    want = [(f"p{k}", "not in the references") for k, _, _ in parts if k % 20 == 0] + [(f"p{k}", "outside the reference") for k, n, _ in parts if k % 20 and n > 40]
+    assert rows(spark, str(tmp_path), "library_checks", "reference", "problem") == sorted(want)
