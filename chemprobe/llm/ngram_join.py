@@ -271,11 +271,11 @@ def _lists(group: pd.DataFrame) -> pd.DataFrame:
     frame = pd.DataFrame({"sig": (sig[keep] >> np.uint64(2)).view(np.int64), "kind": (sig[keep] & np.uint64(3)).astype(np.int32), "h1": h1[keep]})
     frame = frame.drop_duplicates()
     frame["n_own"] = (frame["kind"] != _DELETED).astype(np.int64)
-    frame["need"] = frame["kind"] == _NEEDED
+    frame["need"] = frame["kind"].isin([_NEEDED, _DELETED])
     by = frame.groupby("sig", sort=False)
     frame["n_all"], frame["least"], frame["most"] = by["h1"].transform("size"), by["h1"].transform("min"), by["h1"].transform("max")
     frame["n_own"] = by["n_own"].transform("sum")
-    # lists of empty segments matter only to a set that has too few others
+    # lists of empty segments matter only to a set that has too few others, or has one element there
     real = (frame["least"] != frame["most"]) & (frame["n_own"] > 0) & (~frame["kind"].isin([_EMPTY, _NEEDED]) | by["need"].transform("any"))
     frame = frame[real]
     low = frame["sig"].to_numpy()

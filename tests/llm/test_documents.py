@@ -364,3 +364,23 @@ def test_empty_tables(spark, empty, tmp_path):
     assert range_coder.read_ids(spark, f"file://{tmp_path}/none").count() == 0
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_classifier.score(empty, quality_classifier.fit(empty, labels)).count() == 0
+
+
+def test_lists_keep_empty_segments_one_deletion_away():
+    import random
+
+    import pandas as pd
+
+    rng, met = random.Random(5), 0
+    for _ in range(400):
+        words = [f"w{rng.random()}" for _ in range(23)]
+        texts = [" ".join(words), " ".join(words[:-1])]
+        a, b = (ngram_join.shingle_set(t) for t in texts)
+        for level in set(ngram_join.levels_of(len(a))) & set(ngram_join.levels_of(len(b))):
+            if (ngram_join._segments(a, level)[2][0], ngram_join._segments(b, level)[2][0]) == (1, 0):
+                met += 1
+                blobs = pd.concat(ngram_join._blob_maker(1)(iter([pd.DataFrame({"text": texts})])))
+                lists = ngram_join._lists(blobs)
+                at = lists[(lists["level"] == level) & (lists["seg"] == 0)]
+                assert set(at["kind"]) == {ngram_join._DELETED, ngram_join._EMPTY} and at["h1"].nunique() == 2
+    assert met
