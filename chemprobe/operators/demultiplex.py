@@ -1,18 +1,22 @@
 """Assigning reads to references by barcodes, with mismatches, clipping and a second signature.
 
-A pattern with up to m mismatches contains one of its m + 1 pieces unchanged. So reads are joined with
-patterns by equality on (window position, piece) and then verified by Hamming distance, instead of
-testing every read against every reference.
+A pattern with up to m mismatches contains two of its m + 2 pieces unchanged. So reads' windows are joined
+with patterns by equality on (place, two pieces) and then verified by their bits, instead of testing every
+read against every reference. Patterns that several references share are sought once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chemprobe.functions.sequences import hamming, reverse_complement
 
 SECONDARY_TOLERANCE = 2
+#: Bases whose windows are cut out of one chunk of a read.
+CHUNK = 256
+#: Patterns' pieces are broadcast up to so many rows; beyond that they are joined by place and piece.
+BROADCAST_PROBES = 500_000
 
 
 def secondary_mismatches(length: Column) -> Column:
@@ -37,30 +41,77 @@ def signatures(library: DataFrame) -> DataFrame:
     return base.select("ref", F.explode(rows).alias("x")).select("ref", "x.*").where(F.col("pattern").isNotNull() & (F.length("pattern") > 0))
 
 
+def _pieces(n: int, mismatches: int) -> list[list[tuple[int, int]]]:
+    """What a pattern of n bases and its window must share: at least one of these lists of (place, length).
+
+    Cut in m + 2 pieces, m mismatches leave two of them as they are. Pieces of under two bases would
+    tell too little; then only the place is shared.
+    """
+    if mismatches == 0:
+        return [[(0, n)]]
+    k = mismatches + 2
+    if n // k < 2:
+        return [[]]
+    cut = [n * i // k for i in range(k + 1)]
+    pieces = [(cut[i], cut[i + 1] - cut[i]) for i in range(k)]
+    return [[pieces[i], pieces[j]] for i in range(k) for j in range(i + 1, k)]
+
+
+def _bits(s: Column, n: int) -> list[Column]:
+    """A string's first n letters as numbers, one bit of four for each base; other letters have none."""
+    hexed = F.translate(F.regexp_replace(s, "[^ACGT]", "0"), "ACGT", "1248")
+    return [F.conv(F.substring(hexed, i + 1, 15), 16, 10).cast("long") for i in range(0, n, 15)]
+
+
+def _seeds(s: str, n: int, mismatches: int) -> Column:
+    parts = [F.concat_ws("", F.lit(f"{i}:"), *[F.expr(f"substring({s}, {a + 1}, {k})") for a, k in keep]) for i, keep in enumerate(_pieces(n, mismatches))]
+    return F.explode(F.array(*parts)).alias("_seed")
+
+
+def _matches(reads: DataFrame, patterns: DataFrame, mismatches: int, tolerance: int) -> DataFrame:
+    """(read_id, pattern, start) of distinct patterns that lie within `tolerance` of their place in a read.
+
+    Reads are cut to the stretch that the patterns' places span, then to chunks, then to windows, so the
+    work grows with the bases there. Windows meet patterns by place and shared pieces.
+    """
+    p = patterns.select("pattern", "start").distinct()
+    lo = F.greatest(F.col("start") - tolerance, F.lit(1))
+    span = p.select(F.length("pattern").alias("n"), lo.alias("lo"), (F.col("start") + tolerance + 1).alias("hi")).groupBy("n").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
+    out = None
+    for n, first, last in sorted(span):  # a row for each length of pattern
+        here = p.where(F.length("pattern") == n).withColumn("_at", F.explode(F.sequence(lo, F.greatest(F.col("start") + tolerance + 1, lo))))
+        probes = here.select("pattern", "start", "_at", F.array(*_bits(F.col("pattern"), n)).alias("_p"), _seeds("pattern", n, mismatches))
+        probes = F.broadcast(probes) if probes.count() <= BROADCAST_PROBES else probes
+        stretch = reads.select("read_id", F.substring("seq", first, last - first + n).alias("_s")).where(F.length("_s") >= n)
+        chunk = F.explode(F.sequence(F.lit(0), F.expr(f"(length(_s) - {n}) div {CHUNK}"))).alias("_c")
+        chunks = stretch.select("read_id", "_s", chunk).select("read_id", "_c", F.substring("_s", F.col("_c") * CHUNK + 1, F.lit(CHUNK + n - 1)).alias("_s"))
+        place = F.explode(F.sequence(F.lit(1), F.length("_s") - n + 1)).alias("_i")
+        windows = chunks.select("read_id", "_c", "_s", place).select("read_id", (F.col("_c") * CHUNK + F.col("_i") + (first - 1)).cast("int").alias("_at"), F.substring("_s", F.col("_i"), F.lit(n)).alias("_w"))
+        met = windows.select("read_id", "_at", "_w", _seeds("_w", n, mismatches)).join(probes, ["_at", "_seed"])
+        if mismatches:
+            same = sum((F.bit_count(w.bitwiseAND(F.col("_p")[i])) for i, w in enumerate(_bits(F.col("_w"), n))), F.lit(0))
+            met = met.where(n - same <= mismatches)
+        found = met.select("read_id", "pattern", "start")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return reads.select("read_id").join(p).where(F.lit(False))
+    return out.distinct()
+
+
 def search(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
     """(read_id, ref, kind) where a pattern lies within `tolerance` of its place in a read.
 
     reads: read_id, seq; patterns: ref, kind, pattern, start. A window's two ends are start - tolerance and
-    start + length + tolerance, from 1.
+    start + length + tolerance, from 1. Letters other than ACGT match nothing.
     """
-    n = F.length("pattern")
-    p = patterns.withColumn("_m", F.lit(mismatches)).withColumn("_lo", F.greatest(F.col("start") - tolerance, F.lit(1))).withColumn("_hi", F.col("start") + n + tolerance)
-    p = p.withColumn("_k", F.least(F.col("_m") + 1, n))
-    # pieces k of the pattern at each place the window lets it begin
-    starts = F.sequence("_lo", F.greatest(F.col("_hi") - n + 1, F.col("_lo")))
-    p = p.withColumn("_at", F.explode(starts)).where(F.col("_at") + n - 1 <= F.col("_hi")).withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    a = F.expr("_piece * length(pattern) div _k")
-    b = F.expr("(_piece + 1) * length(pattern) div _k")
-    seeds = p.withColumn("_from", (F.col("_at") + a).cast("int")).withColumn("_len", (b - a).cast("int"))
-    seeds = seeds.withColumn("_seed", F.expr("substring(pattern, cast(_from - _at + 1 as int), _len)"))
-    seeds = seeds.withColumn("_n", n)
-    places = seeds.select("_at", "_n", "_from", "_len").distinct()
-    # only the window goes on, not the read
-    r = reads.join(F.broadcast(places)).where(F.col("_at") + F.col("_n") - 1 <= F.length("seq"))
-    r = r.select("read_id", "_at", "_n", "_from", F.expr("substring(seq, _at, _n)").alias("_window"), F.expr("substring(seq, _from, _len)").alias("_seed"))
-    hits = r.join(seeds, ["_at", "_n", "_from", "_seed"])
-    ok = hamming(F.col("_window"), F.col("pattern")) <= F.col("_m")
-    return hits.where(ok).select("read_id", "ref", "kind").distinct()
+    found = _matches(reads, patterns, mismatches, tolerance)
+    return found.join(patterns.select("ref", "kind", "pattern", "start"), ["pattern", "start"]).select("read_id", "ref", "kind").distinct()
+
+
+def counts(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
+    """(ref, kind, n_reads) of `search`; reads are counted before references that share a pattern are told apart."""
+    n = _matches(reads, patterns, mismatches, tolerance).groupBy("pattern", "start").agg(F.count(F.lit(1)).alias("n_reads"))
+    return patterns.select("ref", "kind", "pattern", "start").join(n, ["pattern", "start"]).select("ref", "kind", "n_reads")
 
 
 def clipped(patterns: DataFrame, clip: int) -> DataFrame:
@@ -110,16 +161,36 @@ def unambiguous(by_mate: DataFrame) -> DataFrame:
     return per.join(alone, "read_id", "left_semi").select("read_id", "ref", how.alias("found_by"))
 
 
-def report(hits: DataFrame, final: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Counts per reference of one mate's searches, and of the reads that stay."""
-    n = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
-    by_kind = hits.groupBy("ref").agg(*[n(k).alias(name) for k, name in (("bar", "init_barcode"), ("clip_1", "barcode_clipped_1"), ("rev_bar", "init_rev_barcode"), ("sec", "sec_hits"), ("rev_sec", "rev_sec_hits"))])
-    found = hits.where(~F.col("kind").isin("sec", "rev_sec")).select("read_id", "ref").distinct()
-    unfiltered = found.groupBy("ref").agg(F.count(F.lit(1)).alias("unfiltered"))
-    kept = assigned(hits, patterns).groupBy("ref").agg(F.count(F.lit(1)).alias("pre_union"))
-    last = final.groupBy("ref").agg(F.count(F.lit(1)).alias("final_count"))
-    out = patterns.select("ref").distinct().join(by_kind, "ref", "left").join(unfiltered, "ref", "left").join(kept, "ref", "left").join(last, "ref", "left").na.fill(0)
-    return out.withColumn("reads_lost_to_filter", F.col("unfiltered") - F.col("pre_union"))
+def report(hits: DataFrame, patterns: DataFrame, clip: int = 0) -> DataFrame:
+    """Counts per reference of the searches of one mate or both, and of the reads that stay.
+
+    hits: read_id, ref, kind, mate. With hits of mate 2 each count has a column for either mate, fq1_ and fq2_.
+    All counts come from one pass over the hits, dealt by read.
+    """
+    kinds = {"bar": "init_barcode", **{f"clip_{c}": f"barcode_clipped_{c}" for c in range(1, clip + 1)}, "rev_bar": "init_rev_barcode", "sec": "sec_hits", "rev_sec": "rev_sec_hits"}
+    has = patterns.groupBy("ref").agg(F.bool_or(F.col("kind") == "sec").alias("has"))
+    any_of = lambda c: F.bool_or(F.col("kind") == c).alias(kinds[c])
+    pairs = hits.repartition("read_id").groupBy("read_id", "ref", "mate").agg(*map(any_of, kinds), F.bool_or(~F.col("kind").isin("sec", "rev_sec")).alias("unfiltered"))
+    pairs = pairs.join(F.broadcast(has) if has.count() <= BROADCAST_PROBES else has, "ref")
+    pairs = pairs.withColumn("pre_union", F.col("unfiltered") & (F.col("sec_hits") | F.col("rev_sec_hits") | ~F.col("has")))
+    # a read stays with its only reference, whichever mate found that
+    refs = F.size(F.collect_set(F.when(F.col("pre_union"), F.col("ref"))).over(Window.partitionBy("read_id")))
+    pairs = pairs.withColumn("final_count", F.col("pre_union") & (refs == 1)).withColumn("reads_lost_to_filter", F.col("unfiltered") & ~F.col("pre_union")).withColumn("lost_to_multihit", F.col("pre_union") & ~F.col("final_count"))
+    names = [*kinds.values(), "unfiltered", "pre_union", "final_count", "reads_lost_to_filter", "lost_to_multihit"]
+    n = lambda c, m: F.count(F.when(F.col(c) & (F.col("mate") == m), 1))
+    one = [n(c, 1).alias(c) for c in names]
+    out = pairs.groupBy("ref").agg(*one, *[n(c, 2).alias(f"fq2_{c}") for c in names])
+    out = patterns.select("ref").distinct().join(out, "ref", "left").na.fill(0)
+    return out
+
+
+def report_both(hits: DataFrame, patterns: DataFrame, reads_total: int, clip: int = 0) -> DataFrame:
+    """`report` with each mate's counts under fq1_ and fq2_, the file's number of reads and the share that is not used."""
+    out = report(hits, patterns, clip)
+    out = out.select("ref", *[F.col(c).alias(c if c.startswith("fq2_") else f"fq1_{c}") for c in out.columns if c != "ref"])
+    used = Window.partitionBy()
+    total = F.sum(F.greatest("fq1_final_count", "fq2_final_count")).over(used)
+    return out.withColumn("total_reads", F.lit(reads_total)).withColumn("percent_reads_unused", F.try_divide(100.0 * (reads_total - total), F.lit(reads_total)))
 
 
 def demultiplex(reads: DataFrame, library: DataFrame, mismatches: int = 0, tolerance: int = 0, clip: int = 0) -> DataFrame:

@@ -143,7 +143,7 @@ def trim_reads(spark: SparkSession, sf: str) -> DataFrame:
     return al.trim(_fastq(spark, sf))
 
 
-@query("quality_report", f"WITH {READS}, q AS (SELECT seq FROM reads) SELECT CAST(0 AS INTEGER) AS mate, CAST(i AS INTEGER) AS pos, count(*) AS n, count(CASE WHEN substr(seq, i, 1) = 'A' THEN 1 END) AS \"n_A\" FROM q, (SELECT unnest(range(1, 151)) AS i) t WHERE i <= length(seq) GROUP BY 2")
+@query("quality_report", f"WITH {READS}, q AS (SELECT seq FROM reads) SELECT CAST(0 AS INTEGER) AS mate, CAST(i AS INTEGER) AS pos, count(*) AS n, count(CASE WHEN substr(seq, i, 1) = 'A' THEN 1 END) AS \"n_A\" FROM q, (SELECT unnest(range(1, (SELECT max(length(seq)) FROM reads) + 1)) AS i) t WHERE i <= length(seq) GROUP BY 2")
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
     r = reads(spark, sf).select(F.lit(0).alias("mate"), "seq", F.expr("repeat('F', length(seq))").alias("qual"))
     return al.quality_report(r).select("mate", F.col("pos").cast("int").alias("pos"), "n", "n_A")

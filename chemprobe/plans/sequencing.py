@@ -35,7 +35,7 @@ def transcribe(spark: SparkSession, sf: str) -> DataFrame:
     return rna.withColumn("dna", seq.reverse_transcribe(F.col("rna")))
 
 
-@query("seq_validate", "SELECT doc_id, regexp_full_match(upper(substr(text, 1, 3)), '[ACGT]+') AS dna, regexp_full_match(upper(substr(text, 1, 3)), '[ACGU]+') AS rna FROM documents")
+@query("seq_validate", "SELECT doc_id, regexp_full_match(upper(text), '[ACGT]+') AS dna, regexp_full_match(upper(text), '[ACGU]+') AS rna FROM documents")
 def seq_validate(spark: SparkSession, sf: str) -> DataFrame:
     text = F.upper("text")
     return table(spark, sf, "documents").select("doc_id", seq.is_dna(text).alias("dna"), seq.is_rna(text).alias("rna"))
@@ -46,7 +46,14 @@ def _padded(x: str, y: str) -> Column:
     return F.expr(f"rpad({x}, greatest(length({x}), length({y})), '-')")
 
 
-@query("hamming_pairs", f"WITH {READS} SELECT a.read_id AS a, c.read_id AS b, CAST(hamming(substr(a.seq, 1, 60), substr(c.seq, 1, 60)) AS INTEGER) AS d FROM reads a JOIN reads c ON c.read_id = a.read_id + 1")
+#: Each read and the next, the shorter one padded, so that what one has more differs.
+_NEXT = (
+    "j AS (SELECT a.read_id, rpad(a.seq, CAST(greatest(length(a.seq), length(c.seq)) AS INTEGER), '-') AS x, "
+    "rpad(c.seq, CAST(greatest(length(a.seq), length(c.seq)) AS INTEGER), '-') AS y FROM reads a JOIN reads c ON c.read_id = a.read_id + 1)"
+)
+
+
+@query("hamming_pairs", f"WITH {READS}, {_NEXT} SELECT read_id AS a, read_id + 1 AS b, CAST(hamming(x, y) AS INTEGER) AS d FROM j")
 def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
     r = reads(spark, sf)
     a, b = r.select(F.col("read_id").alias("a"), F.col("seq").alias("x")), r.select(F.col("read_id").alias("b"), F.col("seq").alias("y"))
@@ -55,8 +62,8 @@ def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "diff_positions",
-    f"WITH {READS}, j AS (SELECT a.read_id, substr(a.seq, 1, 20) AS x, substr(c.seq, 1, 20) AS y FROM reads a JOIN reads c ON c.read_id = a.read_id + 1) "
-    "SELECT read_id, CAST(i AS INTEGER) AS pos FROM j, (SELECT unnest(range(1, 21)) AS i) n WHERE substr(x, i, 1) <> substr(y, i, 1)",
+    f"WITH {READS}, {_NEXT}, i AS (SELECT read_id, x, y, unnest(range(1, length(x) + 1)) AS i FROM j) "
+    "SELECT read_id, CAST(i AS INTEGER) AS pos FROM i WHERE x[i] <> y[i]",
 )
 def diff_positions(spark: SparkSession, sf: str) -> DataFrame:
     r = reads(spark, sf)
@@ -103,7 +110,11 @@ def cigar_consumed(spark: SparkSession, sf: str) -> DataFrame:
     return c.groupBy("l_orderkey").agg(used("M=XD").alias("ref_bases"), used("M=XIS").alias("read_bases"))
 
 
-@query("base_bytes", f"WITH {READS} SELECT read_id, CAST(CASE substr(seq, 2, 1) WHEN 'A' THEN 225 WHEN 'C' THEN 209 WHEN 'G' THEN 177 ELSE 113 END AS INTEGER) AS low, CAST(CASE WHEN substr(seq, 2, 1) = substr(seq, 3, 1) THEN 1 ELSE CASE substr(seq, 3, 1) WHEN 'A' THEN 16 WHEN 'C' THEN 32 WHEN 'G' THEN 64 ELSE 128 END END AS INTEGER) AS good FROM reads")
+@query(
+    "base_bytes",
+    f"WITH {READS} SELECT read_id, list_transform(range(1, length(seq)), lambda i: CAST(CASE seq[i] WHEN 'A' THEN 225 WHEN 'C' THEN 209 WHEN 'G' THEN 177 ELSE 113 END AS INTEGER)) AS low, "
+    "list_transform(range(1, length(seq)), lambda i: CAST(CASE WHEN seq[i] = seq[i + 1] THEN 1 ELSE CASE seq[i + 1] WHEN 'A' THEN 16 WHEN 'C' THEN 32 WHEN 'G' THEN 64 ELSE 128 END END AS INTEGER)) AS good FROM reads",
+)
 def base_bytes(spark: SparkSession, sf: str) -> DataFrame:
     """Of each read, the codes of every base with the next one."""
     from chemprobe.operators.reads import compare_base
@@ -162,41 +173,54 @@ def _found(pattern: str, start: str, n: int, tolerance: int, mismatches: int) ->
     tests = []
     for d in range(-tolerance, tolerance + 2):
         at = f"({start} + {d})"
-        tests.append(f"CASE WHEN {at} >= 1 AND {at} + {n} - 1 <= length(r.seq) THEN hamming(substr(concat(r.seq, repeat('-', 99)), {at}, {n}), {pattern}) <= {mismatches} ELSE FALSE END")
+        tests.append(f"CASE WHEN {at} >= 1 AND {at} + {n} - 1 <= length(r.seq) THEN hamming(substr(r.seq, {at}, {n}), {pattern}) <= {mismatches} ELSE FALSE END")
     return "(" + " OR ".join(tests) + ")"
 
 
+def _near(name: str, pattern: str, start: str, n: int, tolerance: int, mismatches: int, source: str = "reads") -> str:
+    """SQL tables: `name` (read_id, ref) of all reads and references whose pattern lies within its window."""
+    same = f"hamming(w, pat) <= {mismatches}" if mismatches else "w = pat"
+    return (
+        f"{name}_at AS (SELECT ref, {pattern} AS pat, {start} + d AS p FROM rc b, (SELECT unnest(range({-tolerance}, {tolerance + 2})) AS d) o WHERE {start} + d >= 1), "
+        f"{name}_w AS (SELECT read_id, p, substr(seq, p, {n}) AS w FROM {source}, (SELECT DISTINCT p FROM {name}_at) o WHERE p + {n} - 1 <= length(seq)), "
+        f"{name} AS (SELECT DISTINCT read_id, ref FROM {name}_w JOIN {name}_at USING (p) WHERE {same})"
+    )
+
+
 def _search(kind: str, mismatches: int = 0, tolerance: int = 0):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         patterns = dm.signatures(barcodes(spark, sf)).where(F.col("kind") == kind)
-        return dm.search(reads(spark, sf), patterns, mismatches, tolerance).groupBy("ref").agg(F.count(F.lit(1)).alias("n_reads"))
+        return dm.counts(reads(spark, sf), patterns, mismatches, tolerance).select("ref", "n_reads")
 
     return run
 
 
 QUERIES["demux_exact"] = _search("bar")
-SQL["demux_exact"] = f"WITH {BARCODES} SELECT ref, count(*) AS n_reads FROM reads r, rc b WHERE {_found('b.bar', '21', 12, 0, 0)} GROUP BY ref"
+SQL["demux_exact"] = f"WITH {BARCODES}, {_near('hit', 'b.bar', '21', 12, 0, 0)} SELECT ref, count(*) AS n_reads FROM hit GROUP BY ref"
 QUERIES["demux_mismatch"] = _search("bar", 2, 3)
-SQL["demux_mismatch"] = f"WITH {BARCODES} SELECT ref, count(*) AS n_reads FROM reads r, rc b WHERE {_found('b.bar', '21', 12, 3, 2)} GROUP BY ref"
+SQL["demux_mismatch"] = f"WITH {BARCODES}, {_near('hit', 'b.bar', '21', 12, 3, 2)} SELECT ref, count(*) AS n_reads FROM hit GROUP BY ref"
 QUERIES["demux_reverse"] = _search("rev_bar", 5, 4)
-SQL["demux_reverse"] = f"WITH {BARCODES} SELECT ref, count(*) AS n_reads FROM reads r, rc b WHERE {_found('b.rbar', '(b.n - 31)', 12, 4, 5)} GROUP BY ref"
+SQL["demux_reverse"] = f"WITH {BARCODES}, {_near('hit', 'b.rbar', '(b.n - 31)', 12, 4, 5)} SELECT ref, count(*) AS n_reads FROM hit GROUP BY ref"
 
 
-@query("demux_clipped", f"WITH {BARCODES}, late AS (SELECT read_id, concat('AA', seq) AS seq FROM reads) SELECT ref, count(*) AS n_reads FROM late r, rc b WHERE {_found('substr(b.bar, 1, 10)', '23', 10, 0, 0)} GROUP BY ref")
+@query("demux_clipped", f"WITH {BARCODES}, late AS (SELECT read_id, concat('AA', seq) AS seq FROM reads), {_near('hit', 'substr(b.bar, 1, 10)', '23', 10, 0, 0, 'late')} SELECT ref, count(*) AS n_reads FROM hit GROUP BY ref")
 def demux_clipped(spark: SparkSession, sf: str) -> DataFrame:
     """Barcodes without their last two bases, in reads that begin two bases early."""
     patterns = dm.clipped(dm.signatures(barcodes(spark, sf)), 2)
     late = reads(spark, sf).withColumn("seq", F.concat(F.lit("AA"), "seq"))
-    return dm.search(late, patterns).groupBy("ref").agg(F.count(F.lit(1)).alias("n_reads"))
+    return dm.counts(late, patterns).select("ref", "n_reads")
 
 
 QUERIES["demux_secondary"] = _search("sec", 2, dm.SECONDARY_TOLERANCE)
-SQL["demux_secondary"] = f"WITH {BARCODES} SELECT ref, count(*) AS n_reads FROM reads r, rc b WHERE {_found('b.sec', '41', 8, 2, 2)} GROUP BY ref"
+SQL["demux_secondary"] = f"WITH {BARCODES}, {_near('hit', 'b.sec', '41', 8, 2, 2)} SELECT ref, count(*) AS n_reads FROM hit GROUP BY ref"
 
+#: Barcodes are sought everywhere, second signatures where a barcode is.
 _HITS = (
     BARCODES
-    + f", h AS (SELECT read_id, ref, {_found('b.bar', '21', 12, 2, 2)} AS bar, {_found('b.rbar', '(b.n - 31)', 12, 2, 2)} AS rbar, {_found('b.sec', '41', 8, 2, 2)} AS sec, {_found('b.rsec', '(b.n - 47)', 8, 2, 2)} AS rsec FROM reads r, rc b), "
-    "got AS (SELECT read_id, ref FROM h WHERE (bar OR rbar) AND (sec OR rsec)), one AS (SELECT read_id FROM got GROUP BY 1 HAVING count(*) = 1)"
+    + f", {_near('nb', 'b.bar', '21', 12, 2, 2)}, {_near('nr', 'b.rbar', '(b.n - 31)', 12, 2, 2)}, "
+    "pairs AS (SELECT read_id, ref, bool_or(f) AS bar, bool_or(NOT f) AS rbar FROM (SELECT *, TRUE AS f FROM nb UNION ALL SELECT *, FALSE FROM nr) q GROUP BY 1, 2), "
+    f"h AS (SELECT r.read_id, b.ref, p.bar, p.rbar, {_found('b.sec', '41', 8, 2, 2)} AS sec, {_found('b.rsec', '(b.n - 47)', 8, 2, 2)} AS rsec FROM pairs p JOIN reads r USING (read_id) JOIN rc b USING (ref)), "
+    "got AS (SELECT read_id, ref FROM h WHERE sec OR rsec), one AS (SELECT read_id FROM got GROUP BY 1 HAVING count(*) = 1)"
 )
 
 
@@ -214,15 +238,14 @@ def demux_multihit_removed(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "demux_report",
     f"WITH {_HITS}, fin AS (SELECT ref, count(*) AS k FROM got WHERE read_id IN (SELECT read_id FROM one) GROUP BY 1) "
-    "SELECT h.ref, count(CASE WHEN bar THEN 1 END) AS init_barcode, count(CASE WHEN rbar THEN 1 END) AS init_rev_barcode, count(CASE WHEN (bar OR rbar) AND sec THEN 1 END) AS sec_hits, count(CASE WHEN (bar OR rbar) AND rsec THEN 1 END) AS rev_sec_hits, "
-    "count(CASE WHEN bar OR rbar THEN 1 END) AS unfiltered, count(CASE WHEN (bar OR rbar) AND (sec OR rsec) THEN 1 END) AS pre_union, coalesce(max(k), 0) AS final_count, "
-    "count(CASE WHEN bar OR rbar THEN 1 END) - count(CASE WHEN (bar OR rbar) AND (sec OR rsec) THEN 1 END) AS reads_lost_to_filter FROM h LEFT JOIN fin ON fin.ref = h.ref GROUP BY h.ref",
+    "SELECT l.ref, count(CASE WHEN h.bar THEN 1 END) AS init_barcode, count(CASE WHEN h.rbar THEN 1 END) AS init_rev_barcode, count(CASE WHEN h.sec THEN 1 END) AS sec_hits, count(CASE WHEN h.rsec THEN 1 END) AS rev_sec_hits, "
+    "count(h.read_id) AS unfiltered, count(CASE WHEN h.sec OR h.rsec THEN 1 END) AS pre_union, coalesce(max(k), 0) AS final_count, "
+    "count(CASE WHEN NOT (h.sec OR h.rsec) THEN 1 END) AS reads_lost_to_filter FROM rc l LEFT JOIN h ON h.ref = l.ref LEFT JOIN fin ON fin.ref = l.ref GROUP BY l.ref",
 )
 def demux_report(spark: SparkSession, sf: str) -> DataFrame:
     patterns = dm.signatures(barcodes(spark, sf))
-    hits = dm.all_hits(reads(spark, sf), patterns, 2, 2)
-    final = dm.unambiguous(dm.assigned(hits, patterns).withColumn("mate", F.lit(1)))
-    return dm.report(hits, final, patterns).drop("barcode_clipped_1")
+    hits = dm.all_hits(reads(spark, sf), patterns, 2, 2).withColumn("mate", F.lit(1))
+    return dm.report(hits, patterns).select("ref", "init_barcode", "init_rev_barcode", "sec_hits", "rev_sec_hits", "unfiltered", "pre_union", "final_count", "reads_lost_to_filter")
 
 
 @query("set_ops", "SELECT 'union' AS op, count(*) AS n FROM (SELECT o_custkey FROM orders UNION SELECT c_custkey FROM customer) a UNION ALL SELECT 'difference', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) a UNION ALL SELECT 'intersection', count(*) FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders) a")

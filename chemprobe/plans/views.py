@@ -36,8 +36,8 @@ def as_bases(text: Column) -> Column:
     return F.translate(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), LETTERS, BASES)
 
 
-def as_bases_sql(text: str, length: int = 150) -> str:
-    return f"translate(substr(upper(regexp_replace({text}, '[^A-Za-z]', '', 'g')), 1, {length}), '{LETTERS}', '{BASES}')"
+def as_bases_sql(text: str) -> str:
+    return f"translate(upper(regexp_replace({text}, '[^A-Za-z]', '', 'g')), '{LETTERS}', '{BASES}')"
 
 
 def reads(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,7 +45,7 @@ def reads(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(F.col("doc_id").alias("read_id"), as_bases(F.col("text")).alias("seq"))
 
 
-READS = f"reads AS (SELECT * FROM (SELECT doc_id AS read_id, {as_bases_sql('text')} AS seq FROM documents) q WHERE length(seq) >= 60)"
+READS = f"reads AS (SELECT doc_id AS read_id, {as_bases_sql('text')} AS seq FROM documents)"
 
 
 def refs(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +53,7 @@ def refs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("ref"), as_bases(F.col("text")).alias("seq"))
 
 
-REFS = f"refs AS (SELECT * FROM (SELECT item_id AS ref, {as_bases_sql('text', 200)} AS seq FROM benchmark) q WHERE length(seq) >= 60)"
+REFS = f"refs AS (SELECT item_id AS ref, {as_bases_sql('text')} AS seq FROM benchmark)"
 
 
 def barcodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +64,7 @@ def barcodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 BARCODES = READS + (
-    ", bars AS (SELECT read_id AS ref, seq, length(seq) AS n, substr(seq, 21, 12) AS bar, substr(seq, 41, 8) AS sec FROM reads WHERE read_id % 50 = 3)"
+    ", bars AS (SELECT read_id AS ref, seq, length(seq) AS n, substr(seq, 21, 12) AS bar, substr(seq, 41, 8) AS sec FROM reads WHERE length(seq) >= 48)"
     ", rc AS (SELECT *, translate(reverse(bar), 'ACGT', 'TGCA') AS rbar, translate(reverse(sec), 'ACGT', 'TGCA') AS rsec FROM bars)"
 )
 
