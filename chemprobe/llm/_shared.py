@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The ASCII white space of the contracts, `[\x20\x09-\x0D]`.
@@ -13,9 +15,11 @@ WHITE = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; a temporary one where none is set and all runs in this process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="chemprobe-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
@@ -64,6 +68,64 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return Saved(df, name).df
 
 
+#: A side of a join is broadcast up to so many rows of keys and numbers; beyond that both sides are dealt by key.
+BROADCAST_KEYS = 1_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """`df`, a stored table of keys, as a broadcast side where it has at most BROADCAST_KEYS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+
+
+def apart(docs: DataFrame, kept: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with all columns but `kept` under names of their place (c0, c1...), and what gives the old names back.
+
+    So an operator's own column names never meet a table's.
+    """
+    inner = {c: c if c in kept else f"c{i}" for i, c in enumerate(docs.columns)}
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    renamed = docs.select(*[F.col(quoted(c)).alias(x) for c, x in inner.items()])
+    return renamed, lambda df: df.select(*[F.col(x).alias(c) for c, x in inner.items()])
+
+
+#: Nodes of a plan that give each stored row once at most.
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
+
+
+def _is_stored(docs: DataFrame) -> bool:
+    if "_metadata" in docs.columns:
+        return False
+    node = docs._jdf.queryExecution().analyzed()
+    while True:
+        if node.getClass().getSimpleName() not in _ROW_BY_ROW or not node.deterministic():
+            return False
+        if node.children().isEmpty():
+            break
+        node = node.children().head()
+    try:
+        docs.select("_metadata.row_index", "_metadata.file_path")
+    except AnalysisException:
+        return False
+    return True
+
+
+def with_row_key(docs: DataFrame, name: str = "_rid") -> DataFrame:
+    """`docs` with a long key of each row that is the same whenever and however the table is read again.
+
+    Of stored Parquet rows it is the file's number and the row's place in it, whatever splits or executors
+    read them. Any other table may give its rows in another order the next time, so it is written with
+    its keys to the shared folder, and that is what is returned.
+    """
+    if not _is_stored(docs):
+        return saved(docs.withColumn(name, F.monotonically_increasing_id()), "keyed")
+    path = F.col("_metadata.file_path")
+    # one row a file; the numbering is a window over file names alone
+    files = docs.select(path.alias("_file")).distinct()
+    files = saved(files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("long").alias("_no")), "files")
+    keyed = docs.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_row")).join(small_side(files), F.col("_path") == F.col("_file"))
+    return keyed.select(*[F.col(f"`{c}`") for c in docs.columns], (F.shiftleft("_no", 40) + F.col("_row")).alias(name))
+
+
 def gapless(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """Adds long column `name`: 0, 1, 2... in each `group` by `order`, without one task per group.
 
@@ -79,8 +141,6 @@ def gapless(df: DataFrame, group: list[str], order: list[str], name: str) -> Dat
     placed = placed.withColumn("_part", part)
     counts = placed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     keys = [F.col(f"`{c}`") for c in group]
-    from pyspark.sql import Window
-
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     if keys:
         before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,7 +151,7 @@ def gapless(df: DataFrame, group: list[str], order: list[str], name: str) -> Dat
     on = F.col("_part") == F.col("_p")
     for i, k in enumerate(keys):
         on = on & k.eqNullSafe(F.col(f"_g{i}"))
-    joined = placed.join(F.broadcast(counts), on)
+    joined = placed.join(small_side(saved(counts, f"counts-{name}")), on)
     out = joined.withColumn(name, F.col("_at") - F.col("_first") + F.col("_before"))
     return out.drop("_at", "_part", "_p", "_first", "_before", *[f"_g{i}" for i in range(len(keys))])
 

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import saved
+from chemprobe.llm._shared import apart, saved
 
 MIN_WORDS = 50
-#: A group with fewer rows than this takes the sketch of the next wider group.
-MIN_GROUP = 50
 #: Values keep this many significant bits in a sketch: an error under 1/64 of the value.
 SKETCH_BITS = 7
-#: Each measure in thousandths, and the least spread (q75 - q25) that its threshold assumes.
-MEASURES = {"symbols": 20, "dup_lines": 150, "repeats": 140, "capitals": 50}
-#: A threshold lies this many spreads above the third quartile.
-SPREADS = 3
-#: A group's threshold is at most so many times its language's.
-MOST_OF_LANG = 2
+#: Of each measure (in thousandths), the percentile that its threshold is taken from. Up to a tenth of a source
+#: may be symbol junk; lines and words that repeat, and capitals, are common in sound texts, so their tails are shorter.
+MEASURES = {"symbols": 90, "dup_lines": 98, "repeats": 98, "capitals": 98}
+#: A threshold is so many times that percentile.
+TIMES = 2
+#: A group's sketch is blended with so many rows' worth of its language's, and that one's with the whole's.
+PRIOR = 25
+#: Blended counts are whole numbers of this fraction of a row.
+_SCALE = 1000
 
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -119,70 +120,86 @@ def sketches(measured: DataFrame, groups: list[str]) -> DataFrame:
     return long.select(*groups, "measure", sketch_value("v").alias("bucket")).groupBy(*groups, "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quartiles(sketch: DataFrame, groups: list[str], suffix: str) -> DataFrame:
-    keys = [*groups, "measure"]
-    merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy(*keys)
-    cum = merged.withColumn("c", F.sum("n").over(w.orderBy("bucket"))).withColumn("t", F.sum("n").over(w))
-    q = lambda k: F.min(F.when(F.col("c") * 4 >= F.col("t") * k, F.col("bucket")))
-    return cum.groupBy(*keys).agg(F.max("t").alias(f"t_{suffix}"), q(1).alias(f"q1_{suffix}"), q(3).alias(f"q3_{suffix}"))
+def _blended(sketch: DataFrame, keys: list[str], wider: DataFrame, wider_keys: list[str]) -> DataFrame:
+    """(keys, measure, bucket, n): each group's counts with PRIOR rows spread as the wider group's are.
+
+    `wider` has counts n of its own in any unit; the result counts in fractions of a row. A group's own rows
+    outweigh the prior as it grows, with no size at which the rule changes.
+    """
+    own = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    total = wider.groupBy(*wider_keys, "measure").agg(F.sum("n").alias("t"))
+    share = wider.join(total, [*wider_keys, "measure"]).select(*wider_keys, "measure", "bucket", F.expr(f"({PRIOR * _SCALE} * n) div t").alias("prior"))
+    every = own.select(*keys, "measure").distinct().join(share, [*wider_keys, "measure"])
+    both = every.join(own, [*keys, "measure", "bucket"], "left")
+    return both.select(*keys, "measure", "bucket", (F.coalesce("n", F.lit(0)) * _SCALE + F.col("prior")).alias("n"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per (lang, source): the most that each measure may be.
 
-    q75 + SPREADS * max(q75 - q25, the least spread), from the group's own sketch when it has at least
-    MIN_GROUP rows, else from its language's, else from all; at most MOST_OF_LANG times the wider one's.
+    TIMES the measure's percentile in the group's own sketch, which is blended with its language's by size.
     """
-    own, lang, all_ = _quartiles(sketch, ["__glang", "__gsource"], "o"), _quartiles(sketch, ["__glang"], "l"), _quartiles(sketch, [], "a")
-    least = F.create_map(*[x for m, s in MEASURES.items() for x in (F.lit(m), F.lit(s).cast("long"))])[F.col("measure")]
-    limit = lambda s: F.col(f"q3_{s}") + SPREADS * F.greatest(F.col(f"q3_{s}") - F.col(f"q1_{s}"), least)
-    joined = own.join(lang, ["__glang", "measure"]).join(all_, ["measure"])
-    wider = F.when(F.col("t_l") >= MIN_GROUP, limit("l")).otherwise(limit("a"))
-    most = F.when(F.col("t_o") >= MIN_GROUP, F.least(limit("o"), MOST_OF_LANG * wider)).otherwise(wider)
-    rows = joined.select("__glang", "__gsource", "measure", most.alias("most"))
-    return rows.groupBy("__glang", "__gsource").agg(*[F.max(F.when(F.col("measure") == m, F.col("most"))).alias(f"most_{m}") for m in MEASURES])
+    whole = sketch.groupBy("measure", "bucket").agg(F.sum("n").alias("n"))
+    langs = _blended(sketch, ["__glang"], whole, [])
+    own = _blended(sketch, ["__glang", "__gsource"], langs, ["__glang"])
+    w = Window.partitionBy("__glang", "__gsource", "measure")
+    cum = own.withColumn("c", F.sum("n").over(w.orderBy("bucket"))).withColumn("t", F.sum("n").over(w))
+    percent = F.create_map(*[x for m, p in MEASURES.items() for x in (F.lit(m), F.lit(p))])[F.col("measure")]
+    most = lambda m: F.min(F.when((F.col("measure") == m) & (F.col("c") * 100 >= F.col("t") * percent), TIMES * F.col("bucket")))
+    return cum.groupBy("__glang", "__gsource").agg(*[most(m).alias(f"most_{m}") for m in MEASURES])
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """The base measures, `base_failed` and `kept` of every row; needs doc_id, text, lang and source.
+_NEEDED = ("doc_id", "text", "lang", "source")
+
+
+def _judged(inner: DataFrame, name: str, texts: bool = True) -> DataFrame:
+    """`inner` with the measures, base_failed and kept; the texts are left out where they are not needed.
 
-    Texts are read once: the measures are written to the shared folder without them, so neither the
-    sketches nor the join with the thresholds move a text. Sketches are built from the rows that pass
-    the base rules. Null lang or source is a group of its own. A text without words fails the base
-    rules. Repeated rows are judged alike; other columns stay, those named as a result are replaced.
+    The measured rows are written to the shared folder once: neither the sketches nor the join with the
+    thresholds read or move a text again.
     """
-    m = saved(measures(docs).drop("text"), "quality-measures")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    m = m.withColumn("base_failed", failed)
-    for name, rate in _rates().items():
-        m = m.withColumn(f"__r_{name}", rate)
+    m = measures(inner)
+    m = saved(m if texts else m.drop("text"), name)
+    m = m.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    for rate, value in _rates().items():
+        m = m.withColumn(f"__r_{rate}", value)
     # a prefix keeps null apart from every value
     for key in ("lang", "source"):
         m = m.withColumn(f"__g{key}", F.coalesce(F.concat(F.lit("="), key), F.lit("")))
-    limits = saved(thresholds(sketches(m.where(~F.col("base_failed")), ["__glang", "__gsource"])), "quality-thresholds")
+    sketch = saved(sketches(m.where(~F.col("base_failed")), ["__glang", "__gsource"]), "quality-sketches")
+    limits = saved(thresholds(sketch), "quality-thresholds")
     # a few numbers a group: sent to every task while that is small, so that a hot group is not dealt to one
     limits = F.broadcast(limits) if limits.count() <= BROADCAST_GROUPS else limits
     joined = m.join(limits, ["__glang", "__gsource"], "left")
     within = F.lit(True)
-    for name in MEASURES:
-        within = within & (F.col(f"__r_{name}") <= F.coalesce(F.col(f"most_{name}"), F.lit(2**62)))
-    out = joined.withColumn("kept", ~F.col("base_failed") & within)
-    return out.select(*[f"`{c}`" for c in docs.columns if c not in (*RESULTS, "text")], *RESULTS)
+    for rate in MEASURES:
+        within = within & (F.col(f"__r_{rate}") <= F.coalesce(F.col(f"most_{rate}"), F.lit(2**62)))
+    return joined.withColumn("kept", ~F.col("base_failed") & within)
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """The base measures, `base_failed` and `kept` of every row; needs doc_id, text, lang and source.
+
+    Sketches are built from the rows that pass the base rules. Null lang or source is a group of its own. A
+    text without words, null included, fails the base rules. Repeated rows are judged alike, each one; an
+    empty table gives an empty result. Other columns stay, those named as a result are replaced.
+    """
+    others = docs.select(*[f"`{c}`" for c in docs.columns if c not in RESULTS])
+    inner, _ = apart(others, _NEEDED)
+    out = _judged(inner, "quality-measures", texts=False)
+    renames = dict(zip(inner.columns, others.columns))
+    return out.select(*[F.col(i).alias(c) for i, c in renames.items() if c != "text"], *RESULTS)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that the rules keep, with their columns as they were.
 
-    Rows are told apart by doc_id, lang, source and the checksum of the text, so that repeats of an id
-    with other texts get their own verdicts.
+    The measured rows are written with their texts, so that the verdict is a filter of them: no text is
+    shuffled and no row has to be told from another. Null and empty texts go, as do those of few words;
+    repeated rows stay or go together. An empty table stays empty.
     """
-    marked = docs.withColumn("__crc", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    judged = judge(marked.select("doc_id", "text", "lang", "source", "__crc"))
-    good = judged.where("kept").select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.col("__crc").alias("__of")).distinct()
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    on = same("doc_id", "__id") & same("lang", "__lang") & same("source", "__source") & (F.col("__crc") == F.col("__of"))
-    return marked.join(good, on, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    inner, restore = apart(docs, _NEEDED)
+    return restore(_judged(inner, "quality-measured").where("kept"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,15 +216,15 @@ def _sql() -> str:
         "symbols": "n_symbols * 1000 // greatest(word_chars, 1)", "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)",
         "repeats": "n_repeat_words * 1000 // greatest(n_words, 1)", "capitals": "n_capitals * 1000 // greatest(word_chars, 1)",
     }
-    long = " UNION ALL ".join(f"SELECT l, s, '{m}' AS measure, CAST({r} AS BIGINT) AS v, {MEASURES[m]} AS least FROM base WHERE NOT base_failed" for m, r in rates.items())
+    long = " UNION ALL ".join(f"SELECT l, s, '{m}' AS measure, CAST({r} AS BIGINT) AS v FROM base WHERE NOT base_failed" for m, r in rates.items())
+    percent = " ".join(f"WHEN '{m}' THEN {p}" for m, p in MEASURES.items())
 
-    def fences(name: str, keys: str) -> str:
-        by = f"{keys}, " if keys else ""
+    def blended(name: str, keys: str, wider: str, wider_keys: str) -> str:
+        by = f"{wider_keys}, " if wider_keys else ""
         return (
-            f"{name}h AS (SELECT {by}measure, least, bucket, sum(n) AS n FROM sk GROUP BY ALL), "
-            f"{name}c AS (SELECT *, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS c, sum(n) OVER (PARTITION BY {by}measure) AS t FROM {name}h), "
-            f"{name}q AS (SELECT {by}measure, least, max(t) AS t, min(CASE WHEN c * 4 >= t THEN bucket END) AS q1, min(CASE WHEN c * 4 >= t * 3 THEN bucket END) AS q3 FROM {name}c GROUP BY ALL), "
-            f"{name} AS (SELECT *, q3 + {SPREADS} * greatest(q3 - q1, least) AS top FROM {name}q)"
+            f"{name}p AS (SELECT {by}measure, bucket, CAST(({PRIOR * _SCALE} * n) // sum(n) OVER (PARTITION BY {by}measure) AS BIGINT) AS prior FROM {wider}), "
+            f"{name}o AS (SELECT {keys}, measure, bucket, CAST(sum(n) AS BIGINT) AS n FROM sk GROUP BY ALL), "
+            f"{name} AS (SELECT {keys}, measure, bucket, coalesce(n, 0) * {_SCALE} + prior AS n FROM (SELECT DISTINCT {keys}, measure FROM {name}o) JOIN {name}p USING ({by}measure) LEFT JOIN {name}o USING ({keys}, measure, bucket))"
         )
 
     within = " AND ".join(f"({r}) <= coalesce(max(CASE WHEN measure = '{m}' THEN most END), 4611686018427387904)" for m, r in rates.items())
@@ -223,10 +240,11 @@ base0 AS (SELECT w.doc_id, l, s, len(ws)::BIGINT AS n_words, length(array_to_str
   len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cov USING (doc_id)),
 base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base0),
 long AS ({long}),
-sk AS (SELECT l, s, measure, least, {cut.format(v="v")} AS bucket, count(*)::BIGINT AS n FROM long GROUP BY ALL),
-{fences("o", "l, s")}, {fences("la", "l")}, {fences("a", "")},
-lim AS (SELECT o.l, o.s, o.measure, CASE WHEN o.t >= {MIN_GROUP} THEN least(o.top, {MOST_OF_LANG} * wide) ELSE wide END AS most
-  FROM o JOIN (SELECT la.l, la.measure, CASE WHEN la.t >= {MIN_GROUP} THEN la.top ELSE a.top END AS wide FROM la JOIN a USING (measure)) x USING (l, measure))
+sk AS (SELECT l, s, measure, {cut.format(v="v")} AS bucket, count(*)::BIGINT AS n FROM long GROUP BY ALL),
+whole AS (SELECT measure, bucket, CAST(sum(n) AS BIGINT) AS n FROM sk GROUP BY ALL),
+{blended("lang", "l", "whole", "")}, {blended("own", "l, s", "lang", "l")},
+cum AS (SELECT l, s, measure, bucket, sum(n) OVER (PARTITION BY l, s, measure ORDER BY bucket) AS c, sum(n) OVER (PARTITION BY l, s, measure) AS t FROM own),
+lim AS (SELECT l, s, measure, {TIMES} * min(bucket) AS most FROM cum WHERE c * 100 >= t * CASE measure {percent} END GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {within} AS kept
 FROM base LEFT JOIN lim USING (l, s) GROUP BY doc_id, n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_lines, n_repeat_words, base_failed
 """
