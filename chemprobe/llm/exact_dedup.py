@@ -6,7 +6,8 @@ document has one name. Names stand for contents one to one, so equal names mean
 no hash that could collide.
 
 A block (or pair of names) that occurs once makes its document unlike any other, so such a document
-leaves the recursion at once, under the name UNIQUE.
+leaves the recursion at once, under the name UNIQUE. Blocks whose 64-bit hash occurs once occur once
+themselves, so only the others are sorted, whole.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import WHITE, Saved, saved, text_or_empty
+from chemprobe.llm._shared import WHITE, Saved, apart, saved, small_side, text_or_empty, with_row_key
 
 BLOCK_BYTES = 4096
 #: Stands for whatever occurs in one place only.
@@ -34,26 +35,31 @@ def _named(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def identities(docs: DataFrame) -> DataFrame:
-    """Per row of `docs` (doc_id, text): _rid, doc_id, n_chars, text_sha256, levels and name.
+    """Per row of `docs` (_rid, doc_id, text): _rid, doc_id, n_chars, text_sha256, levels and name.
 
     Rows with equal (levels, name), UNIQUE aside, have equal texts. Null counts as the empty text.
     The number of rounds is the logarithm of the longest text's blocks.
     """
     text = text_or_empty("text")
     norm = F.translate(text, WHITE, "")
-    base = docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), norm.alias("norm")).withColumn("_rid", F.monotonically_increasing_id())
+    base = docs.select("_rid", "doc_id", F.length(text).cast("long").alias("n_chars"), norm.alias("norm"))
     base = base.withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256))
     size = F.octet_length("norm")
     blocks = base.withColumn("_nb", F.greatest(F.ceil(size / F.lit(BLOCK_BYTES)), F.lit(1)).cast("int"))
     at = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_idx")
-    blocks = blocks.select("_rid", "doc_id", "n_chars", "text_sha256", "_nb", F.col("norm").cast("binary").alias("b"), at)
+    about = ["_rid", "doc_id", "n_chars", "text_sha256", "_nb"]
+    blocks = blocks.select(*about, F.col("norm").cast("binary").alias("b"), at)
     block = F.substring("b", F.col("_idx") * BLOCK_BYTES + 1, F.lit(BLOCK_BYTES))
-    blocks = blocks.select("_rid", "doc_id", "n_chars", "text_sha256", "_nb", "_idx", block.alias("_block"))
+    blocks = blocks.select(*about, "_idx", block.alias("_block")).withColumn("_hash", F.xxhash64("_block"))
 
+    hashes = blocks.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    hashes = saved(hashes, "block-hashes")
+    again = blocks.join(small_side(hashes), "_hash", "left_semi")
     # the names are written first: a join of two plain exchanges can split a hot block's partition
-    names = saved(_named(blocks.select("_block"), ["_block"]), "block-names")
-    named = blocks.join(names, "_block", "left")
-    first = Saved(named.select("_rid", "doc_id", "n_chars", "text_sha256", "_nb", "_idx", F.coalesce("_name", F.lit(UNIQUE)).alias("_name")), "blocks")
+    names = saved(_named(again.select("_block"), ["_block"]), "block-names")
+    named = again.join(names, "_block", "left").select(*about, "_idx", F.coalesce("_name", F.lit(UNIQUE)).alias("_name"))
+    once = blocks.join(small_side(hashes), "_hash", "left_anti").select(*about, "_idx", F.lit(UNIQUE).cast("long").alias("_name"))
+    first = Saved(named.unionByName(once), "blocks")
     rows = first.df.select("_rid", "_nb", "_idx", "_name")
 
     most = rows.agg(F.max("_nb")).first()[0] or 1
@@ -79,32 +85,41 @@ def identities(docs: DataFrame) -> DataFrame:
     return about.join(names.withColumnRenamed("_name", "name"), "_rid")
 
 
-def mark_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
-
-    Of equal texts, the row with the most code points stays, then the smallest doc_id (null last),
-    then the first one read, so that exactly one of repeated rows stays. Null and empty texts, and
-    texts of white space only, are one group. An empty table gives an empty result.
-    """
+def _marked(docs: DataFrame) -> DataFrame:
+    """Per row of `docs` (_rid, doc_id, text): _rid, doc_id, keep_id, group_size, kept, text_sha256."""
     rows = saved(identities(docs), "identities")
     alone = rows.where(F.col("name") == UNIQUE)
     shared = rows.where(F.col("name") != UNIQUE)
     rank = F.struct((-F.col("n_chars")).alias("c"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("doc_id"), F.col("_rid").alias("rid"))
-    best = shared.groupBy("levels", "name").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    grouped = shared.join(best, ["levels", "name"]).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("_rid") == F.col("best.rid")).alias("kept"), "text_sha256"
+    # written first, as the names are: a hot group's rows can then be split over tasks
+    best = saved(shared.groupBy("levels", "name").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size")), "best-copies")
+    grouped = shared.join(small_side(best), ["levels", "name"]).select(
+        "_rid", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("_rid") == F.col("best.rid")).alias("kept"), "text_sha256"
     )
-    single = alone.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    single = alone.select("_rid", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     return grouped.unionByName(single)
 
 
+def mark_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+
+    Of equal texts, the row with the most code points stays, then the smallest doc_id (null last),
+    then the first one stored, so that exactly one of repeated rows stays. Null and empty texts, and
+    texts of white space only, are one group. An empty table gives an empty result.
+    """
+    return _marked(with_row_key(docs.select("doc_id", "text"))).drop("_rid")
+
+
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that `mark_duplicates` keeps, with their columns as they were."""
-    kept = mark_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"))
-    marked = docs.withColumn("__sha", F.sha2(F.translate(text_or_empty("text"), WHITE, "").cast("binary"), 256))
-    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__of")), "left_semi")
-    # rows that repeat an id and its text are told apart by nothing: one of them stays
-    return found.dropDuplicates(["doc_id", "__sha"]).select(*[f"`{c}`" for c in docs.columns])
+    """The rows of `docs` that `mark_duplicates` keeps, with their columns as they were.
+
+    Only the keys of the rows that go are joined with the table, so texts move only where those keys are
+    too many to be sent to every task. Repeats of an id are rows like any others.
+    """
+    inner, restore = apart(docs, ("doc_id", "text"))
+    keyed = with_row_key(inner)
+    gone = saved(_marked(keyed.select("_rid", "doc_id", "text")).where("NOT kept").select("_rid"), "dropped-copies")
+    return restore(keyed.join(small_side(gone), "_rid", "left_anti"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

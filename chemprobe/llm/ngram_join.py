@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import Saved, bound_batches, saved
+from chemprobe.llm._shared import Saved, apart, bound_batches, saved, small_side
 from chemprobe.llm.components import components
 
 WORDS = 5
@@ -36,6 +36,8 @@ WORDS = 5
 PART_ROWS = 1_500_000
 #: Every so many-th segment also publishes its one-deletion neighbourhood.
 DELETE_EVERY = 16
+#: A set in more pairs than this is copied for each so many of them.
+HUB = 64
 _LEVELS = 64
 _KEEP_WORDS = 200_000
 
@@ -316,9 +318,15 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     nodes = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
     texts = docs.join(nodes, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text")
     sets = saved(texts.mapInPandas(_sets, "node long, items array<long>"), "items")
+    # a set that very many pairs share (a hub, always v) is copied, so that its pairs are dealt to many tasks
+    hubs = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HUB).select("v", F.ceil(F.col("n") / HUB).cast("int").alias("copies"))
+    hubs = small_side(saved(hubs, "hubs"))
+    copies = F.coalesce("copies", F.lit(1))
     a = sets.select(F.col("node").alias("u"), F.col("items").alias("su"))
-    b = sets.select(F.col("node").alias("v"), F.col("items").alias("sv"))
-    both = pairs.join(a, "u").join(b, "v")
+    b = sets.select(F.col("node").alias("v"), F.col("items").alias("sv")).join(hubs, "v", "left")
+    b = b.select("v", "sv", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    salted = pairs.join(hubs, "v", "left").select("u", "v", F.pmod(F.xxhash64("u"), copies).cast("int").alias("copy"))
+    both = salted.join(b, ["v", "copy"]).join(a, "u")
     both = both.withColumn("x", F.size(F.array_intersect("su", "sv")))
     return both.where(100 * F.col("x") >= 80 * (F.size("su") + F.size("sv") - F.col("x"))).select("u", "v").distinct()
 
@@ -390,11 +398,13 @@ def link_classes(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are their component's smallest doc_id, with their columns as they were.
 
-    Rows that repeat that doc_id stay together.
+    Rows that repeat a doc_id stay or go together. Rows without an id, and null or empty texts, stay. An empty
+    table stays empty.
     """
     linked = link_classes(docs.select("doc_id", "text"))
-    gone = linked.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    gone = small_side(saved(linked.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies"))
+    inner, restore = apart(docs, ("doc_id",))
+    return restore(inner.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,12 @@ The remaining contexts, dealt by anchor, are suffix-sorted: suffixes smaller tha
 sorted directly, the rest is induced by one scan over the buckets of first bytes, and the common
 prefixes of neighbours then tell which starts repeat. All occurrences of a passage lie in one part, so
 the parts together give exactly what one suffix array of the corpus would.
+
+An anchor with very many distinct contexts (a common phrase amid different texts) would fill a part by
+itself. Its contexts are cut to runs of a few starts, dealt by the bytes that all passages from such a run
+share, which is nearly the passage; what is still too much then is cut to single starts, whose context is
+the passage, so that a group holds equal strings and is only counted. Contexts are told apart by two
+64-bit hashes, of the anchor and of the context.
 """
 
 from __future__ import annotations
@@ -20,15 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import Saved, bound_batches, saved, text_or_empty
+from chemprobe.llm._shared import apart, bound_batches, saved, small_side, text_or_empty, with_row_key
 
 LENGTH = 200
 GRAM = 32
 #: Anchors per partition of the exchange, and bytes of context per suffix array.
 PART_ANCHORS, PART_BYTES = 150_000, 800_000
+#: An anchor with more distinct contexts than this is cut finer: to runs of so many starts, then to single ones.
+HOT, RUNS = 2000, (24, 1)
 #: A long text's anchors are found so many starts at a time.
 _RUN = 1 << 22
 _POS = np.uint64((1 << 24) - 1)
@@ -46,8 +54,8 @@ def _gram_hashes(t: np.ndarray) -> np.ndarray:
         return h * _M2
 
 
-def anchors(t: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the starts 0 ... len(t) - length: runs with one anchor, as (anchor hash, first start, last start)."""
+def anchors(t: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """Of the starts 0 ... len(t) - length: runs with one anchor, as (anchor hash, first start, last start, anchor's place)."""
     n = len(t) - length + 1
     w = length - GRAM + 1
     out = []
@@ -65,59 +73,104 @@ def anchors(t: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
         pos = (_POS - (low & _POS)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, pos[1:] != pos[:-1]])
         last = np.r_[first[1:], m] - 1
-        out.append((h[pos[first]], first + at, last + at))
+        out.append((h[pos[first]], first + at, last + at, pos[first] + at))
     if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+_ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("rid", "<i8"), ("s", "<i4"), ("e", "<i4"), ("p", "<i4")])
+_ENTRIES = "a long, c long, _rid long, s int, e int, p int"
+
+
 def _anchor_blobs(parts: int, length: int):
-    """Packed anchors dealt to parts: (anchor, context hash, row, first start, last start)."""
+    """Packed entries dealt to parts: (anchor, context hash, row, first start, last start, anchor's place).
 
-    kind = np.dtype([("a", "<u8"), ("c", "<u8"), ("rid", "<i8"), ("s", "<i4"), ("e", "<i4")])
+    An anchor that a batch of texts holds twice is shared for certain: one entry goes to the anchor's part,
+    to tell the others, and the rest to a part of the batch's own, below 0. So a part gets a common anchor
+    once a batch.
+    """
 
-    def pack(found: list[np.ndarray]) -> pd.DataFrame:
+    def pack(found: list[np.ndarray], own: int) -> pd.DataFrame:
         all_ = np.concatenate(found)
+        all_ = all_[np.argsort(all_["a"], kind="stable")]
+        first = np.r_[True, all_["a"][1:] != all_["a"][:-1]]
+        last = np.r_[first[1:], True]
+        sure = all_[~first]
+        all_, twice = all_[first], ~last[first]
         # the high bits of a window's smallest hash are nearly all zero; the low ones are even
         part = ((all_["a"] & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        all_, ends = all_[order], np.searchsorted(part[order], np.arange(parts + 1))
-        rows = [(p, all_[ends[p] : ends[p + 1]].tobytes()) for p in range(parts) if ends[p] < ends[p + 1]]
+        all_, twice, ends = all_[order], twice[order], np.searchsorted(part[order], np.arange(parts + 1))
+        rows = [(p, twice[ends[p] : ends[p + 1]].tobytes() + all_[ends[p] : ends[p + 1]].tobytes()) for p in range(parts) if ends[p] < ends[p + 1]]
+        if len(sure):
+            rows.append((own, np.ones(len(sure), bool).tobytes() + sure.tobytes()))
         return pd.DataFrame(rows, columns=["part", "blob"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, n = [], 0
+        from pyspark import TaskContext
+
+        found, n, own = [], 0, -1 - (TaskContext.get().partitionId() << 24)
         for batch in batches:
             for rid, text in zip(batch["_rid"], batch["text"]):
                 raw = (text or "").encode()
                 if len(raw) < length:
                     continue
-                a, s, e = anchors(np.frombuffer(raw, np.uint8), length)
-                one = np.empty(len(a), kind)
-                one["a"], one["rid"], one["s"], one["e"] = a, rid, s, e
+                a, s, e, p = anchors(np.frombuffer(raw, np.uint8), length)
+                one = np.empty(len(a), _ENTRY)
+                one["a"], one["rid"], one["s"], one["e"], one["p"] = a, rid, s, e, p
                 view = memoryview(raw)
                 one["c"] = np.fromiter((xxhash.xxh3_64_intdigest(view[i : j + length]) for i, j in zip(s.tolist(), e.tolist())), np.uint64, len(a))
                 found.append(one)
                 n += len(a)
                 if n >= 200_000:
-                    yield pack(found)
-                    found, n = [], 0
+                    yield pack(found, own)
+                    found, n, own = [], 0, own - 1
         if found:
-            yield pack(found)
+            yield pack(found, own)
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
         """The entries whose anchor occurs twice or more."""
-        all_ = np.concatenate([np.frombuffer(b, kind) for b in group["blob"]])
+        sizes = [len(b) // (_ENTRY.itemsize + 1) for b in group["blob"]]
+        sure = np.concatenate([np.frombuffer(b, bool, n) for b, n in zip(group["blob"], sizes)])
+        all_ = np.concatenate([np.frombuffer(b, _ENTRY, n, n) for b, n in zip(group["blob"], sizes)])
         order = np.argsort(all_["a"], kind="stable")
         a = all_["a"][order]
         first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
         size = np.diff(np.r_[first, len(a)])
-        keep = all_[order[np.repeat(size, size) > 1]]
-        return pd.DataFrame({"a": np.ascontiguousarray(keep["a"]).view(np.int64), "c": np.ascontiguousarray(keep["c"]).view(np.int64), "_rid": keep["rid"], "s": keep["s"], "e": keep["e"]})
+        keep = all_[order[(np.repeat(size, size) > 1) | sure[order]]]
+        return pd.DataFrame({x: np.ascontiguousarray(keep[y]).view(np.int64 if y in "ac" else keep[y].dtype) for x, y in zip(("a", "c", "_rid", "s", "e", "p"), _ENTRY.names)})
 
     return run, shared
 
 
+def _finer(width: int, length: int):
+    """Cuts contexts to runs of at most `width` starts, each dealt by what all its passages share."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["a", "c", "off", "mult", "a2", "c2", "_rid", "s", "e", "p"]
+        for batch in batches:
+            rows = []
+            for rid, text, spots in zip(batch["_rid"], batch["text"], batch["spots"]):
+                raw = memoryview(text.encode())
+                for x in spots:
+                    p, end = x["p"], x["e"]
+                    while end >= x["s"]:  # from the last start back, by distance to the anchor
+                        j = (p - end) // width
+                        start = max(x["s"], p - j * width - width + 1)
+                        common = raw[p - j * width : p - j * width - width + 1 + length]
+                        a2 = xxhash.xxh3_64_intdigest(common, seed=j)
+                        c2 = xxhash.xxh3_64_intdigest(raw[start : end + length], seed=p - start + 1)
+                        rows.append((x["a"], x["c"], start - x["s"], x["mult"], a2 - (a2 >> 63 << 64), c2 - (c2 >> 63 << 64), rid, start, end, p))
+                        end = start - 1
+                if len(rows) >= 20000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
+
+    return run, "a long, c long, off int, mult long, a2 long, c2 long, _rid long, s int, e int, p int"
+
+
 def rises(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; the empty one, after the last, is smallest."""
     step = np.sign(np.diff(t.astype(np.int16), append=-1)).astype(np.int8)
@@ -274,28 +327,71 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["_rid", "spans", "n_removed", "kept_sha256", "left"])
 
 
+def _spots(contexts: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts that contexts are cut out of, with those contexts; a text's own number of them is bounded by it."""
+    here = contexts.groupBy("_rid").agg(F.collect_list(F.struct("a", "c", "mult", "s", "e", "p")).alias("spots"))
+    return texts.join(here, "_rid").select("_rid", "text", "spots")
+
+
+def _distinct(entries: DataFrame, mult: Column) -> DataFrame:
+    """(a, c, mult, _rid, s, e, p): each distinct context once, with its number and one of its places."""
+    spot = F.min(F.struct("_rid", "s", "e", "p")).alias("r")
+    return entries.groupBy("a", "c").agg(mult.alias("mult"), spot).select("a", "c", "mult", "r.*")
+
+
+def _hot(contexts: DataFrame) -> DataFrame:
+    """The anchors with more than HOT distinct contexts."""
+    return saved(contexts.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("a"), "hot-anchors")
+
+
+def _repeats(contexts: DataFrame, texts: DataFrame, length: int, runs: tuple[int, ...]) -> DataFrame:
+    """(a, c, lo, hi): the runs of starts within each distinct context, from 0, that repeat."""
+    hot = _hot(contexts)
+    if not hot.head(1):
+        return _sorted_repeats(contexts, texts, length)
+    hot_side = small_side(hot)
+    cool, warm = contexts.join(hot_side, "a", "left_anti"), contexts.join(hot_side, "a", "left_semi")
+    cut, schema = _finer(runs[0], length)
+    finer = saved(_spots(warm, texts).mapInPandas(cut, schema), f"runs-of-{runs[0]}")
+    again = finer.select(F.col("a2").alias("a"), F.col("c2").alias("c"), "mult", "_rid", "s", "e", "p")
+    again = saved(_distinct(again, F.sum("mult")), "finer-contexts")
+    if runs[0] == 1:  # a context is its passage: counted, there is nothing to sort
+        found = again.where("mult > 1").select("a", "c", F.array(F.lit(0)).alias("lo"), F.array(F.lit(0)).alias("hi"))
+    else:
+        alone = again.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max("mult").alias("m")).where("n > 1 OR m > 1").select("a")
+        found = _repeats(saved(again.join(alone, "a", "left_semi"), "contexts-met"), texts, length, runs[1:])
+    found = found.select(F.col("a").alias("a2"), F.col("c").alias("c2"), "lo", "hi")
+    shift = lambda side: F.transform(side, lambda x: x + F.col("off")).alias(side)
+    back = finer.join(saved(found, "finer-repeats"), ["a2", "c2"]).select("a", "c", shift("lo"), shift("hi"))
+    return _sorted_repeats(cool, texts, length).unionByName(back)
+
+
+def _sorted_repeats(contexts: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """The same by suffix sorts of parts that hold all contexts of an anchor."""
+    size = contexts.agg(F.sum(F.col("e") - F.col("s") + length)).first()[0] or 0
+    cut = _spots(contexts, texts).select("text", "spots").mapInPandas(
+        _contexts(max(4, -(-size // PART_BYTES)), length), "part int, a long, c long, mult long, starts int, n int, ended boolean, bytes binary"
+    )
+    return cut.groupBy("part").applyInPandas(_sort_part(length), "a long, c long, lo array<int>, hi array<int>")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The rows of `docs` (_rid, text) with a repeat: _rid, spans in bytes, n_removed, kept_sha256, left.
 
     `left` is what remains, without bytes of cut-up characters. A text shorter than `length`, or null,
-    has no repeat. Repeats within one text count, overlapping ones included.
+    has no repeat. Repeats within one text count, overlapping ones included. `_rid` tells rows apart and
+    has to be the same whenever `docs` is read, as `with_row_key` gives it.
     """
     bound_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(4, -(-2 * total // ((length - GRAM + 2) * PART_ANCHORS)))
     make, shared = _anchor_blobs(parts, length)
-    blobs = docs.mapInPandas(make, "part int, blob binary")
-    met = saved(blobs.groupBy("part").applyInPandas(shared, "a long, c long, _rid long, s int, e int"), "anchors")
-    texts = saved(docs.join(met.select("_rid").distinct(), "_rid", "left_semi"), "texts-with-anchors")
-    spot = F.min(F.struct("_rid", "s", "e")).alias("r")
-    reps = met.groupBy("a", "c").agg(F.count(F.lit(1)).alias("mult"), spot).select("a", "c", "mult", "r.*")
-    reps = saved(reps, "contexts")
-    size = reps.agg(F.sum(F.col("e") - F.col("s") + length)).first()[0] or 0
-    here = reps.groupBy("_rid").agg(F.collect_list(F.struct("a", "c", "mult", "s", "e")).alias("spots"))
-    cut = texts.join(here, "_rid").select("text", "spots").mapInPandas(
-        _contexts(max(4, -(-size // PART_BYTES)), length), "part int, a long, c long, mult long, starts int, n int, ended boolean, bytes binary"
-    )
-    hits = saved(cut.groupBy("part").applyInPandas(_sort_part(length), "a long, c long, lo array<int>, hi array<int>"), "repeats")
+    blobs = docs.mapInPandas(make, "part long, blob binary")
+    met = saved(blobs.groupBy("part").applyInPandas(shared, _ENTRIES), "anchors")
+    rows = saved(met.select("_rid").distinct(), "rows-with-anchors")
+    texts = saved(docs.join(small_side(rows), "_rid", "left_semi"), "texts-with-anchors")
+    contexts = saved(_distinct(met, F.count(F.lit(1))), "contexts")
+    hits = saved(_repeats(contexts, texts, length, RUNS), "repeats")
     ranges = met.join(hits, ["a", "c"]).select(
         "_rid", F.transform("lo", lambda x: x + F.col("s")).alias("at"), F.transform("hi", lambda x: x + F.col("s") + length).alias("to")
     )
@@ -308,21 +404,26 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """`docs` with the repeated passages cut out of `text` (and n_chars, if there, counted anew).
 
-    Every row stays, emptied ones too; rows without a repeat stay as they are. `docs` is read more than
-    once and has to give its rows in the same places each time, as stored tables do.
+    Every row stays, emptied ones too, and every repeated row; rows without a repeat, null texts among them,
+    stay as they are. Other columns stay whatever their names. An empty table stays empty. Only rows with a
+    repeat are shuffled while their keys can be sent to every task.
     """
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
-    cut = repeated_spans(rows.select(F.col("__row").alias("_rid"), "text"), length).select(F.col("_rid").alias("__row"), F.col("left").alias("__left"))
-    out = rows.join(cut, "__row", "left").withColumn("text", F.coalesce("__left", "text"))
+    inner, restore = apart(docs, ("text", "n_chars"))
+    rows = with_row_key(inner)
+    cut = saved(repeated_spans(rows.select("_rid", "text"), length).select("_rid", "left"), "texts-left")
+    keys = small_side(saved(cut.select("_rid"), "rows-cut"))
+    changed = rows.join(keys, "_rid", "left_semi").drop("text").join(cut, "_rid").withColumnRenamed("left", "text")
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("__left").isNull(), F.col("n_chars")).otherwise(F.length("__left").cast(kind)))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return restore(rows.join(keys, "_rid", "left_anti").unionByName(changed))
 
 
 def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    rows = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("_rid", F.monotonically_increasing_id())
+    """Per row of `docs` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    Null and empty texts have no bytes and no repeats; repeated rows give repeated results.
+    """
+    rows = with_row_key(docs.select("doc_id", text_or_empty("text").alias("text")))
     cut = repeated_spans(rows.select("_rid", "text"), length)
     cut = saved(cut.select("_rid", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"), "cuts")
     about = rows.select("_rid", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
