@@ -37,6 +37,17 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def _place(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in any store that Spark can write to."""
+    at, fs = _place(spark, path)
+    fs.delete(at, True)
+
+
 class Saved:
     """A table written to the shared folder: lineage is cut and any lost executor can reread it."""
 
@@ -45,22 +56,16 @@ class Saved:
         self.path = f"{shared_dir(self.spark)}/chemprobe/{name}-{uuid.uuid4().hex}"
         self.schema = df.schema
         df.write.parquet(self.path)
-        fs_path, fs = self._fs()
-        fs.deleteOnExit(fs_path)
+        at, fs = _place(self.spark, self.path)
+        fs.deleteOnExit(at)
 
     @property
     def df(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def drop(self) -> None:
         """Delete the files, once everything that reads them has been written."""
-        path, fs = self._fs()
-        fs.delete(path, True)
+        remove(self.spark, self.path)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

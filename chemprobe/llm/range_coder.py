@@ -1,13 +1,14 @@
 """Token ids in blocks by an adaptive context-mixing range coder.
 
-A block holds a fixed number of ids and is coded on its own: models start anew, and a checksum covers
-the ids. Each id's probability is a mixture of three predictions. The orders 2 and 1 each predict one
-id, what followed the last two ids (or the last one) before, with a confidence; the mixture weight is a
-probability that adapts for each pair of confidences. The rest goes to order 0, adaptive counts of all
-ids, brought up to date every EPOCH ids. The probability is coded as an interval of a carryless range
-coder with 64 bits.
-
-Many blocks are coded side by side, a numpy lane each: the coder steps through all lanes together.
+A block is coded on its own: its models start anew, and a checksum covers its ids. Each id's probability is
+a mixture of three predictions. Orders 2 and 1 each predict an id, what followed the last two ids (or the
+last one) before, with a confidence; order 0 predicts all ids by adaptive counts. The weights of the three
+are probabilities that adapt for each pair of confidences. Where orders 2 and 1 predict the same id their
+weights are one. The mixture's share of an id is an interval of a carryless range coder with 64 bits.
+
+A block's ids are cut into equal stretches, a numpy lane each, and the coder steps through all lanes
+together. The lanes share the block's models, which learn from all lanes after each step; so the decoder,
+which has the same ids by then, learns the same.
 """
 
 from __future__ import annotations
@@ -21,233 +22,217 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import saved
-from chemprobe.llm._shared import bound_batches
+from chemprobe.llm._shared import bound_batches, remove, saved, small_side
 from chemprobe.llm._tokens import in_lots, library_encoder
 
-MAGIC = b"CPRC1"
+MAGIC = b"CPRC2"
 END = 2
-BLOCK, LANES, EPOCH = 16384, 400, 2048
+#: Ids of the vocabulary file that the query takes.
+VOCABULARY = 49408
+#: Ids of a block, its lanes at most, and the ids of a lane at least.
+BLOCK, LANES, STRETCH = 1 << 22, 8192, 512
 _U = np.uint64
-_TOP, _BOT, _ALL = _U(1 << 48), _U(1 << 32), _U(0xFFFFFFFFFFFFFFFF)
-_GAIN = 24
-_ONE, _TWO = 12, 14  # bits of the context tables
-_SIXTEEN = np.arange(16)
+_TOP, _BOT, _ALL = _U(1 << 48), _U(1 << 42), _U(0xFFFFFFFFFFFFFFFF)
+_WORD = _U(16)
+#: What an id seen adds to its count of 1 in order 0, and the steps between refreshes of order 0's sums.
+_GAIN, _EVERY = 24, 8
+_ONE, _TWO = 16, 18  # bits of the context tables
+#: Weights are parts of 65536; order 0 keeps at least _REST, and a weight moves as fast as after so many ids.
+_REST, _INERTIA = 64, 48
 
 
-class _Lanes:
-    """The models of all lanes. Coder and decoder make the same calls in the same order."""
+def lanes_of(n: int) -> tuple[int, int]:
+    """Lanes and steps of a block of n ids."""
+    lanes = max(1, min(LANES, n // STRETCH))
+    return lanes, -(-n // lanes)
+
+
+class _Models:
+    """A block's models. Coder and decoder make the same calls in the same order."""
 
     def __init__(self, lanes: int, vocab: int):
-        vocab = -(-vocab // 256) * 256
-        self.n, self.vocab = lanes, vocab
-        self.at = np.arange(lanes)
-        self.row = self.at * vocab
-        self.counts = np.zeros((lanes, vocab), np.uint16)
-        self.before = np.empty((lanes, vocab), np.uint32)
-        self.one = np.zeros(lanes << _ONE, np.uint32)
-        self.two = np.zeros(lanes << _TWO, np.uint32)
-        self.weight = np.full(lanes * 32, 1 << 14, np.int64)
-        self.p1 = np.zeros(lanes, np.int64)
-        self.p2 = np.zeros(lanes, np.int64)
-        self.total = _U(0)
-        self.offset = (self.at << 20).astype(np.uint32)
+        self.vocab = vocab
+        self.counts = np.zeros(vocab, np.int64)
+        self.one, self.two = np.zeros(1 << _ONE, np.int64), np.zeros(1 << _TWO, np.int64)
+        self.two_share, self.one_share = np.zeros(32, np.int64), np.zeros(32, np.int64)
+        # of the slots (confidence of order 2, of order 1, agreement): where either predicts an id of its own
+        slot = np.arange(32)
+        self.has_two, self.has_one = slot >> 3 > 0, (slot >> 1 & 3 > 0) & (slot & 1 == 0)
+        self.two_share[self.has_two] = self.one_share[self.has_one] = 1 << 14
+        self.last = self.before_last = np.zeros(lanes, np.int64)
 
     def refresh(self, recent: np.ndarray | None) -> None:
-        """Brings order 0 up to date with the ids (lanes, steps) since the last time."""
+        """Brings order 0 up to date with the ids since the last time."""
         if recent is not None:
-            flat = (self.row[:, None] + recent).ravel()
-            seen, times = np.unique(flat, return_counts=True)
-            self.counts.ravel()[seen] += times.astype(np.uint16)
-            self.steps += recent.shape[1]
-        else:
-            self.steps = 0
-        for a in range(0, self.n, 32):
-            f = self.counts[a : a + 32].astype(np.uint32)
-            f *= np.uint32(_GAIN)
-            f += np.uint32(1)
-            out = self.before[a : a + 32]
-            out[:, 0] = self.offset[a : a + 32]
-            out[:, 1:] = f[:, :-1]
-            np.cumsum(out, axis=1, out=out)
-        self.total = _U(self.vocab + _GAIN * self.steps)
-        self.coarse = np.ascontiguousarray(self.before[:, ::256]).ravel()
-
-    def find(self, want: np.ndarray) -> np.ndarray:
-        """The places in `before`, laid end to end, of the intervals that hold `want`: 256, 16, then 1 wide."""
-        flat = self.before.ravel()
-        at = (np.searchsorted(self.coarse, want, side="right") - 1) << 8
-        want = want[:, None]
-        at = at + 16 * ((flat[at[:, None] + _SIXTEEN * 16] <= want).sum(axis=1) - 1)
-        return at + (flat[at[:, None] + _SIXTEEN] <= want).sum(axis=1) - 1
-
-    def predict(self) -> None:
-        """Sets the predicted ids, whether there are any, and the weight that the mixture gives them."""
-        self.k1 = (self.at << _ONE) + (self.p1 & ((1 << _ONE) - 1))
-        self.k2 = (self.at << _TWO) + (((self.p1 * 40503 + self.p2 * 60493) >> 3) & ((1 << _TWO) - 1))
-        e1, e2 = self.one[self.k1], self.two[self.k2]
-        self.c1, self.c2 = (e1 & 3).astype(np.int64), (e2 & 3).astype(np.int64)
-        self.i1, self.i2 = (e1 >> 2).astype(np.int64), (e2 >> 2).astype(np.int64)
-        self.guess = np.where(self.c2 > 0, self.i2, self.i1)
-        self.slot = (self.at << 5) + (self.c2 << 3) + (self.c1 << 1) + (self.i1 == self.i2)
-        self.share = self.weight[self.slot]
-
-    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
-        self.weight[self.slot] = self.share + np.where(hit, (65536 - 64 - self.share) >> 5, -((self.share - 64) >> 5))
-        for table, key, guess, conf in ((self.one, self.k1, self.i1, self.c1), (self.two, self.k2, self.i2, self.c2)):
-            same = guess == ids
-            keep = same | (conf > 1)
-            conf = np.where(same, np.minimum(conf + 1, 3), np.where(conf > 1, conf - 1, 1))
-            table[key] = (np.where(keep, guess, ids) << 2 | conf).astype(np.uint32)
-        self.p2, self.p1 = self.p1, ids
-
-
-def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
-    """The payload of each row of `ids` (lanes, steps)."""
-    lanes, steps = ids.shape
-    model = _Lanes(lanes, vocab)
+            self.counts += np.bincount(recent.ravel(), minlength=self.vocab)
+        sums = np.cumsum(self.counts * _GAIN + 1)
+        self.after = sums.astype(np.uint64)
+        self.before = np.concatenate([np.zeros(1, np.uint64), self.after[:-1]])
+        self.total = self.after[-1]
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Order 2's id and weight, order 1's id and weight; a weight of 0 where there is no id."""
+        self.k1 = self.last & ((1 << _ONE) - 1)
+        self.k2 = (self.last * 40503 + self.before_last * 60493 >> 3) & ((1 << _TWO) - 1)
+        self.e1, self.e2 = self.one[self.k1], self.two[self.k2]
+        self.i1, self.i2 = self.e1 >> 2, self.e2 >> 2
+        self.slot = (self.e2 & 3) << 3 | (self.e1 & 3) << 1 | (self.e1 >> 2 == self.e2 >> 2) & (self.e2 & 3 > 0)
+        return self.i2, self.two_share[self.slot].astype(np.uint64), self.i1, self.one_share[self.slot].astype(np.uint64)
+
+    def learn(self, ids: np.ndarray, by_two: np.ndarray, by_one: np.ndarray) -> None:
+        n = np.bincount(self.slot, minlength=32)
+        for share, hit, has in ((self.two_share, by_two, self.has_two), (self.one_share, by_one, self.has_one)):
+            hits = np.bincount(self.slot[hit], minlength=32)
+            share += ((hits << 16) - n * share) // (n + _INERTIA)
+            np.clip(share, 8, 65536 - 2 * _REST, out=share)
+            share[~has] = 0
+        np.minimum(self.one_share, 65536 - _REST - self.two_share, out=self.one_share)
+        for table, key, entry, guess in ((self.one, self.k1, self.e1, self.i1), (self.two, self.k2, self.e2, self.i2)):
+            conf, same = entry & 3, guess == ids
+            # right: surer; wrong: less sure while it was sure at all, else the new id
+            table[key] = np.where(same, entry + (conf < 3), np.where(conf > 1, entry - 1, ids << 2 | 1))
+        self.before_last, self.last = self.last, ids
+
+
+def _moves(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    return ((low ^ (low + rng)) < _TOP) | (rng < _BOT)
+
+
+def _shift(low: np.ndarray, rng: np.ndarray, out) -> None:
+    """Moves settled words out of `low`; `out` is told the lanes each time. Ranges stay over _BOT."""
+    move = np.flatnonzero(_moves(low, rng))
+    while len(move):
+        l, r = low[move], rng[move]
+        cut = (r < _BOT) & ((l ^ (l + r)) >= _TOP)
+        if cut.any():
+            r = np.where(cut, (~l + _U(1)) & (_BOT - _U(1)), r)
+        out(move, l)
+        low[move] = l = l << _WORD
+        rng[move] = r = r << _WORD
+        move = move[_moves(l, r)]
+
+
+def encode_block(ids: np.ndarray, vocab: int) -> bytes:
+    """The payload of a block of ids: each lane's number of 16-bit words, then the lanes' words."""
+    lanes, steps = lanes_of(len(ids))
+    grid = np.full(lanes * steps, END % vocab, np.int64)
+    grid[: len(ids)] = ids
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    model = _Models(lanes, vocab)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _ALL)
-    out, pos = np.zeros((lanes, 3 * steps + 8), np.uint16), np.zeros(lanes, np.int64)
-    cap = out.shape[1]
-    flat, base = out.ravel(), np.arange(lanes) * cap
-
-    def shift() -> None:
-        while True:
-            fixed = (low ^ (low + rng)) < _TOP
-            small = rng < _BOT
-            move = np.flatnonzero(fixed | small)
-            if not len(move):
-                return
-            cut = np.flatnonzero(small & ~fixed)
-            if len(cut):
-                rng[cut] = (~low[cut] + _U(1)) & (_BOT - _U(1))
-            flat[base[move] + pos[move]] = (low[move] >> _U(48)).astype(np.uint16)
-            pos[move] += 1
-            low[move] <<= _U(16)
-            rng[move] <<= _U(16)
+    cap = 3 * steps + 8
+    words, pos, base = np.zeros(lanes * cap, np.uint16), np.zeros(lanes, np.int64), np.arange(lanes) * cap
+
+    def out(move: np.ndarray, l: np.ndarray) -> None:
+        at = pos[move]
+        words[base[move] + at] = (l >> _U(48)).astype(np.uint16)
+        pos[move] = at + 1
 
     with np.errstate(over="ignore"):
         for t in range(steps):
-            if t % EPOCH == 0:
-                model.refresh(ids[:, t - EPOCH : t] if t else None)
-            now = ids[:, t]
-            model.predict()
-            hit = (now == model.guess) & (model.c1 + model.c2 > 0)
-            part = (rng >> _U(16)) * model.share.astype(np.uint64)
-            np.add(low, np.where(hit, _U(0), part), out=low)
-            rng[:] = np.where(hit, part, rng - part)
-            shift()
-            miss = np.flatnonzero(~hit)
+            if t % _EVERY == 0 or t < _EVERY:
+                model.refresh(grid[max(t - _EVERY if t > _EVERY else t - 1, 0) : t] if t else None)
+            now = grid[t]
+            i2, w2, i1, w1 = model.predict()
+            by_two = (now == i2) & (w2 > 0)
+            by_one = (now == i1) & (w1 > 0)
+            unit = rng >> _WORD
+            first, second = unit * w2, unit * w1
+            rest = first + second
+            miss = np.flatnonzero(~(by_two | by_one))
+            low += np.where(by_two, _U(0), np.where(by_one, first, rest))
+            rng = np.where(by_two, first, np.where(by_one, second, rng - rest))
             if len(miss):
-                at = model.row[miss] + now[miss]
+                found = now[miss]
                 r = rng[miss] // model.total
-                low[miss] += r * (model.before.ravel()[at] - model.offset[miss]).astype(np.uint64)
-                rng[miss] = r * (model.counts.ravel()[at].astype(np.uint64) * _U(_GAIN) + _U(1))
-                shift()
-            model.learn(now, hit)
-        for _ in range(4):
-            flat[base + pos] = (low >> _U(48)).astype(np.uint16)
-            pos += 1
-            low <<= _U(16)
-    return [out[k, : pos[k]].astype("<u2").tobytes() for k in range(lanes)]
-
-
-def decode_blocks(payloads: list[bytes], steps: int, vocab: int) -> np.ndarray:
-    """The ids (lanes, steps) of payloads."""
-    lanes = len(payloads)
-    model = _Lanes(lanes, vocab)
-    size = max(map(len, payloads)) // 2 + 8
-    words = np.zeros((lanes, size), np.uint16)
-    for k, p in enumerate(payloads):
-        words[k, : len(p) // 2] = np.frombuffer(p, "<u2")
-    flat, base, pos = words.ravel(), np.arange(lanes) * size, np.zeros(lanes, np.int64)
+                start = model.before[found]
+                low[miss] += r * start
+                rng[miss] = r * (model.after[found] - start)
+            _shift(low, rng, out)
+            model.learn(now, by_two, by_one)
+        # two more words name a value within the range; the reader takes zeros for the rest
+        low += rng >> _U(1)
+        for _ in range(2):
+            out(np.arange(lanes), low)
+            low <<= _WORD
+    body = words.reshape(lanes, cap)[np.arange(cap) < pos[:, None]]
+    return pos.astype("<u4").tobytes() + body.astype("<u2").tobytes()
+
+
+def decode_block(payload: bytes, n: int, vocab: int) -> np.ndarray:
+    """The n ids of a payload."""
+    lanes, steps = lanes_of(n)
+    size = np.frombuffer(payload, "<u4", lanes).astype(np.int64)
+    cap = int(size.max()) + 3 * steps + 12  # a damaged payload may ask for more words than it has
+    words, base, pos = np.zeros(lanes * cap, np.uint16), np.arange(lanes) * cap, np.zeros(lanes, np.int64)
+    words.reshape(lanes, cap)[np.arange(cap) < size[:, None]] = np.frombuffer(payload, "<u2", int(size.sum()), 4 * lanes)
+    model = _Models(lanes, vocab)
     low, rng, code = np.zeros(lanes, np.uint64), np.full(lanes, _ALL), np.zeros(lanes, np.uint64)
-    ids = np.zeros((lanes, steps), np.int64)
+    grid = np.zeros((steps, lanes), np.int64)
+
+    def more(move: np.ndarray, _: np.ndarray) -> None:
+        at = pos[move]
+        code[move] = code[move] << _WORD | words[base[move] + np.minimum(at, cap - 1)].astype(np.uint64)
+        pos[move] = at + 1
+
     with np.errstate(over="ignore"):
         for _ in range(4):
-            code = code << _U(16) | flat[base + pos].astype(np.uint64)
-            pos += 1
-
-        def shift() -> None:
-            while True:
-                fixed = (low ^ (low + rng)) < _TOP
-                small = rng < _BOT
-                move = np.flatnonzero(fixed | small)
-                if not len(move):
-                    return
-                cut = np.flatnonzero(small & ~fixed)
-                if len(cut):
-                    rng[cut] = (~low[cut] + _U(1)) & (_BOT - _U(1))
-                code[move] = code[move] << _U(16) | flat[base[move] + np.minimum(pos[move], size - 1)].astype(np.uint64)
-                pos[move] += 1
-                low[move] <<= _U(16)
-                rng[move] <<= _U(16)
-
+            more(np.arange(lanes), low)
         for t in range(steps):
-            if t % EPOCH == 0:
-                model.refresh(ids[:, t - EPOCH : t] if t else None)
-            model.predict()
-            part = (rng >> _U(16)) * model.share.astype(np.uint64)
-            hit = (code - low) < part
-            now = model.guess.copy()
-            np.add(low, np.where(hit, _U(0), part), out=low)
-            rng[:] = np.where(hit, part, rng - part)
-            shift()
-            miss = np.flatnonzero(~hit)
+            if t % _EVERY == 0 or t < _EVERY:
+                model.refresh(grid[max(t - _EVERY if t > _EVERY else t - 1, 0) : t] if t else None)
+            i2, w2, i1, w1 = model.predict()
+            unit = rng >> _WORD
+            first, second = unit * w2, unit * w1
+            rest, here = first + second, code - low
+            by_two = here < first
+            by_one = ~by_two & (here < rest)
+            miss = np.flatnonzero(here >= rest)
+            now = np.where(by_two, i2, i1)
+            low += np.where(by_two, _U(0), np.where(by_one, first, rest))
+            rng = np.where(by_two, first, np.where(by_one, second, rng - rest))
             if len(miss):
                 r = rng[miss] // model.total
-                want = np.minimum((code[miss] - low[miss]) // r, model.total - _U(1)).astype(np.uint32) + model.offset[miss]
-                at = model.find(want)
-                now[miss] = at - model.row[miss]
-                low[miss] += r * (model.before.ravel()[at] - model.offset[miss]).astype(np.uint64)
-                rng[miss] = r * (model.counts.ravel()[at].astype(np.uint64) * _U(_GAIN) + _U(1))
-                shift()
-            ids[:, t] = now
-            model.learn(now, hit)
-    return ids
+                want = np.minimum((code[miss] - low[miss]) // r, model.total - _U(1))
+                now[miss] = found = np.searchsorted(model.after, want, side="right")
+                start = model.before[found]
+                low[miss] += r * start
+                rng[miss] = r * (model.after[found] - start)
+            _shift(low, rng, more)
+            grid[t] = now
+            # order 2's id may also be order 1's, as the coder sees it
+            model.learn(now, (now == i2) & (w2 > 0), (now == i1) & (w1 > 0))
+    return grid.T.ravel()[:n]
 
 
 def pack_blocks(blocks: list[tuple[np.ndarray, list[tuple[int, int | None, int]]]], vocab: int) -> list[bytes]:
     """Blocks of (ids, segments) as bytes; a segment is (document's number, doc_id, ids of it here).
 
-    Layout, little-endian: magic, vocabulary size u32, ids u32, coded ids u32, segments u32, checksum of
-    the ids as u32 u32; per segment number i64, doc_id present u8, doc_id i64, ids u32; the payload.
-    Shorter blocks are coded padded to the longest.
+    Layout, little-endian: magic, vocabulary size u32, ids u32, segments u32, checksum of the ids as u32 u32;
+    per segment number i64, doc_id present u8, doc_id i64, ids u32; the payload. An id outside the vocabulary
+    is a ValueError.
     """
-    steps = max(len(ids) for ids, _ in blocks)
-    grid = np.full((len(blocks), steps), END, np.int64)
-    for k, (ids, _) in enumerate(blocks):
-        grid[k, : len(ids)] = ids
     out = []
-    for (ids, segments), payload in zip(blocks, encode_blocks(grid, vocab)):
-        head = MAGIC + struct.pack("<IIIII", vocab, len(ids), steps, len(segments), zlib.crc32(ids.astype("<u4").tobytes()))
+    for ids, segments in blocks:
+        if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >= vocab):
+            raise ValueError(f"an id is outside the vocabulary of {vocab}")
+        head = MAGIC + struct.pack("<IIII", vocab, len(ids), len(segments), zlib.crc32(ids.astype("<u4").tobytes()))
         table = b"".join(struct.pack("<qBqI", k, d is not None, d or 0, n) for k, d, n in segments)
-        out.append(head + table + payload)
+        out.append(head + table + encode_block(ids, vocab))
     return out
 
 
 def unpack_blocks(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, int | None, int]]]]:
     """What `pack_blocks` was given; a damaged block raises ValueError."""
-    heads, tables, payloads = [], [], []
     for blob in blobs:
         if blob[:5] != MAGIC:
             raise ValueError("not a block")
-        vocab, n, steps, k, check = struct.unpack_from("<IIIII", blob, 5)
-        heads.append((vocab, n, steps, check))
-        rows = [struct.unpack_from("<qBqI", blob, 25 + 21 * i) for i in range(k)]
-        tables.append([(a, d if present else None, m) for a, present, d, m in rows])
-        payloads.append(blob[25 + 21 * k :])
-    groups: dict[tuple[int, int], list[int]] = {}
-    for i, (vocab, _, steps, _) in enumerate(heads):
-        groups.setdefault((vocab, steps), []).append(i)
-    found: dict[int, np.ndarray] = {}
-    for (vocab, steps), members in groups.items():
-        for i, row in zip(members, decode_blocks([payloads[i] for i in members], steps, vocab)):
-            found[i] = row[: heads[i][1]]
-    for i, table in enumerate(tables):
-        if zlib.crc32(found[i].astype("<u4").tobytes()) != heads[i][3]:
+        vocab, n, k, check = struct.unpack_from("<IIII", blob, 5)
+        rows = [struct.unpack_from("<qBqI", blob, 21 + 21 * i) for i in range(k)]
+        ids = decode_block(blob[21 + 21 * k :], n, vocab)
+        if zlib.crc32(ids.astype("<u4").tobytes()) != check:
             raise ValueError("a block's checksum is wrong")
-        yield found[i], table
+        yield ids, [(a, d if present else None, m) for a, present, d, m in rows]
 
 
 def crc32_combine(a: int, b: int, length: int) -> int:
@@ -295,7 +280,7 @@ def _writer(path: str, vocab: int, end: int):
             at = 0
             for lot in in_lots(batch["text"]):
                 for doc_id, raw in zip(batch["doc_id"][at : at + len(lot)], encode(lot)):
-                    ids = np.frombuffer(raw + tail, "<u4").astype(np.uint16)
+                    ids = np.frombuffer(raw + tail, "<u4")
                     doc = None if pd.isna(doc_id) else int(doc_id)
                     while len(ids):
                         now, ids = ids[:room], ids[room:]
@@ -305,8 +290,7 @@ def _writer(path: str, vocab: int, end: int):
                         if not room:
                             ready.append((np.concatenate(parts), segments))
                             parts, segments, room = [], [], BLOCK
-                            if len(ready) == LANES:
-                                yield flush()
+                            yield flush()
                     number += 1
                 at += len(lot)
         if parts:
@@ -334,11 +318,10 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, vocab: int, end
 
 def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for a in range(0, len(batch), LANES):
-            some = batch.iloc[a : a + LANES]
-            rows = []
-            for (ids, table), part, block in zip(unpack_blocks(list(some["blob"])), some["part"], some["block"]):
-                raw, at = ids.astype("<u4").tobytes(), 0
+        for part, block, blob in zip(batch["part"], batch["block"], batch["blob"]):
+            rows, at = [], 0
+            for ids, table in unpack_blocks([blob]):
+                raw = ids.astype("<u4").tobytes()
                 for number, doc, n in table:
                     rows.append((part, number, block, doc, at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
                     at += n
@@ -360,14 +343,16 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Per document in `folder`: doc_id, start, n_tokens, ids_crc32.
 
     Starts come from the blocks' counts: within each part by a window over its blocks, and over the
-    parts, of which there is one per writing task. Parts of a long document are joined by number.
+    parts, of which there is one per writing task. Parts of a long document are joined by number. The files
+    are read before this returns, so that they may be deleted then.
     """
     blocks = spark.read.parquet(folder)
     counts = blocks.select("part", "block", "n_ids")
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     parts = counts.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn("p", before(Window.orderBy("part"))).drop("n")
     places = counts.withColumn("n", F.col("n_ids").cast("long")).withColumn("b", before(Window.partitionBy("part").orderBy("block")))
-    places = places.join(F.broadcast(parts), "part").select("part", "block", (F.col("p") + F.col("b")).alias("start"))
+    places = places.join(small_side(saved(parts, "parts")), "part").select("part", "block", (F.col("p") + F.col("b")).alias("start"))
+    places = saved(places, "places")
     found = blocks.select("part", "block", "blob").mapInPandas(_reader, "part int, number long, block int, doc_id long, at int, n int, crc long")
     # blocks are decoded where they are read; only their small rows meet the places
     rows = saved(found, "segments").join(places, ["part", "block"]).withColumn("start", F.col("start") + F.col("at"))
@@ -390,5 +375,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
 
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     folder = f"{shared_dir(spark)}/chemprobe/token-ids-{uuid.uuid4().hex}"
-    write_ids(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), path, folder, 49408)
-    return read_ids(spark, folder)
+    write_ids(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), path, folder, VOCABULARY)
+    found = read_ids(spark, folder)
+    remove(spark, folder)
+    return found

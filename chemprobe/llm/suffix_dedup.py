@@ -36,7 +36,7 @@ GRAM = 32
 #: Anchors per partition of the exchange, and bytes of context per suffix array.
 PART_ANCHORS, PART_BYTES = 150_000, 800_000
 #: An anchor with more distinct contexts than this is cut finer: to runs of so many starts, then to single ones.
-HOT, RUNS = 2000, (24, 1)
+HOT, RUNS = 2000, (85, 12, 1)
 #: A long text's anchors are found so many starts at a time.
 _RUN = 1 << 22
 _POS = np.uint64((1 << 24) - 1)
@@ -79,7 +79,8 @@ def anchors(t: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-_ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("rid", "<i8"), ("s", "<i4"), ("e", "<i4"), ("p", "<i4")])
+#: An entry's last start and anchor are stored by their distance from the first start.
+_ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("rid", "<i8"), ("s", "<i4"), ("e", "<u2"), ("p", "<u2")])
 _ENTRIES = "a long, c long, _rid long, s int, e int, p int"
 
 
@@ -118,7 +119,7 @@ def _anchor_blobs(parts: int, length: int):
                     continue
                 a, s, e, p = anchors(np.frombuffer(raw, np.uint8), length)
                 one = np.empty(len(a), _ENTRY)
-                one["a"], one["rid"], one["s"], one["e"], one["p"] = a, rid, s, e, p
+                one["a"], one["rid"], one["s"], one["e"], one["p"] = a, rid, s, e - s, p - s
                 view = memoryview(raw)
                 one["c"] = np.fromiter((xxhash.xxh3_64_intdigest(view[i : j + length]) for i, j in zip(s.tolist(), e.tolist())), np.uint64, len(a))
                 found.append(one)
@@ -139,7 +140,8 @@ def _anchor_blobs(parts: int, length: int):
         first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
         size = np.diff(np.r_[first, len(a)])
         keep = all_[order[(np.repeat(size, size) > 1) | sure[order]]]
-        return pd.DataFrame({x: np.ascontiguousarray(keep[y]).view(np.int64 if y in "ac" else keep[y].dtype) for x, y in zip(("a", "c", "_rid", "s", "e", "p"), _ENTRY.names)})
+        s, a, c = keep["s"], *(np.ascontiguousarray(keep[x]).view(np.int64) for x in "ac")
+        return pd.DataFrame({"a": a, "c": c, "_rid": keep["rid"], "s": s, "e": s + keep["e"], "p": s + keep["p"]})
 
     return run, shared
 
@@ -353,13 +355,15 @@ def _repeats(contexts: DataFrame, texts: DataFrame, length: int, runs: tuple[int
     cool, warm = contexts.join(hot_side, "a", "left_anti"), contexts.join(hot_side, "a", "left_semi")
     cut, schema = _finer(runs[0], length)
     finer = saved(_spots(warm, texts).mapInPandas(cut, schema), f"runs-of-{runs[0]}")
+    # most runs share their bytes with no other and are done with
+    met = saved(finer.groupBy("a2").agg(F.sum("mult").alias("m")).where("m > 1").select("a2"), "runs-met")
+    finer = finer.join(small_side(met), "a2", "left_semi")
     again = finer.select(F.col("a2").alias("a"), F.col("c2").alias("c"), "mult", "_rid", "s", "e", "p")
     again = saved(_distinct(again, F.sum("mult")), "finer-contexts")
     if runs[0] == 1:  # a context is its passage: counted, there is nothing to sort
         found = again.where("mult > 1").select("a", "c", F.array(F.lit(0)).alias("lo"), F.array(F.lit(0)).alias("hi"))
     else:
-        alone = again.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max("mult").alias("m")).where("n > 1 OR m > 1").select("a")
-        found = _repeats(saved(again.join(alone, "a", "left_semi"), "contexts-met"), texts, length, runs[1:])
+        found = _repeats(again, texts, length, runs[1:])
     found = found.select(F.col("a").alias("a2"), F.col("c").alias("c2"), "lo", "hi")
     shift = lambda side: F.transform(side, lambda x: x + F.col("off")).alias(side)
     back = finer.join(saved(found, "finer-repeats"), ["a2", "c2"]).select("a", "c", shift("lo"), shift("hi"))
@@ -378,7 +382,7 @@ def _sorted_repeats(contexts: DataFrame, texts: DataFrame, length: int) -> DataF
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The rows of `docs` (_rid, text) with a repeat: _rid, spans in bytes, n_removed, kept_sha256, left.
 
-    `left` is what remains, without bytes of cut-up characters. A text shorter than `length`, or null,
+    A passage has at most 65,535 bytes. `left` is what remains, without bytes of cut-up characters. A text shorter than `length`, or null,
     has no repeat. Repeats within one text count, overlapping ones included. `_rid` tells rows apart and
     has to be the same whenever `docs` is read, as `with_row_key` gives it.
     """

@@ -117,3 +117,49 @@ def test_reserved_names_stay(spark, docs, tmp_path, run):
     assert {tuple(r) for r in out.select(*NAMES).distinct().collect()} == {("as it was",) * len(NAMES)}
     same = collections.Counter(r["doc_id"] for r in run(docs).collect())
     assert collections.Counter(r["doc_id"] for r in out.collect()) == same
+
+
+def test_ids_outside_the_vocabulary_are_refused():
+    import numpy as np
+
+    from chemprobe.llm import range_coder
+
+    wide = np.array([0, 70_000, 123_456, 70_000], np.int64)
+    (blob,) = range_coder.pack_blocks([(wide, [(0, 1, 4)])], 130_000)
+    assert next(range_coder.unpack_blocks([blob]))[0].tolist() == wide.tolist()
+    with pytest.raises(ValueError):
+        range_coder.pack_blocks([(wide, [(0, 1, 4)])], 65_536)
+
+
+def test_long_and_mixed_blocks(monkeypatch):
+    """Blocks of several lanes, with runs, repeats of other lanes and noise; what repeats costs little."""
+    import numpy as np
+
+    from chemprobe.llm import range_coder
+
+    rng = np.random.default_rng(4)
+    phrase = rng.integers(0, 49408, 97)
+    for ids in (np.tile(phrase, 300), rng.integers(0, 49408, 30000), np.repeat(rng.integers(0, 9, 300), 100), np.concatenate([rng.zipf(1.3, 20000) % 49408, np.full(9000, 49407)])):
+        (blob,) = range_coder.pack_blocks([(ids, [(0, 0, len(ids))])], 49408)
+        assert (next(range_coder.unpack_blocks([blob]))[0] == ids).all()
+        if len(set(ids.tolist())) < 200:
+            assert len(blob) < len(ids) / 4
+
+
+def test_a_document_over_several_blocks(spark, monkeypatch, tmp_path):
+    import numpy as np
+
+    from chemprobe.llm import range_coder
+    from tests.llm.test_documents import tokenizer
+
+    path, t = tokenizer("word_bpe_49k.json")
+    rows = [(1, "word and other words " * 9000, "en", "a"), (2, None, "en", "a"), (3, "end", "en", "a"), (3, "end", "en", "a")]
+    range_coder.write_ids(stored(spark, rows), path, f"file://{tmp_path}/ids", 49408)
+    got = range_coder.read_ids(spark, f"file://{tmp_path}/ids")
+    import zlib
+
+    want = []
+    for i, text, *_ in rows:
+        ids = t.encode(text or "", add_special_tokens=False).ids + [2]
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert counted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got.collect()) == counted(want)
