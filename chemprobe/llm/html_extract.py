@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Collection, Iterator
 from html import unescape
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,11 @@ LEAST_SHARE = 0.2
 #: A page's path is backed by its host from so many votes on.
 BACKED = 2
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|iframe|noembed|noframes|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""",
-    re.S | re.I,
-)
+#: A tag from its `<` on. A quote only opens a value after `=`, and only if it is closed; no part is tried twice.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|)|["'])*+)>""")
+_COMMENT_END = re.compile(r"--!?>")
+#: Elements whose content is no markup, or is not shown.
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>?", re.I) for t in "script style textarea title noscript template iframe noembed noframes xmp".split()}
 _CLASS = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"\d+|[0-9a-f]{8,}")
@@ -87,60 +86,118 @@ def _marked(value: str) -> bool:
     return False
 
 
+def _markup(html: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """Markup in order: start, end, whether it closes, the tag in lower case (None: nothing to open or close), attributes.
+
+    One pass, in time linear in the page: what is still open at the page's end takes the rest with it.
+    """
+    at, end = html.find("<"), len(html)
+    while at >= 0:
+        m = _TAG.match(html, at)
+        if m:
+            tag, to = m[2].lower(), m.end()
+            if not m[1] and tag in _RAW:
+                close = _RAW[tag].search(html, to)
+                to = close.end() if close else end
+                yield at, to, False, None, ""
+            else:
+                yield at, to, bool(m[1]), tag, m[3]
+        else:
+            after = html[at + 1 : at + 2]
+            if html.startswith("<!--", at):
+                close = _COMMENT_END.search(html, at + 2)
+                to = close.end() if close else end
+            elif after == "!" or after == "?" or after == "/" and at + 2 < end:
+                close = html.find(">", at)
+                to = close + 1 if close >= 0 else end
+            elif after.isascii() and after.isalpha():  # a tag that never ends
+                to = end
+            else:  # a sign in the text
+                at = html.find("<", at + 1)
+                continue
+            yield at, to, False, None, ""
+        at = html.find("<", to)
+
+
 class Page:
     """A page as flat lists: elements with parent, tag, path and kind; texts with their element and block."""
 
     def __init__(self, html: str):
-        self.tags, self.parents, self.paths, self.links = [""], [-1], [""], [False]
+        self.tags, self.parents, self.names, self.links = [""], [-1], [""], [False]
+        #: per element: the checksum of its path, the nearest block-level element, whether an article or main is around
+        self.marks_of_path, self.blocks, self.within = [0], [0], [False]
         #: per element, of itself: whether its tag is dropped, and whether it is only marked or a form
         self.never, self.marked = [False], [False]
         self.texts: list[tuple[int, int, str]] = []
         self.ends = [0]  # per element: the number of texts when it closed
         self.begins = [0]
         stack, block, at = [0], 0, 0
-        for m in _TOKEN.finditer(html):
-            if m.start() > at:
-                self._text(stack[-1], block, html[at : m.start()])
-            at = m.end()
-            tag = m[3]
+        # places in the stack: of each tag, and of block-level elements
+        places: dict[str, list[int]] = {}
+        levels: list[int] = []
+
+        def close(k: int) -> None:
+            """Closes the stack's elements from place k on."""
+            for e in reversed(stack[k:]):
+                self.ends[e] = len(self.texts)
+                tag = self.tags[e]
+                places[tag].pop()
+                if tag in _BLOCK:
+                    levels.pop()
+            del stack[k:]
+
+        for start, end, closes, tag, attributes in _markup(html):
+            if start > at:
+                self._text(stack[-1], block, html[at:start])
+            at = end
             if tag is None:
                 continue
-            tag = tag.lower()
-            if m[2]:
-                if tag == "p" and all(self.tags[e] != "p" for e in stack):
+            if closes:
+                here = places.get(tag)
+                if tag == "p" and not here:
                     block += 1
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tags[stack[k]] == tag:
-                        for e in stack[k:]:
-                            self.ends[e] = len(self.texts)
-                        del stack[k:]
-                        break
-                    # an inline end tag does not close a block around it
-                    if tag not in _BLOCK and self.tags[stack[k]] in _BLOCK:
-                        break
+                # an inline end tag does not close a block around it
+                if here and (tag in _BLOCK or not levels or here[-1] > levels[-1]):
+                    close(here[-1])
                 block += tag in _BLOCK
                 continue
-            for k in range(len(stack) - 1, 0, -1):
+            for k in reversed(levels):
                 opened = self.tags[stack[k]]
                 if opened in _ENDS and tag in _ENDS[opened]:
-                    for e in stack[k:]:
-                        self.ends[e] = len(self.texts)
-                    del stack[k:]
+                    close(k)
                     break
-                if opened in _BLOCK and opened not in _ENDS or opened in _STOPS.get(tag, ()):
+                if opened not in _ENDS or opened in _STOPS.get(tag, ()):
                     break
+            if tag == "option" and places.get("option") and places["option"][-1] == len(stack) - 1:
+                close(len(stack) - 1)
             block += tag in _BLOCK
             if tag in _VOID:
                 if tag == "br":
                     self._text(stack[-1], block, " ")
                 continue
-            stack.append(self._open(stack[-1], tag, m[4]))
+            places.setdefault(tag, []).append(len(stack))
+            if tag in _BLOCK:
+                levels.append(len(stack))
+            stack.append(self._open(stack[-1], tag, attributes))
         if at < len(html):
             self._text(stack[-1], block, html[at:])
         for e in stack:
             self.ends[e] = len(self.texts)
         self.drop()
 
+    def path(self, e: int) -> str:
+        """The names from the root down to an element."""
+        names = []
+        while e > 0:
+            names.append(self.names[e])
+            e = self.parents[e]
+        return "".join("/" + x for x in reversed(names))
+
+    def on_path(self, path: str) -> list[int]:
+        """The elements with that path; checksums tell nearly all others apart without building theirs."""
+        mark = crc32(path.encode(errors="replace"))
+        return [e for e in range(1, len(self.tags)) if self.marks_of_path[e] == mark and self.path(e) == path]
+
     def drop(self, marks: bool = True) -> None:
         """Settles what is dropped, and the letters of running text (not dropped, no links) before each text."""
         self.dropped, self.letters = self._drops(marks), [0]
@@ -183,17 +240,20 @@ class Page:
                 marks = marks or (tag not in _EXEMPT and not (kind.lower() == "id" and tag in _ANCHORED) and _marked(value))
                 if kind.lower() == "class":
                     name += "".join(sorted("." + _NUMBER.sub("#", x) for x in value.lower().split()))
-        inside = self.paths[parent].endswith("/article") or "/article" in self.paths[parent] or "/main" in self.paths[parent]
-        never = tag in _NEVER or (tag == "header" and not inside)
+        never = tag in _NEVER or (tag == "header" and not self.within[parent])
+        e = len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.paths.append(f"{self.paths[parent]}/{name}")
+        self.names.append(name)
+        self.marks_of_path.append(crc32(f"/{name}".encode(errors="replace"), self.marks_of_path[parent]))
+        self.blocks.append(e if tag in _BLOCK else self.blocks[parent])
+        self.within.append(self.within[parent] or tag in ("article", "main"))
         self.never.append(never)
         self.marked.append(marks or tag == "form")
         self.links.append(self.links[parent] or tag == "a")
         self.begins.append(len(self.texts))
         self.ends.append(len(self.texts))
-        return len(self.tags) - 1
+        return e
 
     def _text(self, element: int, block: int, raw: str) -> None:
         self.texts.append((element, block, raw))
@@ -207,9 +267,7 @@ class Page:
         for element, _, raw in self.texts:
             if self.dropped[element] or self.links[element] or raw.isspace():
                 continue
-            n, e = len(raw), element
-            while e > 0 and self.tags[e] not in _BLOCK:
-                e = self.parents[e]
+            n, e = len(raw), self.blocks[element]
             around = self.parents[e] if self.tags[e] in ("p", "pre", "li", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "td", "dd", "dt") else e
             around = max(around, 0)
             out[around] = out.get(around, 0) + n
@@ -254,8 +312,7 @@ class Page:
         """Whether running text is in the element itself, or in a paragraph or heading that is its child."""
         for element, _, raw in self.texts[self.begins[e] : self.ends[e]]:
             if not self.dropped[element] and not self.links[element] and not raw.isspace():
-                while element > e and self.tags[element] not in _BLOCK:
-                    element = self.parents[element]
+                element = max(self.blocks[element], e)
                 if element == e or self.parents[element] == e and self.tags[element] in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"):
                     return True
         return False
@@ -284,7 +341,7 @@ def vote(html: str | None) -> tuple[str, float]:
     """The path of a page's best container, and its size."""
     page = Page(html or "")
     e = page.best()
-    return page.paths[e], float(page.size(e))
+    return page.path(e), float(page.size(e))
 
 
 def extract(html: str | None, path: str | None, backed: Collection[str] = ()) -> str:
@@ -303,9 +360,12 @@ def extract(html: str | None, path: str | None, backed: Collection[str] = ()) ->
 def _extract(page: Page, path: str | None, backed: Collection[str]) -> str:
     own = page.best()
     text = page.text([own])
-    if path is None or page.paths[own] == path and page.paths.count(path) == 1:
+    if path is None:
         return text
-    on_path = [e for e in range(1, len(page.paths)) if page.paths[e] == path and not page.dropped[e]]
+    on_path = page.on_path(path)
+    if on_path == [own]:
+        return text
+    on_path = [e for e in on_path if not page.dropped[e]]
     if not on_path:
         return text
     agreed = page.text(on_path)
@@ -316,7 +376,7 @@ def _extract(page: Page, path: str | None, backed: Collection[str]) -> str:
         done = max(done, hi)
     if covered >= NEARLY_ALL * page.size(own):
         return agreed
-    if not covered and page.paths[own] not in backed and len(agreed) >= LEAST_SHARE * len(text):
+    if not covered and page.path(own) not in backed and len(agreed) >= LEAST_SHARE * len(text):
         return agreed
     return page.text(sorted({own, *on_path}))
 
@@ -340,8 +400,11 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, backed): each host's winning path, by votes' summed logarithmic sizes, then by name; all its paths of more than one vote."""
-    ballots = with_host(pages).select("host", "html").mapInPandas(_votes, "host string, path string, score double")
+    """(host, path, backed): each host's winning path, by votes' summed logarithmic sizes, then by name; all its paths of more than one vote.
+
+    Pages without a host have nothing in common, so they have no vote but go by their own best container.
+    """
+    ballots = with_host(pages).where("host <> ''").select("host", "html").mapInPandas(_votes, "host string, path string, score double")
     counted = ballots.where("score > 0").groupBy("host", "path").agg(F.sum(F.log1p("score").cast("decimal(18,6)")).alias("v"), F.count(F.lit(1)).alias("k"))
     won = counted.groupBy("host").agg(F.max(F.struct("v", "path")).alias("w"), F.collect_list(F.when(F.col("k") >= BACKED, F.col("path"))).alias("backed"))
     return won.select("host", F.col("w.path").alias("path"), "backed")
@@ -351,7 +414,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """Per row of `pages` (page_id, url, html): page_id, url, text, n_chars, path.
 
     Null and empty pages, and pages without text, give the empty text. Repeated rows give repeated
-    results. An empty table gives an empty result.
+    results, and one vote each. Equal votes go to the path that is last by name. A page's time and memory are
+    linear in its length, however it is nested or broken. An empty table gives an empty result.
     """
     bound_batches(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")

@@ -106,3 +106,58 @@ def test_host_with_two_templates(spark):
 def test_a_path_that_covers_half_takes_both():
     html = f"<body><article><div class='a'><p>{STORY}</p></div><div class='b'><p>{STORY}</p></div></article></body>"
     assert extract(html, "/body/article/div.a").count("The story") == 10
+
+
+LOST = [
+    (f"<article><section><p>{STORY * 7}</p></section><section><p>{STORY * 3}</p></section></article>", STORY * 10),
+    (f"<article><section><p>{STORY}</p></section><section><p>{STORY}</p></section></article>", STORY * 2),
+    (f"<article><p>Before it.</p><table>{'<tr><td>a cell of it</td></tr>' * 60}</table></article>", "Before it." + "a cell of it" * 60),
+    (f"<main><h1>Title</h1><div class=content><p>{STORY}</p></div></main>", "Title" + STORY),
+    (f"<body><div class='layout has-sidebar'><article><p>{STORY}</p></article></div></body>", STORY),
+    (f"<body><div class='post no-comments'><p>{STORY}</p></div></body>", STORY),
+    (f"<body><div class='form-guide'><p>{STORY}</p></div></body>", STORY),
+    (f"<article><p data=it's>{STORY}</p><p>It isn't {STORY}</p></article>", STORY + "It isn't" + STORY),
+    (f"<article><p>{STORY}<a href=\"x>broken</a></p></article>", STORY + "broken"),
+    (f"<article><p>{STORY} 3 < 4 and a<b>c</b></p></article>", STORY + "3 < 4 and ac"),
+    ("<article><p>a</p></></ x><?php x ?><!doctype html><!---->b<p>c", "a\nb\nc"),
+    ("<article><p>shown</p><p title='a > b'>too</p><tag never ends", "shown\ntoo"),
+]
+
+
+@pytest.mark.parametrize("html,text", LOST)
+def test_nothing_of_the_article_is_lost(html, text):
+    for path in (None, vote(html)[0]):
+        assert "".join(extract(html, path).split()) == "".join(text.split())
+
+
+BROKEN = {
+    "tags that never end": "<div" * 250_000,
+    "quotes that never end": "<a href=\"" * 110_000,
+    "odd quotes": "<a x='\"" * 140_000,
+    "nested blocks": "<div>" * 200_000 + "deep",
+    "nested inline": "<b>x" * 150_000,
+    "stray ends": "<i><div>" + "<b>" * 100_000 + "</i></section></p>" * 40_000,
+    "blocks in inline": "<b>" * 100_000 + "<p>x</p>" * 60_000,
+    "comments that never end": "<!--" * 250_000,
+    "raw elements that never end": "<script><p>" * 90_000,
+    "signs": "< " * 500_000,
+    "references": "&amp" * 250_000,
+    "lists": "<ul><li>x" * 100_000,
+    "classes": "<p class='" + "a " * 400_000 + "'>x",
+}
+
+
+@pytest.mark.parametrize("html", BROKEN.values(), ids=BROKEN)
+def test_a_megabyte_of_anything_takes_seconds(html):
+    import time
+
+    began = time.process_time()
+    extract(html, vote(html)[0])
+    assert time.process_time() - began < 20
+
+
+def test_pages_without_a_host_go_by_themselves(spark):
+    rows = [(i, None, f"<body><div class='a'><p>{STORY}</p></div><div class='b'><p>short</p></div></body>") for i in range(5)]
+    rows.append((9, "no url", f"<body><div class='a'><p>short</p></div><div class='b'><p>{STORY}</p></div></body>"))
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert set(got.values()) == {STORY.strip()}
