@@ -7,6 +7,10 @@ sufficient lookahead. A token that lies that far before the end of what has been
 whatever follows, so it is emitted and its bytes are dropped: memory is constant in the text's length.
 A boundary between tokens, once stable, also parts the rest: the encoding of what follows it does not
 depend on what came before.
+
+Texts are streams in the same way. What arrives is held only as far back as the last place that no
+pre-token can span whatever follows; a pre-token that goes on beyond that is fed to its transducer in
+parts. Pre-tokens that were met before are looked up in a bounded cache of the transducer's results.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from chemprobe.llm._shared import bound_batches
 from chemprobe.llm._tokens import PieceCache, as_bytes, in_lots
 
+#: Characters of a text that are fed to its stream at a time.
+CHUNK = 1 << 18
 #: Fixed value: the pattern that byte-level vocabularies of this kind split texts by.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -111,48 +117,167 @@ class Transducer:
 
     def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
         """The ids of one pre-token that arrives in chunks, each as soon as it is stable."""
-        held = b""
+        piece = PreToken(self)
         for chunk in chunks:
-            for at in range(0, len(chunk), self.lookahead):
-                held += chunk[at : at + self.lookahead]
-                if len(held) < 2 * self.lookahead:
-                    continue
-                stable, done = len(held) - self.lookahead, 0
-                for k in self._merged([self.byte_id[b] for b in held]):
-                    n = len(self.bytes_of[k])
-                    if done + n > stable:
-                        break
-                    yield k
-                    done += n
-                held = held[done:]
-        yield from self._merged([self.byte_id[b] for b in held])
+            yield from piece.push(chunk)
+        yield from piece.finish()
 
     def encode_piece(self, text: str) -> list[int]:
-        """The ids of a text."""
+        """The ids of a text in which no pre-token is open at either end."""
         ids: list[int] = []
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.special:
                 ids.append(self.special[part])
                 continue
             for m in self.split.finditer(part):
-                raw = m.group().encode()
-                if len(raw) <= 2 * self.lookahead:
-                    ids.extend(self._merged([self.byte_id[b] for b in raw]))
-                else:
-                    ids.extend(self.stream([raw]))
+                ids.extend(self.stream([m.group().encode()]))
         return ids
 
+    def parts(self, text: str, step: int = CHUNK) -> Iterator[bytes]:
+        """A text's ids as little-endian 32-bit numbers, in parts as they become stable."""
+        stream = TextStream(self)
+        for at in range(0, len(text), step):
+            yield stream.push(text[at : at + step])
+        yield stream.finish()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        return self.cache(texts)
+        """Little-endian 32-bit ids of each text. Texts of one step share a look into the cache."""
+        short = iter(self.cache([t for t in texts if len(t) <= CHUNK]))
+        return [next(short) if len(t) <= CHUNK else b"".join(self.parts(t)) for t in texts]
 
     def decode(self, ids: np.ndarray, step: int = 4096) -> Iterator[str]:
-        """The text of ids in parts: a decoder keeps the bytes of an unfinished character between steps."""
-        state = codecs.getincrementaldecoder("utf-8")(errors="replace")
-        of = self.bytes_of
+        """The text of ids in parts."""
+        state = Decoder(self)
         for at in range(0, len(ids), step):
-            yield state.decode(b"".join([of[k] for k in ids[at : at + step].tolist()]))
-        yield state.decode(b"", final=True)
+            yield state.push(ids[at : at + step])
+        yield state.finish()
+
+
+class Decoder:
+    """From ids to text: keeps the bytes of an unfinished character between calls."""
+
+    def __init__(self, coder: Transducer):
+        self.of, self.state = coder.bytes_of, codecs.getincrementaldecoder("utf-8")(errors="replace")
+
+    def push(self, ids: np.ndarray) -> str:
+        return self.state.decode(b"".join(map(self.of.__getitem__, ids.tolist())))
+
+    def finish(self) -> str:
+        return self.state.decode(b"", final=True)
+
+
+class PreToken:
+    """One pre-token's bytes as they arrive; at most two lookaheads and one token of them are held."""
+
+    __slots__ = ("coder", "held")
+
+    def __init__(self, coder: Transducer):
+        self.coder, self.held = coder, b""
+
+    def push(self, chunk: bytes) -> list[int]:
+        """The ids that are stable with `chunk`."""
+        coder, far, out = self.coder, self.coder.lookahead, []
+        for at in range(0, len(chunk), far):
+            held = self.held = self.held + chunk[at : at + far]
+            if len(held) <= 2 * far:
+                continue
+            stable, done = len(held) - far, 0
+            for k in coder._merged([coder.byte_id[b] for b in held]):
+                n = len(coder.bytes_of[k])
+                if done + n > stable:
+                    break
+                out.append(k)
+                done += n
+            self.held = held[done:]
+        return out
+
+    def finish(self) -> list[int]:
+        held, self.held = self.held, b""
+        return self.coder._merged([self.coder.byte_id[b] for b in held])
+
+
+#: The kinds of characters that a pre-token can go on with, by what its last one is.
+_KINDS = [regex.compile(x) for x in (r"\p{L}*+", r"\p{N}*+", r"\s*+", r"[^\s\p{L}\p{N}]*+")]
+
+
+class TextStream:
+    """The encoder of one text that arrives in parts; holds a part and a few lookaheads at most."""
+
+    def __init__(self, coder: Transducer):
+        self.coder, self.held = coder, ""
+        self.open: PreToken | None = None  # a long pre-token, and the kind of character it consists of
+        self.kind = _KINDS[0]
+
+    def _tail(self, text: str) -> int:
+        """The characters at a text's end that may begin a special token."""
+        for k in range(min(max(map(len, self.coder.special), default=1) - 1, len(text)), 0, -1):
+            if any(word.startswith(text[-k:]) for word in self.coder.special if len(word) > k):
+                return k
+        return 0
+
+    def _stable(self, text: str) -> int:
+        """The last place found that no pre-token spans whatever follows; 0 if there is none."""
+        best = 0
+        if self.coder.cut:
+            for m in self.coder.cut.finditer(text):
+                best = m.end()
+        for sign in " \n":  # a single one between other characters begins a pre-token, or is one
+            k = text.rfind(sign, 1, len(text) - 1)
+            while k > best and (text[k - 1].isspace() or text[k + 1].isspace()):
+                k = text.rfind(sign, 1, k)
+            best = max(best, k)
+        if not best:  # two characters on, neither a contraction nor white space can change
+            last = len(text) - max(2, self._tail(text) + 1)
+            for m in self.coder.split.finditer(text):
+                if m.end() > last:
+                    break
+                best = m.end()
+        return best
+
+    def _goes_on(self, text: str, final: bool) -> tuple[str, bool]:
+        """Feeds the open pre-token; what is left of `text`, and whether it is still open."""
+        room = len(text) if final else len(text) - self._tail(text)
+        m = self.coder.cut.search(text) if self.coder.cut else None
+        n = min(self.kind.match(text).end(), m.start() if m else room, room)
+        ended = final or n < room or m is not None and n == m.start()
+        if self.kind is _KINDS[2] and not (final and n == len(text)) and not (m and n == m.start()):
+            n = max(n - 1, 0)  # the last white space before another character is not of the run
+        self.out += self.open.push(text[:n].encode())
+        if ended:
+            self.out += self.open.finish()
+            self.open = None
+        return text[n:], not ended
+
+    def push(self, text: str) -> bytes:
+        """The ids that are stable with `text`."""
+        self.out: list[int] = []
+        text = self.held + text
+        if self.open:
+            text, still = self._goes_on(text, False)
+            if still:
+                self.held = text
+                return as_bytes(self.out)
+        ids = as_bytes(self.out)
+        if cut := self._stable(text):
+            ids += self.coder.cache([text[:cut]])[0]
+            text = text[cut:]
+        if len(text) > 4 * self.coder.lookahead and (m := self.coder.split.match(text)):
+            self.out, self.open = [], PreToken(self.coder)
+            self.kind = next(k for k in _KINDS if k.match(m.group()[-1]).end())
+            lead = m.group()[0] if self.kind is not _KINDS[2] and m.group()[0] == " " else ""
+            self.out += self.open.push(lead.encode())
+            text, _ = self._goes_on(text[len(lead) :], False)
+            ids += as_bytes(self.out)
+        self.held = text
+        return ids
+
+    def finish(self) -> bytes:
+        """The ids of what is left when the text ends."""
+        self.out, text = [], self.held
+        if self.open:
+            text, _ = self._goes_on(text, True)
+        self.held = ""
+        return as_bytes(self.out) + (self.coder.cache([text])[0] if text else b"")
 
 
 _loaded: dict[str, Transducer] = {}
@@ -192,7 +317,8 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256. One map, no shuffle.
 
-    Null and empty texts have no tokens. Repeated rows give repeated results.
+    Null and empty texts have no tokens. Repeated rows give repeated results. A long text goes through its
+    stream, and its ids through the decoder, in parts: no more than a part of its ids is held at a time.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,11 +326,15 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for lot in in_lots(batch["text"]):
-                for raw in coder.encode(lot):
-                    text = hashlib.sha256()
-                    for part in coder.decode(np.frombuffer(raw, "<u4")):
-                        text.update(part.encode())
-                    rows.append((len(raw) // 4, hashlib.sha256(raw).hexdigest(), text.hexdigest()))
+                short = iter(coder.encode([t for t in lot if len(t) <= CHUNK]))
+                for whole in lot:
+                    n, ids, text, back = 0, hashlib.sha256(), hashlib.sha256(), Decoder(coder)
+                    for raw in [next(short)] if len(whole) <= CHUNK else coder.parts(whole):
+                        n += len(raw) // 4
+                        ids.update(raw)
+                        text.update(back.push(np.frombuffer(raw, "<u4")).encode())
+                    text.update(back.finish().encode())
+                    rows.append((n, ids.hexdigest(), text.hexdigest()))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out

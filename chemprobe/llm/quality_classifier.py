@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chemprobe.llm._shared import bound_batches
@@ -24,7 +24,12 @@ from chemprobe.llm._tokens import in_lots
 
 #: The bounded sample: at most so many labelled rows, chosen by a hash of doc_id.
 TRAIN_ROWS = 3000
+#: And of those, in that order, as many as have so many characters together.
+TRAIN_CHARS = 60_000_000
 BUCKETS, DIMENSIONS, EPOCHS, RATE, SEED = 1 << 18, 12, 6, 0.5, 7
+#: Vectors learn at a higher rate than the layer, as a mean spreads its gradient over all features; a document's
+#: step for them is clipped to a norm of 1.
+VECTOR_RATE = 60
 _KEEP_WORDS = 250_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -120,8 +125,8 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
             layer -= np.outer(g, mean)
             bias -= 0.1 * g
             if len(idx):
-                # a mean spreads the gradient thin: each feature moves by its share, scaled to a whole step
-                vectors[idx] -= np.outer(np.minimum(share * 50, 1), back)
+                step = VECTOR_RATE * np.outer(share, back)
+                vectors[idx] -= step / max(1.0, float(np.linalg.norm(step)))
             k += 1
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
@@ -163,15 +168,22 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Trains on at most `rows` of the labelled documents that are not held out.
+    """Trains on at most `rows` of the labelled documents that are not held out, of TRAIN_CHARS characters together.
 
-    The sample is the rows with the smallest hashes of doc_id; rows without a label or id are passed
-    over, and null texts are empty.
+    The sample is the rows with the smallest hashes of doc_id, then the smaller id and label; rows without a
+    label or id are passed over, and null texts are empty. Of rows that repeat an id one is taken, before
+    anything is sent to the driver.
     """
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out()).select("doc_id", "quality").distinct()
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "quality").toPandas()
-    return train(sample["text"].fillna("").tolist(), sample["quality"].tolist())
+    once = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    once = once.groupBy("doc_id").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
+    sample = once.join(chosen, "doc_id")
+    # a window over the sample alone, at most `rows` rows
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
+    sample = sample.withColumn("n", F.sum(F.length("text")).over(so_far)).where(F.col("n") <= TRAIN_CHARS)
+    sample = sample.select("doc_id", "text", "quality").orderBy("doc_id", "quality").toPandas()
+    return train(sample["text"].tolist(), sample["quality"].tolist())
 
 
 def held_out() -> Column:

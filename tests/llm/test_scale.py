@@ -163,3 +163,74 @@ def test_a_document_over_several_blocks(spark, monkeypatch, tmp_path):
         ids = t.encode(text or "", add_special_tokens=False).ids + [2]
         want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     assert counted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got.collect()) == counted(want)
+
+
+def test_any_cut_of_a_text_gives_the_same_ids():
+    import random
+
+    from chemprobe.llm import bpe
+    from tests.llm.test_documents import ODD, tokenizer
+
+    path, t = tokenizer("byte_bpe_50k.json")
+    coder, rng = bpe.transducer(path), random.Random(3)
+    more = ["a" * 9000 + "<|endoftext|>" + "-" * 7000 + "'ll" + " " * 6000 + "x", "\n" * 8000, " " * 5000 + "<|endoftext|>  ", "-" * 5000 + "<|end", "1" * 9000 + "st", "é" * 6000 + " word", "\t " * 4000 + "y", " " + "中" * 5000 + "  <|endoftext|>"]
+    signs = ["a", "b ", " ", "\n", "'", "'r", "e", "1", "-", "<|", "endoftext", "|>", "<|endoftext|>", "中", "\t", "word", " the"]
+    more += ["".join(rng.choice(signs) for _ in range(rng.choice([5, 60, 3000]))) for _ in range(60)]
+    for text in ODD + more:
+        want = bpe.as_bytes(t.encode(text, add_special_tokens=False).ids)
+        for step in (1 if len(text) < 400 else 997, 5000):
+            assert b"".join(coder.parts(text, step)) == want, (text[:60], step)
+
+
+def test_a_long_text_takes_constant_memory():
+    """100 MB of words, then a word of 4 MB: the stream holds no more than a part of either."""
+    from chemprobe.llm import bpe
+    from tests.llm.test_documents import tokenizer
+
+    path, t = tokenizer("byte_bpe_50k.json")
+    coder = bpe.transducer(path)
+    words = "streams of words, and of other words; " * 7000
+    stream, held, n = bpe.TextStream(coder), 0, 0
+    for _ in range(400):
+        n += len(stream.push(words)) // 4
+        held = max(held, len(stream.held))
+    n += len(stream.finish()) // 4
+    assert 400 * len(words) > 100_000_000 and held < 100
+    one, two = (len(t.encode(words * k, add_special_tokens=False).ids) for k in (1, 2))
+    assert n == one + 399 * (two - one)
+    stream, inside = bpe.TextStream(coder), 0
+    for _ in range(16):
+        stream.push("ab" * 2000)
+        inside = max(inside, len(stream.held) + (len(stream.open.held) if stream.open else 0))
+    stream.finish()
+    assert inside < 5 * coder.lookahead + 4000
+
+
+def test_repeated_ids_do_not_swell_the_training_sample(spark):
+    from chemprobe.llm import quality_classifier
+
+    rows = [(i, f"text {i} " * 30, "en", "a") for i in range(40)] + [(3, f"copy {k}", "en", "a") for k in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    real = quality_classifier.train
+    try:
+        quality_classifier.train = lambda texts, y: seen.append((texts, y))
+        quality_classifier.fit(stored(spark, rows), labels)
+    finally:
+        quality_classifier.train = real
+    (texts, y), = seen
+    assert len(texts) == len(set(texts)) <= 40 and sum("copy" in x for x in texts) <= 1
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01"])
+def test_quality_on_held_out_labels(spark, sf):
+    import os
+
+    if not os.path.isdir(sf):
+        pytest.skip("no tables")
+    from chemprobe.llm import quality_classifier
+
+    got = quality_classifier.op6_quality_classifier(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    good, bad = [r["score"] for r in got if r["quality"] == 1], [r["score"] for r in got if r["quality"] == 0]
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert len(got) > 50 and auc > 0.95
