@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -48,6 +49,21 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+#: Lists that take the folders of the tables that are being written.
+_trackers: list[list[str]] = []
+
+
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """The folders of all tables that are written within the block."""
+    made: list[str] = []
+    _trackers.append(made)
+    try:
+        yield made
+    finally:
+        _trackers[:] = [t for t in _trackers if t is not made]
+
+
 class Saved:
     """A table written to the shared folder: lineage is cut and any lost executor can reread it."""
 
@@ -56,6 +72,8 @@ class Saved:
         self.path = f"{shared_dir(self.spark)}/chemprobe/{name}-{uuid.uuid4().hex}"
         self.schema = df.schema
         df.write.parquet(self.path)
+        for made in _trackers:
+            made.append(self.path)
         at, fs = _place(self.spark, self.path)
         fs.deleteOnExit(at)
 
