@@ -9,12 +9,12 @@ from chemprobe.functions.sequences import is_dna
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(ref, seq, length) of FASTA files; split at `>`, so that long files are read in parallel.
+    """(ref, seq, length) of FASTA files; split where a line begins with `>`, so that long files are read in parallel.
 
     A name is a header's first word; the first record of a name wins, in order of file and place. Blank
     names and sequences that are not ACGT are left out.
     """
-    raw = spark.read.text(path, lineSep=">").select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    raw = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", r"\A>", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
     head, body = F.split("value", "\n", 2)[0], F.get(F.split("value", "\n", 2), F.lit(1))
     rows = raw.select("file", "at", F.regexp_extract(head, r"^(\S*)", 1).alias("ref"), F.regexp_replace(F.coalesce(body, F.lit("")), r"\s", "").alias("seq"))
     good = rows.where((F.col("ref") != "") & is_dna(F.col("seq")))

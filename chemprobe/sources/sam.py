@@ -32,10 +32,13 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_sam(sam: DataFrame, path: str) -> None:
-    """One file set per reference; rows in order of position within each task."""
+    """One file set per reference, each file in order of position and of a range of it.
+
+    Rows are dealt by ranges of (reference, position), so a reference that has nearly all reads is cut to many.
+    """
     tags = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{t}:i:"), F.col(c))) for t, c in (("AS", "as_score"), ("XS", "xs_score")) if c in sam.columns]
     line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("0" if c in _NUMBERS else "*")) if c in sam.columns else F.lit("0" if c in _NUMBERS else "*") for c in FIELDS], *tags)
-    sam.repartition("rname").sortWithinPartitions("rname", "pos").select("rname", line.alias("value")).write.partitionBy("rname").text(path)
+    sam.repartitionByRange("rname", "pos", F.xxhash64("qname")).sortWithinPartitions("rname", "pos").select("rname", line.alias("value")).write.partitionBy("rname").text(path)
 
 
 # The letters of packed bases and operations in a BAM record.

@@ -16,8 +16,11 @@ def batch_rows(length: int, megabytes: float = 32.0) -> int:
 
 
 def write_vectors(vectors: DataFrame, path: str, length: int, megabytes: float = 32.0) -> None:
-    """Compact vectors (rname, section, end5, end3, read, vec) as ORC, partitioned by reference and section."""
-    out = vectors.where("vec IS NOT NULL").repartition("rname", "section")
+    """Compact vectors (rname, section, end5, end3, read, vec) as ORC, partitioned by reference and section.
+
+    Each task writes its own files, so a reference that has nearly all reads is written by all tasks.
+    """
+    out = vectors.where("vec IS NOT NULL").sortWithinPartitions("rname", "section")
     out.write.option("maxRecordsPerFile", batch_rows(length, megabytes)).partitionBy("rname", "section").orc(path)
 
 

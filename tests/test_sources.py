@@ -16,6 +16,17 @@ def test_fasta(spark, tmp_path):
         fasta.write_fasta(spark.createDataFrame([("a", "AC"), ("a", "GG")], "ref string, seq string"), f"{tmp_path}/out")
 
 
+def test_fasta_headers_with_the_sign(spark, tmp_path):
+    (tmp_path / "a.fa").write_text(">ref1 variant A>G here\nACGT\nAC\n>G\nTTTT\n>ref2 >x\r\nGG>\n>ref3\nA\n")
+    (tmp_path / "b.fa").write_text(">ref4\nCC")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        got = {r["ref"]: r["seq"] for r in fasta.read_fasta(spark, f"{tmp_path}/*.fa").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {"ref1": "ACGTAC", "G": "TTTT", "ref3": "A", "ref4": "CC"}
+
+
 def test_fastq(spark, tmp_path):
     text = "".join(f"@r{k} x\nACGT\n+\nFFFF\n" for k in range(3))
     (tmp_path / "s_R1.fastq").write_text(text + "@cut\nACG\n")
