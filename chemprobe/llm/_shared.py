@@ -92,7 +92,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 #: A side of a join is broadcast up to so many rows of keys and numbers; beyond that both sides are dealt by key.
-BROADCAST_KEYS = 200_000
+BROADCAST_KEYS = 500_000
 
 
 def small_side(df: DataFrame) -> DataFrame:

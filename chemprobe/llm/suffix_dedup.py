@@ -29,14 +29,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import apart, bound_batches, saved, small_side, text_or_empty, with_row_key
+from chemprobe.llm._shared import BROADCAST_KEYS, apart, bound_batches, saved, small_side, text_or_empty, with_row_key
 
 LENGTH = 200
 GRAM = 32
 #: Anchors per partition of the exchange, and bytes of context per suffix array.
 PART_ANCHORS, PART_BYTES = 150_000, 800_000
 #: An anchor with more distinct contexts than this is cut finer: to runs of so many starts, then to single ones.
-HOT, RUNS = 2000, (85, 12, 1)
+#: So many contexts sort within some 400 MB.
+HOT, RUNS = 20_000, (85, 12, 1)
 #: A long text's anchors are found so many starts at a time.
 _RUN = 1 << 22
 _POS = np.uint64((1 << 24) - 1)
@@ -332,6 +333,9 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _spots(contexts: DataFrame, texts: DataFrame) -> DataFrame:
     """The texts that contexts are cut out of, with those contexts; a text's own number of them is bounded by it."""
     here = contexts.groupBy("_rid").agg(F.collect_list(F.struct("a", "c", "mult", "s", "e", "p")).alias("spots"))
+    rows = saved(contexts.select("_rid").distinct(), "rows-with-contexts")
+    if rows.count() <= BROADCAST_KEYS:  # only these texts are dealt by key
+        texts = texts.join(F.broadcast(rows), "_rid", "left_semi")
     return texts.join(here, "_rid").select("_rid", "text", "spots")
 
 
