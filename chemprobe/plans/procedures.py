@@ -35,7 +35,11 @@ def query(name: str, sql: str | None = None):
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="chemprobe-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="chemprobe-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -78,11 +82,19 @@ def _sections_of(records: DataFrame) -> DataFrame:
     return records.select(F.col("rname").alias("ref"), F.lit("full").alias("section"), F.lit(1).alias("end5"), F.length("ref_seq").alias("end3"), F.col("ref_seq").alias("section_seq"))
 
 
-@query("sam_round_trip", f"WITH {READS} SELECT concat('d', read_id) AS qname, concat('r', read_id) AS rname FROM reads WHERE read_id % 10 = 0 AND length(seq) >= 80")
+@query(
+    "sam_round_trip",
+    f"WITH {READS}, k AS (SELECT *, CASE WHEN length(seq) < 40 THEN 3 ELSE read_id % 3 END AS kind, read_id // 3 % 5 + 2 AS size FROM reads WHERE length(seq) > 0), "
+    "m AS (SELECT *, CASE kind WHEN 0 THEN concat(substr(seq, 1, 20), translate(substr(seq, 21, 1), 'ACGT', 'CGTA'), substr(seq, 22)) WHEN 1 THEN concat(substr(seq, 1, 20), substr(seq, 21 + size)) "
+    "WHEN 2 THEN concat(substr(seq, 1, 20), repeat('G', size), substr(seq, 21)) ELSE seq END AS s, "
+    "CASE kind WHEN 1 THEN concat('20M', size, 'D', length(seq) - 20 - size, 'M') WHEN 2 THEN concat('20M', size, 'I', length(seq) - 20, 'M') ELSE concat(length(seq), 'M') END AS cigar FROM k) "
+    "SELECT concat('d', read_id) AS qname, CAST(0 AS INTEGER) AS flag, concat('r', read_id) AS rname, CAST(1 AS INTEGER) AS pos, CAST(42 AS INTEGER) AS mapq, cigar, '*' AS rnext, CAST(0 AS INTEGER) AS pnext, "
+    "CAST(0 AS INTEGER) AS tlen, s AS seq, repeat('F', length(s)) AS qual, CAST(length(seq) AS INTEGER) AS as_score, CAST(NULL AS INTEGER) AS xs_score FROM m",
+)
 def sam_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = _folder(spark, "sam")
     sam.write_sam(_records(spark, sf).drop("ref_seq"), path)
-    return sam.parse_sam(spark.read.text(f"{path}/*")).select("qname", "rname")
+    return sam.parse_sam(spark.read.text(f"{path}/*"))
 
 
 @query("vectorize_reads")
