@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chemprobe.functions.sequences import hamming, reverse_complement
+from chemprobe.runtime import stored
 
 SECONDARY_TOLERANCE = 2
 #: Bases whose windows are cut out of one chunk of a read.
 CHUNK = 256
-#: Patterns' pieces are broadcast up to so many rows; beyond that they are joined by place and piece.
-BROADCAST_PROBES = 500_000
+#: Patterns' pieces are broadcast up to so many rows of some 100 bytes; beyond that they are joined by place and piece.
+BROADCAST_PROBES = 1_000_000
 
 
 def secondary_mismatches(length: Column) -> Column:
@@ -64,7 +65,8 @@ def _bits(s: Column, n: int) -> list[Column]:
 
 
 def _seeds(s: str, n: int, mismatches: int) -> Column:
-    parts = [F.concat_ws("", F.lit(f"{i}:"), *[F.expr(f"substring({s}, {a + 1}, {k})") for a, k in keep]) for i, keep in enumerate(_pieces(n, mismatches))]
+    """An integer for each list of pieces; pieces that share one by chance are told apart when they are verified."""
+    parts = [F.hash(F.lit(i), *[F.expr(f"substring({s}, {a + 1}, {k})") for a, k in keep]) for i, keep in enumerate(_pieces(n, mismatches))]
     return F.explode(F.array(*parts)).alias("_seed")
 
 
@@ -85,12 +87,16 @@ def _matches(reads: DataFrame, patterns: DataFrame, mismatches: int, tolerance:
         stretch = reads.select("read_id", F.substring("seq", first, last - first + n).alias("_s")).where(F.length("_s") >= n)
         chunk = F.explode(F.sequence(F.lit(0), F.expr(f"(length(_s) - {n}) div {CHUNK}"))).alias("_c")
         chunks = stretch.select("read_id", "_s", chunk).select("read_id", "_c", F.substring("_s", F.col("_c") * CHUNK + 1, F.lit(CHUNK + n - 1)).alias("_s"))
+        if last - first >= CHUNK:  # long reads' chunks go to many tasks
+            chunks = chunks.repartition("read_id", "_c")
         place = F.explode(F.sequence(F.lit(1), F.length("_s") - n + 1)).alias("_i")
         windows = chunks.select("read_id", "_c", "_s", place).select("read_id", (F.col("_c") * CHUNK + F.col("_i") + (first - 1)).cast("int").alias("_at"), F.substring("_s", F.col("_i"), F.lit(n)).alias("_w"))
         met = windows.select("read_id", "_at", "_w", _seeds("_w", n, mismatches)).join(probes, ["_at", "_seed"])
         if mismatches:
             same = sum((F.bit_count(w.bitwiseAND(F.col("_p")[i])) for i, w in enumerate(_bits(F.col("_w"), n))), F.lit(0))
             met = met.where(n - same <= mismatches)
+        else:
+            met = met.where(F.col("_w") == F.col("pattern"))
         found = met.select("read_id", "pattern", "start")
         out = found if out is None else out.unionByName(found)
     if out is None:
@@ -139,6 +145,7 @@ def all_hits(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, toleran
     out = search(reads, bars, mismatches, tolerance)
     for c in range(1, clip + 1):
         out = out.unionByName(search(reads, clipped(patterns, c), 0, 0))
+    out = stored(out, "hits")
     second = patterns.where(F.col("kind").isin("sec", "rev_sec"))
     pairs = out.select("read_id", "ref").distinct()
     return out.unionByName(confirm(reads, pairs, second, secondary_mismatches(F.length("pattern")), SECONDARY_TOLERANCE))

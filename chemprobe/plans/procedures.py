@@ -5,9 +5,6 @@ Each makes its own small files or records from the tables, under the shared fold
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +15,7 @@ from chemprobe.operators import preprocess as pre
 from chemprobe.operators import profile as prof
 from chemprobe.operators import vectorize as ve
 from chemprobe.plans.views import READS, REFS, reads, refs, vec
+from chemprobe.runtime import shared_folder as _folder
 from chemprobe.sources import fasta, fastq, sam, tables, vectors
 
 QUERIES: dict = {}
@@ -34,15 +32,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="chemprobe-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 @query("fasta_first_wins", f"WITH {REFS} SELECT concat('r', ref) AS ref, seq, CAST(length(seq) AS INTEGER) AS length FROM refs")
 def fasta_first_wins(spark: SparkSession, sf: str) -> DataFrame:
     """References written twice over, the second time reversed, and read: the first of a name stays."""

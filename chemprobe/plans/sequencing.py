@@ -9,6 +9,7 @@ from chemprobe.functions import sequences as seq
 from chemprobe.operators import demultiplex as dm
 from chemprobe.operators import sections as sec
 from chemprobe.plans.views import BARCODES, READS, REFS, barcodes, reads, refs, table
+from chemprobe.runtime import stored
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -187,10 +188,16 @@ def _near(name: str, pattern: str, start: str, n: int, tolerance: int, mismatche
     )
 
 
+def _library(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Reads and the library's patterns, both stored, since a search reads them several times."""
+    r = stored(reads(spark, sf), "reads")
+    return r, stored(dm.signatures(barcodes(r)), "patterns")
+
+
 def _search(kind: str, mismatches: int = 0, tolerance: int = 0):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        patterns = dm.signatures(barcodes(spark, sf)).where(F.col("kind") == kind)
-        return dm.counts(reads(spark, sf), patterns, mismatches, tolerance).select("ref", "n_reads")
+        r, patterns = _library(spark, sf)
+        return dm.counts(r, patterns.where(F.col("kind") == kind), mismatches, tolerance).select("ref", "n_reads")
 
     return run
 
@@ -206,8 +213,9 @@ SQL["demux_reverse"] = f"WITH {BARCODES}, {_near('hit', 'b.rbar', '(b.n - 31)',
 @query("demux_clipped", f"WITH {BARCODES}, late AS (SELECT read_id, concat('AA', seq) AS seq FROM reads), {_near('hit', 'substr(b.bar, 1, 10)', '23', 10, 0, 0, 'late')} SELECT ref, count(*) AS n_reads FROM hit GROUP BY ref")
 def demux_clipped(spark: SparkSession, sf: str) -> DataFrame:
     """Barcodes without their last two bases, in reads that begin two bases early."""
-    patterns = dm.clipped(dm.signatures(barcodes(spark, sf)), 2)
-    late = reads(spark, sf).withColumn("seq", F.concat(F.lit("AA"), "seq"))
+    r, patterns = _library(spark, sf)
+    patterns = dm.clipped(patterns, 2)
+    late = r.withColumn("seq", F.concat(F.lit("AA"), "seq"))
     return dm.counts(late, patterns).select("ref", "n_reads")
 
 
@@ -226,8 +234,8 @@ _HITS = (
 
 @query("demux_assigned", f"WITH {_HITS} SELECT read_id, ref FROM got")
 def demux_assigned(spark: SparkSession, sf: str) -> DataFrame:
-    patterns = dm.signatures(barcodes(spark, sf))
-    return dm.assigned(dm.all_hits(reads(spark, sf), patterns, 2, 2), patterns)
+    r, patterns = _library(spark, sf)
+    return dm.assigned(dm.all_hits(r, patterns, 2, 2), patterns)
 
 
 @query("demux_multihit_removed", f"WITH {_HITS} SELECT read_id, ref, 'R1' AS found_by FROM got WHERE read_id IN (SELECT read_id FROM one)")
@@ -243,8 +251,8 @@ def demux_multihit_removed(spark: SparkSession, sf: str) -> DataFrame:
     "count(CASE WHEN NOT (h.sec OR h.rsec) THEN 1 END) AS reads_lost_to_filter FROM rc l LEFT JOIN h ON h.ref = l.ref LEFT JOIN fin ON fin.ref = l.ref GROUP BY l.ref",
 )
 def demux_report(spark: SparkSession, sf: str) -> DataFrame:
-    patterns = dm.signatures(barcodes(spark, sf))
-    hits = dm.all_hits(reads(spark, sf), patterns, 2, 2).withColumn("mate", F.lit(1))
+    r, patterns = _library(spark, sf)
+    hits = dm.all_hits(r, patterns, 2, 2).withColumn("mate", F.lit(1))
     return dm.report(hits, patterns).select("ref", "init_barcode", "init_rev_barcode", "sec_hits", "rev_sec_hits", "unfiltered", "pre_union", "final_count", "reads_lost_to_filter")
 
 

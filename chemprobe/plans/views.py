@@ -56,9 +56,9 @@ def refs(spark: SparkSession, sf: str) -> DataFrame:
 REFS = f"refs AS (SELECT item_id AS ref, {as_bases_sql('text')} AS seq FROM benchmark)"
 
 
-def barcodes(spark: SparkSession, sf: str) -> DataFrame:
+def barcodes(r: DataFrame) -> DataFrame:
     """A library whose barcodes (12 bases from 21) and second signatures (8 bases from 41) are the reads' own; all that reach so far."""
-    return reads(spark, sf).where("length(seq) >= 48").select(
+    return r.where("length(seq) >= 48").select(
         F.col("read_id").alias("ref"), "seq", F.lit(21).alias("barcode_start"), F.lit(12).alias("barcode_length"), F.lit(41).alias("secondary_start"), F.lit(8).alias("secondary_length")
     )
 

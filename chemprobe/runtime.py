@@ -4,15 +4,36 @@ from __future__ import annotations
 
 import logging
 import shutil
+import tempfile
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, fields
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LEVELS = (logging.WARNING, logging.INFO, logging.DEBUG)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path where driver and executors share files; a temporary one where all runs in this process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="chemprobe-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again, so that what reads it twice works it out once; it goes when the session ends."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class OutputLock:
     """Holds an output path for one run: `with OutputLock(spark, path): ...`.
 
