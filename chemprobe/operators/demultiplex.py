@@ -129,14 +129,14 @@ def clipped(patterns: DataFrame, clip: int) -> DataFrame:
 def confirm(reads: DataFrame, pairs: DataFrame, patterns: DataFrame, mismatches: Column, tolerance: int) -> DataFrame:
     """(read_id, ref, kind) of `pairs` (read_id, ref) whose read has the reference's pattern in its window.
 
-    Only found pairs are tested, at each of the few places of the window.
+    Only found pairs are tested, at each of the few places of the window, which is cut out of the read as soon as they meet.
     """
-    n = F.length("pattern")
-    p = patterns.withColumn("_m", mismatches).withColumn("_lo", F.greatest(F.col("start") - tolerance, F.lit(1)))
-    p = p.withColumn("_at", F.explode(F.sequence("_lo", F.greatest(F.col("start") + tolerance + 1, F.col("_lo")))))
-    near = pairs.join(p, "ref").join(reads, "read_id").where(F.col("_at") + n - 1 <= F.length("seq"))
-    ok = hamming(F.expr("substring(seq, _at, length(pattern))"), F.col("pattern")) <= F.col("_m")
-    return near.where(ok).select("read_id", "ref", "kind").distinct()
+    n, lo = F.length("pattern"), F.greatest(F.col("start") - tolerance, F.lit(1))
+    p = patterns.withColumn("_m", mismatches).withColumn("_lo", lo).withColumn("_n", F.greatest(F.col("start") + tolerance + 1, lo) - lo + n)
+    near = pairs.join(p, "ref").join(reads.select("read_id", "seq"), "read_id")
+    near = near.select("read_id", "ref", "kind", "pattern", "_m", F.expr("substring(seq, _lo, _n)").alias("_s")).where(F.length("_s") >= n)
+    fits = lambda i: hamming(F.substring("_s", i, n), F.col("pattern")) <= F.col("_m")
+    return near.where(F.exists(F.sequence(F.lit(1), F.length("_s") - n + 1), fits)).select("read_id", "ref", "kind").distinct()
 
 
 def all_hits(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0, clip: int = 0) -> DataFrame:
