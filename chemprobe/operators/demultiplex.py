@@ -58,42 +58,63 @@ def _pieces(n: int, mismatches: int) -> list[list[tuple[int, int]]]:
     return [[pieces[i], pieces[j]] for i in range(k) for j in range(i + 1, k)]
 
 
-def _bits(s: Column, n: int) -> list[Column]:
-    """A string's first n letters as numbers, one bit of four for each base; other letters have none."""
-    hexed = F.translate(F.regexp_replace(s, "[^ACGT]", "0"), "ACGT", "1248")
-    return [F.conv(F.substring(hexed, i + 1, 15), 16, 10).cast("long") for i in range(0, n, 15)]
+def _digits(s: Column) -> Column:
+    """A string's letters as hexadecimal digits, one bit of four for each base; other letters have none."""
+    return F.translate(F.regexp_replace(s, "[^ACGT]", "0"), "ACGT", "1248")
 
 
-def _seeds(s: str, n: int, mismatches: int) -> Column:
-    """An integer for each list of pieces; pieces that share one by chance are told apart when they are verified."""
-    parts = [F.hash(F.lit(i), *[F.expr(f"substring({s}, {a + 1}, {k})") for a, k in keep]) for i, keep in enumerate(_pieces(n, mismatches))]
-    return F.explode(F.array(*parts)).alias("_seed")
+def _bits(digits: Column, n: int) -> list[Column]:
+    """The first n of `_digits` as numbers of up to 15 bases."""
+    return [F.conv(F.substring(digits, i + 1, min(15, n - i)), 16, 10).cast("long") for i in range(0, n, 15)]
+
+
+def _masks(keep: list[tuple[int, int]], n: int) -> list[int]:
+    """For each of the numbers of `_bits`, the bits of the pieces in `keep`."""
+    held = {at + j for at, k in keep for j in range(k)}
+    return [int("".join("f" if i + j in held else "0" for j in range(min(15, n - i))), 16) for i in range(0, n, 15)]
+
+
+def _seeds(w: str, n: int, mismatches: int) -> Column:
+    """A number for each list of pieces, of the place `_at` and the pieces' bits in the array `w`.
+
+    Windows that share one by chance are told apart when they are verified.
+    """
+    lists = _pieces(n, mismatches)
+    piece = lambda keep: [F.col(w)[i].bitwiseAND(F.lit(mask)) for i, mask in enumerate(_masks(keep, n))]
+    return F.explode(F.array(*[F.xxhash64("_at", F.lit(i), *piece(keep)) for i, keep in enumerate(lists)])).alias("_seed")
 
 
 def _matches(reads: DataFrame, patterns: DataFrame, mismatches: int, tolerance: int) -> DataFrame:
     """(read_id, pattern, start) of distinct patterns that lie within `tolerance` of their place in a read.
 
-    Reads are cut to the stretch that the patterns' places span, then to chunks, then to windows, so the
-    work grows with the bases there. Windows meet patterns by place and shared pieces.
+    Reads are cut to the stretch that the patterns' places span, then to chunks, then to the windows at places
+    where a pattern may begin, so the work grows with the bases there. Windows meet patterns by place and shared
+    pieces; both are numbers, four bits a base, which also count the mismatches.
     """
     p = patterns.select("pattern", "start").distinct()
     lo = F.greatest(F.col("start") - tolerance, F.lit(1))
     span = p.select(F.length("pattern").alias("n"), lo.alias("lo"), (F.col("start") + tolerance + 1).alias("hi")).groupBy("n").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
+    tasks = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = None
     for n, first, last in sorted(span):  # a row for each length of pattern
         here = p.where(F.length("pattern") == n).withColumn("_at", F.explode(F.sequence(lo, F.greatest(F.col("start") + tolerance + 1, lo))))
-        probes = here.select("pattern", "start", "_at", F.array(*_bits(F.col("pattern"), n)).alias("_p"), _seeds("pattern", n, mismatches))
-        probes = F.broadcast(probes) if probes.count() <= BROADCAST_PROBES else probes
+        probes = here.select("pattern", "start", "_at", F.array(*_bits(_digits(F.col("pattern")), n)).alias("_p"))
+        places = probes.select("_at").distinct()
+        probes = probes.select("pattern", "start", F.col("_at").alias("_there"), "_p", _seeds("_p", n, mismatches))
+        if probes.count() <= BROADCAST_PROBES:
+            probes, places = F.broadcast(probes), F.broadcast(places)
         stretch = reads.select("read_id", F.substring("seq", first, last - first + n).alias("_s")).where(F.length("_s") >= n)
         chunk = F.explode(F.sequence(F.lit(0), F.expr(f"(length(_s) - {n}) div {CHUNK}"))).alias("_c")
         chunks = stretch.select("read_id", "_s", chunk).select("read_id", "_c", F.substring("_s", F.col("_c") * CHUNK + 1, F.lit(CHUNK + n - 1)).alias("_s"))
-        if last - first >= CHUNK:  # long reads' chunks go to many tasks
-            chunks = chunks.repartition("read_id", "_c")
+        # a number of tasks of its own: chunks are few bytes but many windows
+        chunks = chunks.repartition(tasks, "read_id", "_c").withColumn("_d", _digits(F.col("_s")))
         place = F.explode(F.sequence(F.lit(1), F.length("_s") - n + 1)).alias("_i")
-        windows = chunks.select("read_id", "_c", "_s", place).select("read_id", (F.col("_c") * CHUNK + F.col("_i") + (first - 1)).cast("int").alias("_at"), F.substring("_s", F.col("_i"), F.lit(n)).alias("_w"))
-        met = windows.select("read_id", "_at", "_w", _seeds("_w", n, mismatches)).join(probes, ["_at", "_seed"])
+        at = (F.col("_c") * CHUNK + F.col("_i") + (first - 1)).cast("int").alias("_at")
+        windows = chunks.select("read_id", "_c", "_s", "_d", place).select("read_id", at, F.substring("_s", F.col("_i"), F.lit(n)).alias("_w"), F.substring("_d", F.col("_i"), F.lit(n)).alias("_d"))
+        windows = windows.join(places, "_at", "left_semi").select("read_id", "_at", "_w", F.array(*_bits(F.col("_d"), n)).alias("_b"))
+        met = windows.select("read_id", "_at", "_w", "_b", _seeds("_b", n, mismatches)).join(probes, "_seed").where("_at = _there")
         if mismatches:
-            same = sum((F.bit_count(w.bitwiseAND(F.col("_p")[i])) for i, w in enumerate(_bits(F.col("_w"), n))), F.lit(0))
+            same = sum((F.bit_count(F.col("_b")[i].bitwiseAND(F.col("_p")[i])) for i in range(len(range(0, n, 15)))), F.lit(0))
             met = met.where(n - same <= mismatches)
         else:
             met = met.where(F.col("_w") == F.col("pattern"))
