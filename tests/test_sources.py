@@ -41,6 +41,27 @@ def test_fastq(spark, tmp_path):
     assert fastq.unmatched_ids(inter.where("rec = 0"), inter.where("rec = 1")).count() == 1
 
 
+def test_fastq_in_blocks(spark, tmp_path):
+    """Records that lie across blocks of any size, with qualities that look like heads, count on within their file."""
+    reads = [(f"r{k}", "ACGT" * (k % 5), "@+F@" * (k % 5)) for k in range(9)]
+    (tmp_path / "a_1.fq").write_text("".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q in reads) + "@cut\nAC\n+")
+    (tmp_path / "b_2.fq").write_text("".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q in reads[:3]) + "@long\n" + "A" * 60 + "\n+\n" + "F" * 60)
+    (tmp_path / "c.fq").write_text("@odd\nACGT\n+\nFFF\nno head\nA\n+\nF\n@e\n\n+\n\n")
+    want = [("a_1.fq", k, *r, 1) for k, r in enumerate(reads)] + [("b_2.fq", k, *r, 2) for k, r in enumerate([*reads[:3], ("long", "A" * 60, "F" * 60)])] + [("c.fq", 2, "e", "", "", 0)]
+    for size in ("9", "50", "1000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            found = fastq.read_fastq(spark, str(tmp_path))
+            got = sorted((r["file"], r["rec"], r["read_id"], r["seq"], r["qual"], r["mate"]) for r in found.collect())
+            tasks = found.rdd.getNumPartitions()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == want
+        assert size == "1000" or tasks > 3  # a file is not read whole by one task
+
+
 SAM = """@HD\tVN:1.6
 q1\t0\tr\t1\t42\t4M\t*\t0\t0\tACGT\tIIII\tAS:i:10\tXS:i:-2
 q2\t16\tr\t3\t1\t4M\t*\t0\t0\tACGT\tIII\tAS:i:5
