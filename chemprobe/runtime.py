@@ -12,6 +12,8 @@ from dataclasses import dataclass, fields
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+#: Outputs have a folder for each reference up to so many; more would be as many files, each of a few rows.
+FOLDERS = 1000
 LEVELS = (logging.WARNING, logging.INFO, logging.DEBUG)
 
 
@@ -34,6 +36,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(keys: DataFrame, most: int) -> bool:
+    """Whether `keys` has at most so many distinct rows."""
+    return keys.distinct().limit(most + 1).count() <= most
+
+
 class OutputLock:
     """Holds an output path for one run: `with OutputLock(spark, path): ...`.
 

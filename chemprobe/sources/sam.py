@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chemprobe.runtime import FOLDERS, few
+
 FIELDS = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
 _NUMBERS = ("flag", "pos", "mapq", "pnext", "tlen")
 
@@ -32,13 +34,17 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_sam(sam: DataFrame, path: str) -> None:
-    """One file set per reference, each file in order of position and of a range of it.
+    """Files in order of reference and position, each of one range of them; up to FOLDERS references have a folder each.
 
     Rows are dealt by ranges of (reference, position), so a reference that has nearly all reads is cut to many.
     """
     tags = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{t}:i:"), F.col(c))) for t, c in (("AS", "as_score"), ("XS", "xs_score")) if c in sam.columns]
     line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("0" if c in _NUMBERS else "*")) if c in sam.columns else F.lit("0" if c in _NUMBERS else "*") for c in FIELDS], *tags)
-    sam.repartitionByRange("rname", "pos", F.xxhash64("qname")).sortWithinPartitions("rname", "pos").select("rname", line.alias("value")).write.partitionBy("rname").text(path)
+    dealt = sam.repartitionByRange("rname", "pos", F.xxhash64("qname")).sortWithinPartitions("rname", "pos")
+    if few(sam.select("rname"), FOLDERS):
+        dealt.select("rname", line.alias("value")).write.partitionBy("rname").text(path)
+    else:
+        dealt.select(line.alias("value")).write.text(path)
 
 
 # The letters of packed bases and operations in a BAM record.
