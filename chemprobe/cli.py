@@ -30,8 +30,9 @@ def _sections(spark: SparkSession, refs: DataFrame, library: str | None) -> Data
 
 def run_vectorize(spark: SparkSession, a: argparse.Namespace) -> None:
     refs = fasta.read_fasta(spark, a.fasta)
-    found = vectorize.vectorize(sam.read_sam(spark, a.sam), _sections(spark, refs, a.library), a.min_phred + a.phred_enc, not a.no_ambid, a.strict)
-    vectors.write_vectors(found, a.out, a.length, a.batch_size)
+    sec = _sections(spark, refs, a.library)
+    found = vectorize.vectorize(sam.read_sam(spark, a.sam), sec, a.min_phred + a.phred_enc, not a.no_ambid, a.strict)
+    vectors.write_vectors(found, a.out, a.length, a.batch_size, sec)
 
 
 def run_aggregate(spark: SparkSession, a: argparse.Namespace) -> None:

@@ -56,14 +56,14 @@ def pairs(sam: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
     second = flag(F.col("flag"), FLAGS["paired"]) & flag(F.col("flag"), FLAGS["second"])
     grouped = sam.withColumn("_m", fields).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min_by("_m", F.struct("pos", "flag")).alias("_any"),
+        F.min_by("flag", F.struct("pos", "flag")).alias("_any"),
         F.min_by(F.when(~second, F.col("_m")), F.when(~second, F.struct("pos", "flag"))).alias("mate1"),
         F.min_by(F.when(second, F.col("_m")), F.when(second, F.struct("pos", "flag"))).alias("mate2"),
     )
     a, b = F.col("mate1"), F.col("mate2")
     both = a.isNotNull() & b.isNotNull()
     agree = flag(a["flag"], FLAGS["paired"]) & flag(a["flag"], FLAGS["first"]) & (flag(a["flag"], FLAGS["rev"]) != flag(b["flag"], FLAGS["rev"]))
-    lone = (F.col("n") == 1) & (F.lit(not strict) | ~flag(F.col("_any")["flag"], FLAGS["paired"]))
+    lone = (F.col("n") == 1) & (F.lit(not strict) | ~flag(F.col("_any"), FLAGS["paired"]))
     valid = F.when(both, (F.col("n") == 2) & agree).otherwise(lone)
     return grouped.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("_any")
 

@@ -96,7 +96,7 @@ def vectorize_reads(spark: SparkSession, sf: str) -> DataFrame:
 def vector_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors through ORC files to a profile."""
     r, path = _records(spark, sf), _folder(spark, "vectors")
-    vectors.write_vectors(ve.vectorize(r.drop("ref_seq"), _sections_of(r)), path, 60)
+    vectors.write_vectors(ve.vectorize(r.drop("ref_seq"), _sections_of(r)), path, 60, sections=_sections_of(r))
     return prof.array_profile(vectors.read_vectors(spark, path), ["section"])
 
 

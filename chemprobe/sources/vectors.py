@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chemprobe.functions.bits import unsigned
+from chemprobe.runtime import FOLDERS, few
 
 INDEX = "__index_level_0__"
 
@@ -15,13 +16,18 @@ def batch_rows(length: int, megabytes: float = 32.0) -> int:
     return max(1, round(megabytes * 2**20) // max(length, 1))
 
 
-def write_vectors(vectors: DataFrame, path: str, length: int, megabytes: float = 32.0) -> None:
-    """Compact vectors (rname, section, end5, end3, read, vec) as ORC, partitioned by reference and section.
+def write_vectors(vectors: DataFrame, path: str, length: int, megabytes: float = 32.0, sections: DataFrame | None = None) -> None:
+    """Compact vectors (rname, section, end5, end3, read, vec) as ORC, in folders by reference and section.
 
-    Each task writes its own files, so a reference that has nearly all reads is written by all tasks.
+    Each task writes its own files, so a reference that has nearly all reads is written by all tasks. Over FOLDERS
+    sections have no folders; their rows are in order of reference and section, so that a reader of one skips the
+    rest. `sections` (ref, section): all that vectors may have, else they are counted from the vectors.
     """
     out = vectors.where("vec IS NOT NULL").sortWithinPartitions("rname", "section")
-    out.write.option("maxRecordsPerFile", batch_rows(length, megabytes)).partitionBy("rname", "section").orc(path)
+    out = out.select(*[c for c in out.columns if c not in ("rname", "section")], "rname", "section")
+    named = out.select("rname", "section") if sections is None else sections.select("ref", "section")
+    writer = out.write.option("maxRecordsPerFile", batch_rows(length, megabytes))
+    (writer.partitionBy("rname", "section") if few(named, FOLDERS) else writer).orc(path)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ import gzip
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from chemprobe.sources import fasta, fastq, sam, tables, vectors
 
@@ -78,6 +79,31 @@ def test_sam(spark, tmp_path):
     assert sam.parse_sam(spark.read.text(f"{tmp_path}/out/*")).collect() == got
 
 
+def test_sam_of_many_references(spark, tmp_path, monkeypatch):
+    """Beyond the bound there is no folder for each reference, and every record is there."""
+    names = "qname string, flag int, rname string, pos int, mapq int, cigar string, seq string, qual string"
+    df = spark.createDataFrame([(f"q{k}", 0, f"r{k % 5}", k, 42, "2M", "AC", "FF") for k in range(1, 31)], names)
+    for most, folders in ((5, 5), (4, 0)):
+        monkeypatch.setattr(sam, "FOLDERS", most)
+        sam.write_sam(df, f"{tmp_path}/{most}")
+        assert len(list((tmp_path / str(most)).glob("rname=*"))) == folders
+        got = sam.parse_sam(spark.read.text(f"{tmp_path}/{most}/*")).select(*df.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_vectors_of_many_references(spark, tmp_path, monkeypatch):
+    rows = [(1, 3, f"q{k}", [1, 0, k % 9], None, f"r{k % 5}", "full") for k in range(30)]
+    df = spark.createDataFrame(rows, "end5 int, end3 int, read string, vec array<smallint>, error string, rname string, section string")
+    sections = df.select(F.col("rname").alias("ref"), "section")
+    for most, folders in ((5, 5), (4, 0)):
+        monkeypatch.setattr(vectors, "FOLDERS", most)
+        for name, given in (("counted", None), ("given", sections)):
+            vectors.write_vectors(df, f"{tmp_path}/{name}{most}", 3, sections=given)
+            assert len(list((tmp_path / f"{name}{most}").glob("rname=*"))) == folders
+            got = vectors.read_vectors(spark, f"{tmp_path}/{name}{most}")
+            assert got.columns == df.columns and sorted(got.collect(), key=lambda r: r["read"]) == sorted(df.collect(), key=lambda r: r["read"])
+
+
 def test_bam(spark, tmp_path):
     name, seq, qual = b"q1\0", "ACGTA", bytes([40] * 5)
     packed = bytes((("=ACMGRSVTWYHKDBN".index(a) << 4) | "=ACMGRSVTWYHKDBN".index(b)) for a, b in zip("AGA", "CT="))
