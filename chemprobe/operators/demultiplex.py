@@ -7,10 +7,13 @@ read against every reference. Patterns that several references share are sought
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chemprobe.functions.sequences import hamming, reverse_complement
+from chemprobe.operators import barcode_bits
 from chemprobe.runtime import stored
 
 SECONDARY_TOLERANCE = 2
@@ -18,6 +21,8 @@ SECONDARY_TOLERANCE = 2
 CHUNK = 256
 #: Patterns' pieces are broadcast up to so many rows of some 100 bytes; beyond that they are joined by place and piece.
 BROADCAST_PROBES = 1_000_000
+#: Reads that meet a block of references at once, and the most blocks.
+GROUP, BLOCKS = 65_536, 64
 
 
 def secondary_mismatches(length: Column) -> Column:
@@ -136,11 +141,141 @@ def search(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance
 
 
 def counts(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
-    """(ref, kind, n_reads) of `search`; reads are counted before references that share a pattern are told apart."""
+    """(ref, kind, n_reads) of `search`; reads are counted before references that share a pattern are told apart.
+
+    Where pieces would tell nothing, reads and patterns meet as bits (`barcode_bits`).
+    """
+    sizes = [r[0] for r in patterns.select(F.length("pattern")).distinct().collect()]
+    if any(_pieces(n, mismatches) == [[]] for n in sizes):
+        key = F.concat_ws(":", "pattern", "start")
+        one = patterns.select(key.alias("ref"), F.lit("bar").alias("kind"), "pattern", "start").distinct()
+        n = _in_bits(reads, one, mismatches, tolerance, "counts").groupBy(F.col("ref").alias("_key")).agg(F.sum("bar").alias("n_reads"))
+        return patterns.select("ref", "kind", key.alias("_key")).join(n, "_key").select("ref", "kind", "n_reads")
     n = _matches(reads, patterns, mismatches, tolerance).groupBy("pattern", "start").agg(F.count(F.lit(1)).alias("n_reads"))
     return patterns.select("ref", "kind", "pattern", "start").join(n, ["pattern", "start"]).select("ref", "kind", "n_reads")
 
 
+_COUNTS = (*barcode_bits.BARS, *barcode_bits.SECONDS, "unfiltered", "pre_union")
+
+
+def _in_bits(reads: DataFrame, patterns: DataFrame, mismatches: int, tolerance: int, what: str) -> DataFrame:
+    """What `barcode_bits` finds of groups of reads and blocks of references; each pair is in one task.
+
+    what: "pairs" gives (read_id, ref) of `assigned`; "counts" (ref and _COUNTS), to be summed; "single" (read_id, n,
+    ref) of the reads that a block has references for, n up to 2, to be summed; "report" both of these, counts
+    without read_id. Blocks have about as many references each, whose last pattern begins at places that are near;
+    only the stretches of reads where a block's patterns may lie go to it.
+    """
+    spark = reads.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    refs = patterns.groupBy("ref").agg(F.max("start").alias("_last"))
+    n_refs = refs.count()
+    groups = max(1, -(-reads.count() // GROUP))
+    ranges = max(1, min(BLOCKS, 2 * tasks // groups, n_refs))
+    bounds = sorted({int(x) for x in refs.agg(F.percentile_approx("_last", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0] or []}) if ranges > 1 else []
+    part = sum((F.when(F.col("_last") > x, 1).otherwise(0) for x in bounds), F.lit(0))
+    refs = refs.select("ref", part.alias("_range"))
+    # references at one place are cut by their hash
+    cuts = {r["_range"]: max(1, round(r["n"] * ranges / max(n_refs, 1))) for r in refs.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wide, first, total = {}, {}, 0
+    for r, n in sorted(cuts.items()):
+        wide[r], first[r], total = n, total, total + n
+    if not total:
+        total, wide, first = 1, {0: 1}, {0: 0}
+    of = lambda d: F.element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), F.col("_range"))
+    refs = refs.select("ref", (of(first) + F.pmod(F.xxhash64("ref"), of(wide))).cast("int").alias("_b"))
+    second = F.col("kind").isin(*barcode_bits.SECONDS)
+    p = patterns.select("ref", "kind", "pattern", "start", F.when(second, secondary_mismatches(F.length("pattern"))).otherwise(mismatches).alias("most")).join(refs, "ref")
+    far = F.when(second, SECONDARY_TOLERANCE).otherwise(tolerance)
+    ends = p.groupBy("_b", "kind").agg(F.min(F.greatest(F.col("start") - far, F.lit(1))).alias("lo"), F.max(F.greatest(F.col("start") + far + 1, F.lit(1)) + F.length("pattern") - 1).alias("hi")).collect()
+    spans: dict[int, list[tuple[int, int]]] = {b: [] for b in range(total)}
+    for b, _, lo, hi in sorted(ends, key=lambda r: (r["_b"], r["lo"])):
+        if spans[b] and lo <= spans[b][-1][1] + 1:
+            spans[b][-1] = (spans[b][-1][0], max(hi, spans[b][-1][1]))
+        else:
+            spans[b].append((lo, hi))
+    columns = max(map(len, spans.values())) or 1
+    cut = lambda lo, hi: F.substring("seq", lo, hi - lo + 1)
+    stretch = [F.struct(F.lit(b).alias("_b"), *[(cut(*spans[b][i]) if i < len(spans[b]) else F.lit("")).alias(f"s{i}") for i in range(columns)]) for b in range(total)]
+    group = F.pmod(F.xxhash64("read_id"), F.lit(groups)).cast("int")
+    left = reads.select("read_id", F.length("seq").alias("n"), group.alias("_g"), F.explode(F.array(*stretch)).alias("_x")).select("read_id", "n", (F.col("_x._b") * groups + F.col("_g")).alias("_t"), *[f"_x.s{i}" for i in range(columns)])
+    left = left.where(F.col("s0") != "")
+    right = p.select(F.explode(F.array(*[F.col("_b") * groups + g for g in range(groups)])).alias("_t"), "ref", "kind", "pattern", "start", "most")
+    id_type, ref_type = reads.schema["read_id"].dataType.simpleString(), patterns.schema["ref"].dataType.simpleString()
+    kinds = {"read_id": id_type, "ref": ref_type, "n": "int", **dict.fromkeys(_COUNTS, "long")}
+    names = {"pairs": ["read_id", "ref"], "single": ["read_id", "n", "ref"], "counts": ["ref", *_COUNTS], "report": list(kinds)}[what]
+
+    def run(key: tuple, some: pa.Table, mine: pa.Table) -> pa.Table:
+        types = {"read_id": some.schema.field("read_id").type, "ref": mine.schema.field("ref").type, "n": pa.int32(), **dict.fromkeys(_COUNTS, pa.int64())}
+        schema = pa.schema([(c, types[c]) for c in names])
+        if not some.num_rows or not mine.num_rows:
+            return schema.empty_table()
+        letters = bytes(sorted(set("".join(mine.column("pattern").unique().to_pylist()).encode())))
+        group_ = barcode_bits.Reads(some, spans[int(key[0].as_py()) // groups], letters)
+        out, once, twice = [], np.zeros(group_.words, np.uint64), np.zeros(group_.words, np.uint64)
+        firsts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        add = lambda size, **x: out.append(pa.table([x[c] if c in x else pa.nulls(size, types[c]) for c in names], schema=schema))
+        for ref, bits, has in barcode_bits.found(group_, mine, mismatches, tolerance, SECONDARY_TOLERANCE):
+            either = bits["bar"] | bits["rev_bar"]
+            second_ = bits["sec"] | bits["rev_sec"]
+            second_[~has] = ~np.uint64(0)
+            got = either & second_
+            if what == "pairs":
+                row, read = barcode_bits.places(got)
+                add(len(row), ref=ref.take(pa.array(row)), read_id=_flat(group_.ids.take(pa.array(read))))
+            if what in ("counts", "report"):
+                for k in barcode_bits.SECONDS:
+                    bits[k] &= either
+                n = {k: np.bitwise_count(x).sum(axis=1, dtype=np.int64) for k, x in {**bits, "unfiltered": either, "pre_union": got}.items()}
+                keep = n["unfiltered"] > 0
+                add(int(keep.sum()), ref=ref.filter(pa.array(keep)), **{k: pa.array(x[keep]) for k, x in n.items()})
+            if what in ("single", "report"):
+                for i in np.flatnonzero(got.any(axis=1)):
+                    twice |= once & got[i]
+                    _, read = barcode_bits.places((got[i] & ~once)[None])
+                    firsts.append((ref.slice(i, 1), np.zeros(len(read), np.int64), read))
+                    once |= got[i]
+        for ref, row, read in firsts:
+            if len(read):
+                n = 1 + (twice[read >> 6] >> (read & 63).astype(np.uint64) & np.uint64(1)).astype(np.int32)
+                add(len(read), ref=ref.take(pa.array(row)), read_id=_flat(group_.ids.take(pa.array(read))), n=pa.array(n, pa.int32()))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    # tasks of their own number: what they read is few bytes, what they do is not
+    deal = lambda df: df.repartition(2 * total * groups, "_t").groupBy("_t")
+    return deal(left).cogroup(deal(right)).applyInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names))
+
+
+def _flat(x: pa.ChunkedArray | pa.Array) -> pa.Array:
+    return pa.concat_arrays(x.chunks) if isinstance(x, pa.ChunkedArray) else x
+
+
+def assigned_pairs(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
+    """(read_id, ref) of `assigned` for one mate and no clipping; no hit that doesn't count is kept anywhere."""
+    return _in_bits(reads, patterns, mismatches, tolerance, "pairs")
+
+
+def _alone(found: DataFrame) -> DataFrame:
+    """(read_id, ref) of the reads of one reference only."""
+    return found.groupBy("read_id").agg(F.sum("n").alias("_n"), F.min("ref").alias("ref")).where("_n = 1").select("read_id", "ref")
+
+
+def assigned_once(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
+    """(read_id, ref) of the reads that `assigned_pairs` gives one reference only; pairs are not listed."""
+    return _alone(_in_bits(reads, patterns, mismatches, tolerance, "single"))
+
+
+def report_one(reads: DataFrame, patterns: DataFrame, mismatches: int = 0, tolerance: int = 0) -> DataFrame:
+    """`report` of one mate without clipping, counted where reads meet references; pairs are not listed."""
+    found = stored(_in_bits(reads, patterns, mismatches, tolerance, "report"), "report")
+    n = found.where("n IS NULL").groupBy("ref").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    final = _alone(found.where("n IS NOT NULL")).groupBy("ref").agg(F.count(F.lit(1)).alias("final_count"))
+    out = patterns.select("ref").distinct().join(n, "ref", "left").join(final, "ref", "left").na.fill(0)
+    named = {"bar": "init_barcode", "rev_bar": "init_rev_barcode", "sec": "sec_hits", "rev_sec": "rev_sec_hits"}
+    out = out.withColumnsRenamed(named).withColumn("reads_lost_to_filter", F.col("unfiltered") - F.col("pre_union"))
+    return out.withColumn("lost_to_multihit", F.col("pre_union") - F.col("final_count"))
+
+
 def clipped(patterns: DataFrame, clip: int) -> DataFrame:
     """Barcodes without their last `clip` bases, to be found exactly where they belong."""
     n = F.length("pattern") - clip
