@@ -235,7 +235,7 @@ _HITS = (
 @query("demux_assigned", f"WITH {_HITS} SELECT read_id, ref FROM got")
 def demux_assigned(spark: SparkSession, sf: str) -> DataFrame:
     r, patterns = _library(spark, sf)
-    return dm.assigned(dm.all_hits(r, patterns, 2, 2), patterns)
+    return dm.assigned_pairs(r, patterns, 2, 2)
 
 
 @query("demux_multihit_removed", f"WITH {_HITS} SELECT read_id, ref, 'R1' AS found_by FROM got WHERE read_id IN (SELECT read_id FROM one)")
