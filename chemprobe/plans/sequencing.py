@@ -252,8 +252,7 @@ def demux_multihit_removed(spark: SparkSession, sf: str) -> DataFrame:
 )
 def demux_report(spark: SparkSession, sf: str) -> DataFrame:
     r, patterns = _library(spark, sf)
-    hits = dm.all_hits(r, patterns, 2, 2).withColumn("mate", F.lit(1))
-    return dm.report(hits, patterns).select("ref", "init_barcode", "init_rev_barcode", "sec_hits", "rev_sec_hits", "unfiltered", "pre_union", "final_count", "reads_lost_to_filter")
+    return dm.report_one(r, patterns, 2, 2).select("ref", "init_barcode", "init_rev_barcode", "sec_hits", "rev_sec_hits", "unfiltered", "pre_union", "final_count", "reads_lost_to_filter")
 
 
 @query("set_ops", "SELECT 'union' AS op, count(*) AS n FROM (SELECT o_custkey FROM orders UNION SELECT c_custkey FROM customer) a UNION ALL SELECT 'difference', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) a UNION ALL SELECT 'intersection', count(*) FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders) a")
