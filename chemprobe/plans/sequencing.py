@@ -240,7 +240,8 @@ def demux_assigned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("demux_multihit_removed", f"WITH {_HITS} SELECT read_id, ref, 'R1' AS found_by FROM got WHERE read_id IN (SELECT read_id FROM one)")
 def demux_multihit_removed(spark: SparkSession, sf: str) -> DataFrame:
-    return dm.unambiguous(demux_assigned(spark, sf).withColumn("mate", F.lit(1)))
+    r, patterns = _library(spark, sf)
+    return dm.assigned_once(r, patterns, 2, 2).withColumn("found_by", F.lit("R1"))
 
 
 @query(
