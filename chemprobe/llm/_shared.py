@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +40,13 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Returns this process's freed memory to the system: a worker that waits for its next task would keep it."""
+    pyarrow.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _place(spark: SparkSession, path: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -29,15 +29,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemprobe.llm._shared import BROADCAST_KEYS, apart, bound_batches, saved, small_side, text_or_empty, with_row_key
+from chemprobe.llm._shared import BROADCAST_KEYS, apart, bound_batches, give_back, saved, small_side, text_or_empty, with_row_key
 
 LENGTH = 200
 GRAM = 32
 #: Anchors per partition of the exchange, and bytes of context per suffix array.
 PART_ANCHORS, PART_BYTES = 150_000, 800_000
 #: An anchor with more distinct contexts than this is cut finer: to runs of so many starts, then to single ones.
-#: So many contexts sort within some 400 MB.
+#: So many contexts sort within some 130 MB.
 HOT, RUNS = 20_000, (85, 12, 1)
+#: Suffixes whose bytes are compared at a time, each with a copy of its passage.
+SORTED = 1 << 14
 #: A long text's anchors are found so many starts at a time.
 _RUN = 1 << 22
 _POS = np.uint64((1 << 24) - 1)
@@ -206,6 +208,51 @@ def _contexts(parts: int, length: int):
     return run
 
 
+def _laid_out(t: np.ndarray, off: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each suffix that counts: its text, its place there and its place in `t`."""
+    kind = np.int32 if len(t) + LENGTH < 1 << 31 else np.int64
+    owner = np.repeat(np.arange(len(off), dtype=kind), n)
+    place = np.arange(len(owner), dtype=kind) - np.repeat((np.cumsum(n) - n).astype(kind), n)
+    return owner, place, np.repeat(off.astype(kind), n) + place
+
+
+def _by_bytes(padded: np.ndarray, at: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """The order, a stable one, of the `depth` bytes from each place `at`; bytes from `left` on count as zero.
+
+    Eight bytes are sorted first; whole bytes are then compared among those that are equal, SORTED places at a time.
+    """
+    width = min(8, depth)
+
+    def bytes_at(some: np.ndarray, width: int) -> np.ndarray:
+        keys = np.lib.stride_tricks.sliding_window_view(padded, width)[at[some]]
+        cut = np.flatnonzero(left[some] < width)  # near a text's end: nothing of the next text counts
+        keys[cut] *= np.arange(width) < left[some[cut], None]
+        return keys
+
+    eight = np.zeros((len(at), 8), np.uint8)
+    eight[:, :width] = bytes_at(np.arange(len(at), dtype=at.dtype), width)
+    key = eight.view(">u8").ravel().astype(np.uint64)
+    del eight
+    order = np.argsort(key, kind="stable").astype(at.dtype)
+    if depth <= 8:
+        return order
+    key = key[order]
+    edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+    del key
+    i = 0
+    while i < len(edge) - 1:
+        j = max(i + 1, int(np.searchsorted(edge, edge[i] + SORTED, side="right")) - 1)
+        a, b = edge[i], edge[j]
+        if b - a > j - i:  # some are equal
+            some = order[a:b]
+            if b - a > SORTED:
+                order[a:b] = some[_by_bytes(padded, at[some] + 8, left[some] - 8, depth - 8)]
+            else:
+                order[a:b] = some[np.argsort(bytes_at(some, depth).view(f"V{depth}").ravel(), kind="stable")]
+        i = j
+    return order
+
+
 def two_stage_order(t: np.ndarray, off: np.ndarray, size: np.ndarray, n: np.ndarray, ended: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     """Suffixes in order, to `depth` bytes, of several texts laid end to end in `t`.
 
@@ -213,25 +260,19 @@ def two_stage_order(t: np.ndarray, off: np.ndarray, size: np.ndarray, n: np.ndar
     smaller than its successor, or else (`ended`) it is the text's last byte.
     """
     total = int(n.sum())
-    owner = np.repeat(np.arange(len(off)), n)
-    place = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-    at = np.repeat(off, n) + place
+    owner, place, at = _laid_out(t, off, n)
     final = np.cumsum(n) - 1
     step = np.empty(total, np.int8)
     step[:] = np.sign(t[np.minimum(at + 1, len(t) - 1)].astype(np.int16) - t[at])
     step[final] = np.where(ended, -1, 1)
-    nxt = np.minimum.accumulate(np.where(step != 0, np.arange(total), total)[::-1])[::-1]
+    nxt = np.minimum.accumulate(np.where(step != 0, np.arange(total, dtype=at.dtype), at.dtype.type(total))[::-1])[::-1]
     small = step[nxt] > 0  # smaller than the successor: sorted directly
-    direct = np.flatnonzero(small)
-    padded = np.r_[t, np.zeros(depth, np.uint8)]
-    keys = np.lib.stride_tricks.sliding_window_view(padded, depth)[at[direct]]
-    short = size[owner[direct]] - place[direct]
-    cut = np.flatnonzero(short < depth)
-    for i in cut:  # near a text's end: nothing of the next text counts
-        keys[i, short[i] :] = 0
-    direct = direct[np.argsort(np.ascontiguousarray(keys).view(f"V{depth}").ravel(), kind="stable")]
-    del keys
+    del nxt, step
+    direct = np.flatnonzero(small).astype(at.dtype)
+    left = size.astype(at.dtype)[owner[direct]] - place[direct]
+    direct = direct[_by_bytes(np.r_[t, np.zeros(depth, np.uint8)], at[direct], left, depth)]
     first = t[at]
+    del owner, at, left
     bounds = np.searchsorted(first[direct], np.arange(257))
     buckets: list[list[np.ndarray]] = [[] for _ in range(256)]
 
@@ -271,10 +312,10 @@ def repeated_starts(texts: list[bytes], starts: np.ndarray, n: np.ndarray, ended
     off = np.cumsum(size) - size
     t = np.frombuffer(b"".join(texts), np.uint8)
     sa = two_stage_order(t, off, size, n, ended, length)
-    owner = np.repeat(np.arange(len(off)), n)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    owner, place, at = _laid_out(t, off, n)
     sa = sa[place[sa] < starts[owner[sa]]]
-    at = off[owner[sa]] + place[sa]
+    at = at[sa]
+    del place
     # common prefixes of neighbours, eight bytes at a time, up to `length`
     words = np.lib.stride_tricks.as_strided(np.r_[t, np.zeros(8, np.uint8)], (len(t), 8), (1, 1))
     alive = np.arange(max(len(sa) - 1, 0))
@@ -303,6 +344,8 @@ def _sort_part(length: int):
             if flags.any():
                 edge = np.flatnonzero(np.diff(np.r_[False, flags, False]))
                 rows.append((a, c, edge[::2].tolist(), (edge[1::2] - 1).tolist()))
+        del group, found
+        give_back()
         return pd.DataFrame(rows, columns=["a", "c", "lo", "hi"])
 
     return run
